@@ -4,15 +4,28 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, packing
-from .shared import table
+from . import bpe, exact_dedup, language_id, packing, toxicity
+from .shared import held_out, table
+
+
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = language_id.predict(docs, language_id.fit(docs))
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    found = toxicity.score(docs, toxicity.fit(docs, labels, "doc_id", "text", "toxic"))
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -22,7 +35,13 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(docs, path, public_tokenizers.PATTERN)
 
 
-QUERIES = {"op4_exact_dedup": op4_exact_dedup, "op8_packing": op8_packing, "op9_bpe": op9_bpe}
+QUERIES = {
+    "op1_language_id": op1_language_id,
+    "op4_exact_dedup": op4_exact_dedup,
+    "op5_toxicity": op5_toxicity,
+    "op8_packing": op8_packing,
+    "op9_bpe": op9_bpe,
+}
 
 ORACLE_SQL = {
     "op4_exact_dedup": """

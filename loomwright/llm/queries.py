@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, language_id, packing, toxicity
+from . import bpe, exact_dedup, html_extract, language_id, packing, toxicity
 from .shared import held_out, table
 
 
@@ -35,12 +35,17 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(docs, path, public_tokenizers.PATTERN)
 
 
+def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_toxicity": op5_toxicity,
     "op8_packing": op8_packing,
     "op9_bpe": op9_bpe,
+    "op10_html_extract": op10_html_extract,
 }
 
 ORACLE_SQL = {

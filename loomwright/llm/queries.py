@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, html_extract, language_id, packing, toxicity
+from . import bpe, exact_dedup, html_extract, language_id, packing, simhash, toxicity
 from .shared import held_out, table
 
 
@@ -16,6 +16,11 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_groups(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.hex_of().alias("fingerprint"), "component_id")
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -41,6 +46,7 @@ def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op3_simhash": op3_simhash,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_toxicity": op5_toxicity,
     "op8_packing": op8_packing,

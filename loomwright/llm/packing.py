@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import functools
+import re
 import zlib
+from array import array
 from bisect import bisect_left, insort
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -14,36 +17,69 @@ from pyspark.sql import functions as F
 
 from .shared import saved, slices
 
-#: Distinct words a worker remembers; beyond that it forgets all and begins again.
-REMEMBERED = 300_000
-#: Partitions whose leftovers merge together in the first of the two last rounds.
-MERGED_TOGETHER = 64
+#: Distinct chunks a worker remembers, about 200 MB; beyond that it forgets all and begins again.
+REMEMBERED = 1_000_000
+#: A run of letters and, after it, a run of marks that never joins letters to a token.
+WORD_AND_MARKS = re.compile(r"([^\W\d_]+)([.,;:!?#$%&*|()]*)", re.UNICODE)
 
 
 class WordTokens:
     """Ids of texts by a tokenizers file whose tokens never span white space.
 
-    A text is split at ASCII blanks, which the vocabulary drops, and each distinct chunk is encoded once.
+    A text is split at ASCII blanks, which the vocabulary drops, and each distinct chunk is encoded once. New
+    chunks of letters and marks are encoded as two runs, the runs of letters of all new chunks in one call: each
+    such run ends with the one token of it that ends a word.
     """
 
     def __init__(self, path: str, end_id: int) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.end = end_id.to_bytes(4, "little")
         self.known: dict[str, bytes] = {"": b""}
 
+    def encode_each(self, chunks: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)
+        return [array("I", x.ids).tobytes() for x in found]
+
+    def encode_words(self, words: list[str]) -> list[bytes]:
+        """Ids of words of letters alone, by one call over all."""
+        found = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, dtype="<u4")
+        stops = (np.flatnonzero(self.ends_word[found]) + 1) * 4
+        if len(stops) != len(words):
+            return self.encode_each(words)
+        ids, stops = found.tobytes(), stops.tolist()
+        return [ids[a:b] for a, b in zip([0, *stops[:-1]], stops, strict=True)]
+
+    def learn(self, chunks: list[str]) -> None:
+        match, split, odd = WORD_AND_MARKS.fullmatch, [], []
+        for chunk in chunks:
+            m = match(chunk)
+            if m and m[1].isalpha():
+                split.append((chunk, m[1].lower() if chunk.isascii() else m[1], m[2]))
+            else:
+                odd.append(chunk)
+        words = list({w for _, w, _ in split})
+        ids = dict(zip(words, self.encode_words(words), strict=True)) if words else {}
+        marks = list({m for _, _, m in split})
+        marks_ids = dict(zip(marks, self.encode_each(marks), strict=True))
+        self.known.update((chunk, ids[w] + marks_ids[m]) for chunk, w, m in split)
+        self.known.update(zip(odd, self.encode_each(odd), strict=True))
+
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text, and after them the end id."""
         split = [text.replace("\n", " ").replace("\t", " ").split(" ") for text in texts]
-        words = {w for chunks in split for w in chunks}
-        if len(self.known) + len(words) > REMEMBERED:
+        chunks = set().union(*split)
+        new = chunks - self.known.keys()
+        if len(self.known) + len(new) > REMEMBERED:
             self.known = {"": b""}
-        new = [w for w in words if w not in self.known]
-        for i in range(0, len(new), 20_000):
-            part = new[i : i + 20_000]
-            for w, x in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.known[w] = b"".join([k.to_bytes(4, "little") for k in x.ids])
+            new = chunks
+        new = list(new)
+        for i in range(0, len(new), 50_000):
+            self.learn(new[i : i + 50_000])
         return [b"".join(map(self.known.__getitem__, chunks)) + self.end for chunks in split]
 
 

@@ -46,6 +46,7 @@ class ByteBpe:
     def __init__(self, ranks: dict[bytes, int]) -> None:
         self.size = max(ranks.values()) + 1
         self.pieces = [b""] * self.size
+        self._marks = np.zeros(0, dtype=bool)
         for piece, rank in ranks.items():
             self.pieces[rank] = piece
         self.of_byte = np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int64)
@@ -123,9 +124,10 @@ class ByteBpe:
             bitmap.clear(r)
             held = buckets.pop(r)
             at = held[0] if len(held) == 1 else np.concatenate(held)
-            at = np.unique(at[rank[at] == r])
+            at = np.sort(at[rank[at] == r])
             if not len(at):
                 continue
+            at = at[np.append(True, at[1:] != at[:-1])]
             if len(at) > 1:
                 at = self._without_overlaps(at, following)
                 at, later = self._in_order(at, r, token, following, before, word)
@@ -160,6 +162,12 @@ class ByteBpe:
         first = np.maximum.accumulate(np.where(joined, 0, index))
         return at[(index - first) % 2 == 0]
 
+    def marks(self, n: int) -> np.ndarray:
+        """A scratch array of n + 1 or more False; whoever sets some puts them back."""
+        if len(self._marks) <= n:
+            self._marks = np.zeros(n + 1, dtype=bool)
+        return self._marks
+
     def _in_order(self, at, r, token, following, before, word):
         """(positions that can merge at once, positions that must wait)."""
         same = word[at][1:] == word[at][:-1]
@@ -171,8 +179,13 @@ class ByteBpe:
         gone = following[p]
         right, left = following[gone], before[p]
         merged = np.full(len(p), r)
-        left_token = np.where(np.isin(left, gone), r, token[left])
-        right_token = np.where(np.isin(right, p), r, token[right])
+        used = self.marks(n)
+        used[gone] = True
+        left_token = np.where(used[left], r, token[left])
+        used[gone] = False
+        used[p] = True
+        right_token = np.where(used[right], r, token[right])
+        used[p] = False
         lower = (right < n) & ((self.rank_of(merged, token[right]) < r) | (self.rank_of(merged, right_token) < r))
         lower |= (left < n) & ((self.rank_of(left_token, merged) < r) | (self.rank_of(token[left], merged) < r))
         if not lower.any():

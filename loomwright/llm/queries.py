@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, html_extract, language_id, packing, simhash, toxicity
+from . import bpe, exact_dedup, html_extract, language_id, packing, pii, simhash, toxicity
 from .shared import held_out, table
 
 
@@ -16,6 +16,13 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = pii.find(docs, pii.fit(docs))
+    counts = [pii.counted("_base", kind).alias(f"n_{kind}") for kind in pii.BASE]
+    return found.select("doc_id", *counts, F.sha2(pii.joined("_base"), 256).alias("base_sha256"), pii.joined("_spans").alias("spans"))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_groups(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex_of().alias("fingerprint"), "component_id")
@@ -46,6 +53,7 @@ def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op2_pii": op2_pii,
     "op3_simhash": op3_simhash,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_toxicity": op5_toxicity,

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, html_extract, language_id, packing, pii, simhash, toxicity
+from . import bpe, exact_dedup, html_extract, language_id, packing, pii, simhash, toxicity, weighted_sampling
 from .shared import held_out, table
 
 
@@ -38,6 +38,12 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op6_weighted_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = weighted_sampling.compare_edited(table(spark, sf_dir, "documents"))
+    hexes = [weighted_sampling.as_hex(F.col(a)).alias(b) for a, b in (("signature", "fingerprint"), ("edited_signature", "edited_fingerprint"))]
+    return found.select("doc_id", "n_chars", "edited_sha256", *hexes, "near_edited", "near_next")
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -57,6 +63,7 @@ QUERIES = {
     "op3_simhash": op3_simhash,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_toxicity": op5_toxicity,
+    "op6_weighted_sampling": op6_weighted_sampling,
     "op8_packing": op8_packing,
     "op9_bpe": op9_bpe,
     "op10_html_extract": op10_html_extract,

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, html_extract, language_id, packing, pii, simhash, toxicity, weighted_sampling
+from . import bpe, exact_dedup, html_extract, language_id, line_dedup, packing, pii, simhash, toxicity, weighted_sampling
 from .shared import held_out, table
 
 
@@ -44,6 +44,12 @@ def op6_weighted_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_chars", "edited_sha256", *hexes, "near_edited", "near_next")
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_classes(table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"), F.col("no").alias("line_no"), F.col("class_id").alias("class_doc_id"), F.col("class_no").alias("class_line_no"), "n_links", "kept"
+    )
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -64,6 +70,7 @@ QUERIES = {
     "op4_exact_dedup": op4_exact_dedup,
     "op5_toxicity": op5_toxicity,
     "op6_weighted_sampling": op6_weighted_sampling,
+    "op7_line_dedup": op7_line_dedup,
     "op8_packing": op8_packing,
     "op9_bpe": op9_bpe,
     "op10_html_extract": op10_html_extract,

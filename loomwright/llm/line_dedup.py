@@ -159,18 +159,28 @@ def line_classes(docs: DataFrame, threshold: int = 2, least_chars: int = 24, id_
     return out.select("id", "no", F.col("first.id").alias("class_id"), F.col("first.no").alias("class_no"), "n_links", here.eqNullSafe(F.col("first")).alias("kept"))
 
 
-def without_repeats(docs: DataFrame, threshold: int = 2, least_chars: int = 24, id_col: str = "doc_id", text_col: str = "text", most_broadcast: int = 500_000) -> DataFrame:
-    """docs, all columns, with every line taken out of its text that isn't the first of its class.
+def removed_lines(docs: DataFrame, threshold: int = 2, least_chars: int = 24, id_col: str = "doc_id", text_col: str = "text", most_broadcast: int = 500_000) -> DataFrame:
+    """(_id, _gone): the numbers of the lines of each document that aren't the first of their class.
 
-    Blank lines, and the order of the others, stay; a text whose lines all go becomes empty. The numbers of the
-    lines that go are broadcast if they belong to at most most_broadcast documents and lines, and joined beyond that.
+    Marked for broadcast if there are at most most_broadcast such lines.
     """
     gone = line_classes(docs, threshold, least_chars, id_col, text_col).filter(~F.col("kept") & F.col("id").isNotNull())
     gone = saved(gone.select("id", "no").distinct().groupBy("id").agg(F.collect_list("no").alias("_gone")).withColumnRenamed("id", "_id"))
     size = gone.agg(F.sum(F.size("_gone"))).first()[0] or 0
-    if size <= most_broadcast:
-        gone = F.broadcast(gone)
+    return F.broadcast(gone) if size <= most_broadcast else gone
+
+
+def rest_of(text: Column, gone: Column) -> Column:
+    """text without the lines whose numbers are in gone; null gone leaves it as it is."""
+    kept = F.filter(F.split(text, "\n"), lambda _, i: ~F.array_contains(gone, i))
+    return F.when(gone.isNull(), text).otherwise(F.array_join(kept, "\n"))
+
+
+def without_repeats(docs: DataFrame, threshold: int = 2, least_chars: int = 24, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """docs, all columns, with every line taken out of its text that isn't the first of its class.
+
+    Blank lines, and the order of the others, stay; a text whose lines all go becomes empty.
+    """
+    gone = removed_lines(docs, threshold, least_chars, id_col, text_col)
     joined = docs.join(gone, F.col(id_col) == F.col("_id"), "left")
-    kept = F.filter(F.split(text_col, "\n"), lambda _, i: ~F.array_contains("_gone", i))
-    text = F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))
-    return joined.select(*[text.alias(c) if c == text_col else F.col(c) for c in docs.columns])
+    return joined.select(*[rest_of(F.col(c), F.col("_gone")).alias(c) if c == text_col else F.col(c) for c in docs.columns])

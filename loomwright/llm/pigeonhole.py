@@ -131,14 +131,14 @@ def near_links(prints: DataFrame, distance: int = 2, sample_rows: int = 2_000, s
     def masked(mask: int):
         return F.col("fp").bitwiseAND(F.lit(signed(mask)))
 
-    data = prints.select(*extra, "fp", spread(lambda i, mask, _: F.array(F.struct(F.lit(i).alias("part"), masked(mask).alias("key")))).alias("k")).select(*extra, "fp", "k.part", "k.key")
-    key = [*extra, "part", "key"]
+    data = prints.select(*extra, "fp", spread(lambda i, mask, _: F.array(F.struct(F.lit(i).alias("piece"), masked(mask).alias("key")))).alias("k")).select(*extra, "fp", "k.piece", "k.key")
+    key = [*extra, "piece", "key"]
     hot_keys = saved(data.groupBy(*key).count().filter(F.col("count") > HOT).select(*key, F.lit(True).alias("hot")))
     data = saved(data.join(hot_keys, key, "left").withColumn("hot", F.coalesce("hot", F.lit(False))))
     probes = data
     if any(radius for _, _, radius in used):
         masks = F.array(*[F.lit(None).cast("array<long>") if r < 0 else F.array(*[F.lit(x) for x in flips(m, r)]) for m, r in zip(plan.masks, plan.radii, strict=True)])
-        probes = data.select(*extra, "fp", "part", "key", "hot", F.explode(masks[F.col("part")]).alias("x")).withColumn("key", F.col("key").bitwiseXOR(F.col("x"))).drop("x")
+        probes = data.select(*extra, "fp", "piece", "key", "hot", F.explode(masks[F.col("piece")]).alias("x")).withColumn("key", F.col("key").bitwiseXOR(F.col("x"))).drop("x")
     a, b = data.alias("a"), probes.alias("b")
     same = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in key]
     pairs = a.join(b, [*same, ~(F.col("a.hot") & F.col("b.hot")), F.col("a.fp") != F.col("b.fp")])

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
@@ -69,6 +71,124 @@ def near_groups(docs: DataFrame, words: int = 3, distance: int = 2, id_col: str
     return rows.join(classes, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
 
 
+#: Fingerprints of parts of a text, and words of the wide fingerprint of the whole text.
+PARTS, WIDE = 8, 4
+#: Members of one bucket up to which all pairs are compared; larger ones compare all members with LEADERS at a time.
+SMALL, LEADERS = 64, 16
+
+
+def mixed(hashes: np.ndarray, turn: int) -> np.ndarray:
+    """Other hashes for the same things: one for each turn."""
+    z = hashes + np.uint64((0x9E3779B97F4A7C15 * (turn + 1)) % 2**64)
+    z = (z ^ z >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
+    z = (z ^ z >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
+    return z ^ z >> np.uint64(31)
+
+
+def part_prints(text: str, words: int) -> tuple[int, list[int], list[int], list[int]]:
+    """(digest of the set of shingles, parts that have shingles, fingerprint of each, wide fingerprint of all).
+
+    A shingle belongs to the part that the smallest hash among its words names, so an edited word changes the shingles of
+    few parts, and texts that share most shingles agree in some part.
+    """
+    hashes = shingle_hashes(text, words)
+    found = text.encode("utf-8").lower().split()
+    if not found:
+        return 0, [], [], [0] * WIDE
+    own = np.array([xxhash.xxh32_intdigest(w, SEED) for w in found], dtype=np.uint32)
+    least = own[: len(hashes)].copy()
+    for k in range(1, min(words, len(found))):
+        least = np.minimum(least, own[k : k + len(hashes)])
+    part = (least * np.uint32(0x9E3779B1) >> np.uint32(29)).astype(int)
+    hashes, first = np.unique(hashes, return_index=True)
+    part = part[first]
+    parts = [p for p in range(PARTS) if (part == p).any()]
+    digest = int(np.array(xxhash.xxh64_intdigest(hashes.tobytes(), SEED), dtype=np.uint64).view(np.int64))
+    return digest, parts, [majority(hashes[part == p]) for p in parts], [majority(mixed(hashes, k)) for k in range(WIDE)]
+
+
+def most_bits(similarity: float) -> int:
+    """Differing bits of a wide fingerprint that two sets of this Jaccard similarity have on average."""
+    cosine = 2 * similarity / (1 + similarity)
+    return round(64 * WIDE * math.acos(cosine) / math.pi)
+
+
+def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, distance: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, group_id) of every document that is in a group with another one; group_id is the group's smallest id.
+
+    Documents are candidates if fingerprints of one part differ in at most `distance` bits, found by the
+    generalised pigeonhole plan, and alike if their wide fingerprints differ by no more bits than sets of words-word
+    shingles of this Jaccard similarity do. Documents with equal sets of shingles are one class and only its
+    smallest id is compared. In buckets of over SMALL documents, all are compared with LEADERS documents at a
+    time, those with most company first, until each is alike to one of them or has been one: such groups grow by
+    leaders, and two members that only meet each other may stay apart.
+
+    Texts without a word are alike. Null ids are in no group; rows of one id are one document.
+    """
+
+    def make():
+        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+            got = [part_prints(t or "", words) for t in batch.column(1).to_pylist()]
+            return pa.record_batch(
+                [batch.column(0), *[pa.array([g[i] for g in got], kind) for i, kind in enumerate((pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int64())))]],
+                names=["id", "shingles", "parts", "prints", "wide"],
+            )
+
+        return step
+
+    kind = docs.schema[id_col].dataType.simpleString()
+    own = docs.filter(F.col(id_col).isNotNull()).select(id_col, text_col)
+    rows = saved(map_arrow(own, make, f"id {kind}, shingles long, parts array<int>, prints array<long>, wide array<long>"))
+    classes = rows.groupBy("shingles").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    same = rows.select("id", "shingles").join(classes, "shingles").select(F.col("first").alias("a"), F.col("id").alias("b")).filter("a <> b")
+    same = saved(same.distinct())
+    firsts = saved(rows.join(same.select(F.col("b").alias("id")).distinct(), "id", "left_anti"))
+    prints = firsts.select("id", F.explode(F.arrays_zip("parts", "prints")).alias("x")).select("id", F.col("x.parts").alias("part"), F.col("x.prints").alias("fp"))
+    prints = saved(prints.distinct())
+    near = near_links(prints.select("part", "fp").distinct(), distance, space="part")
+    # Fingerprints of different parts are different nodes.
+    node = lambda fp: F.xxhash64("part", F.col(fp))
+    roots = components(near.select(node("a").alias("a"), node("b").alias("b")))
+    buckets = prints.select("id", node("fp").alias("node")).join(roots, "node", "left").select("id", F.coalesce("root", "node").alias("bucket")).distinct()
+    sizes = saved(buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1"))
+    met = saved(buckets.join(sizes, "bucket"))
+    company = met.groupBy("id").agg(F.sum("size").alias("company"))
+    met = saved(met.join(company, "id").join(firsts.select("id", "wide"), "id"))
+    bits = F.aggregate(F.zip_with("a.wide", "b.wide", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda acc, x: acc + x)
+    alike = bits <= most_bits(similarity)
+
+    def linked(members: DataFrame, others: DataFrame) -> DataFrame:
+        pairs = members.alias("a").join(others.alias("b"), F.col("a.bucket") == F.col("b.bucket")).filter(alike)
+        return pairs.select(F.col("a.bucket").alias("bucket"), F.col("a.id").alias("a"), F.col("b.id").alias("b"))
+
+    small = met.filter(F.col("size") <= SMALL)
+    found = [same, linked(small, small).filter("a < b").select("a", "b")]
+    large = met.filter(F.col("size") > SMALL)
+    pending = saved(large)
+    while pending.limit(1).count():
+        turn = F.row_number().over(Window.partitionBy("bucket").orderBy(F.desc("company"), "id"))
+        leaders = saved(pending.withColumn("turn", turn).filter(F.col("turn") <= LEADERS).drop("turn"))
+        step = saved(linked(large, leaders).distinct())
+        found.append(step.filter("a <> b").select("a", "b"))
+        done = step.select("bucket", F.col("a").alias("id")).union(leaders.select("bucket", "id")).distinct()
+        pending = saved(pending.join(done, ["bucket", "id"], "left_anti"))
+    links = found[0]
+    for more in found[1:]:
+        links = links.union(more)
+    return components(links).select(F.col("node").alias("id"), F.col("root").alias("group_id"))
+
+
+def one_of_each(docs: DataFrame, words: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text", most_broadcast: int = 2_000_000) -> DataFrame:
+    """docs without the documents of each group but its smallest id, all columns kept.
+
+    The ids that go are broadcast if they are at most most_broadcast (8 bytes each) and joined by a shuffle beyond that.
+    """
+    gone = saved(similar_groups(docs, words, similarity, 2, id_col, text_col).filter("id <> group_id").select(F.col("id").alias("_gone")))
+    if gone.count() <= most_broadcast:
+        gone = F.broadcast(gone)
+    return docs.join(gone, F.col(id_col) == F.col("_gone"), "left_anti")
+
+
 def hex_of(fp: str = "fp"):
     """A fingerprint as 16 lower-case hex digits."""
     return F.lower(F.lpad(F.hex(F.col(fp)), 16, "0"))

@@ -7,7 +7,7 @@ from itertools import combinations
 from math import comb
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .shared import saved
@@ -133,8 +133,12 @@ def near_links(prints: DataFrame, distance: int = 2, sample_rows: int = 2_000, s
 
     data = prints.select(*extra, "fp", spread(lambda i, mask, _: F.array(F.struct(F.lit(i).alias("piece"), masked(mask).alias("key")))).alias("k")).select(*extra, "fp", "k.piece", "k.key")
     key = [*extra, "piece", "key"]
-    hot_keys = saved(data.groupBy(*key).count().filter(F.col("count") > HOT).select(*key, F.lit(True).alias("hot")))
-    data = saved(data.join(hot_keys, key, "left").withColumn("hot", F.coalesce("hot", F.lit(False))))
+    count = F.count(F.lit(1)).over(Window.partitionBy(*key))
+    data = data.withColumn("n", count)
+    if not any(radius for _, _, radius in used):
+        # Nothing probes a bucket of one.
+        data = data.filter("n > 1")
+    data = saved(data.withColumn("hot", F.col("n") > HOT).drop("n"))
     probes = data
     if any(radius for _, _, radius in used):
         masks = F.array(*[F.lit(None).cast("array<long>") if r < 0 else F.array(*[F.lit(x) for x in flips(m, r)]) for m, r in zip(plan.masks, plan.radii, strict=True)])

@@ -72,7 +72,7 @@ def near_groups(docs: DataFrame, words: int = 3, distance: int = 2, id_col: str
 
 
 #: Fingerprints of parts of a text, and words of the wide fingerprint of the whole text.
-PARTS, WIDE = 8, 4
+PART_BITS, WIDE = 4, 4
 #: Members of one bucket up to which all pairs are compared; larger ones compare all members with LEADERS at a time.
 SMALL, LEADERS = 64, 16
 
@@ -85,8 +85,9 @@ def mixed(hashes: np.ndarray, turn: int) -> np.ndarray:
     return z ^ z >> np.uint64(31)
 
 
-def part_prints(text: str, words: int) -> tuple[int, list[int], list[int], list[int]]:
-    """(digest of the set of shingles, parts that have shingles, fingerprint of each, wide fingerprint of all).
+def part_prints(text: str, words: int) -> tuple[int, np.ndarray, list[int], list[int], list[int]]:
+    """(digest of the set of shingles, the set as 32-bit hashes, parts that have shingles, fingerprint of each, wide
+    fingerprint of all).
 
     A shingle belongs to the part that the smallest hash among its words names, so an edited word changes the shingles of
     few parts, and texts that share most shingles agree in some part.
@@ -94,32 +95,36 @@ def part_prints(text: str, words: int) -> tuple[int, list[int], list[int], list[
     hashes = shingle_hashes(text, words)
     found = text.encode("utf-8").lower().split()
     if not found:
-        return 0, [], [], [0] * WIDE
+        return 0, np.zeros(0, dtype=np.int32), [], [], [0] * WIDE
     own = np.array([xxhash.xxh32_intdigest(w, SEED) for w in found], dtype=np.uint32)
     least = own[: len(hashes)].copy()
     for k in range(1, min(words, len(found))):
         least = np.minimum(least, own[k : k + len(hashes)])
-    part = (least * np.uint32(0x9E3779B1) >> np.uint32(29)).astype(int)
+    part = (least * np.uint32(0x9E3779B1) >> np.uint32(32 - PART_BITS)).astype(int)
     hashes, first = np.unique(hashes, return_index=True)
-    part = part[first]
-    parts = [p for p in range(PARTS) if (part == p).any()]
+    order = np.argsort(part[first], kind="stable")
+    ordered, part = hashes[order], part[first][order]
+    cuts = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
+    ones = np.add.reduceat(np.unpackbits(ordered.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little"), cuts, axis=0, dtype=np.int32)
+    sizes = np.diff(np.append(cuts, len(part)))
+    prints = np.packbits(ones * 2 > sizes[:, None], axis=1, bitorder="little").view("<i8").ravel().tolist()
     digest = int(np.array(xxhash.xxh64_intdigest(hashes.tobytes(), SEED), dtype=np.uint64).view(np.int64))
-    return digest, parts, [majority(hashes[part == p]) for p in parts], [majority(mixed(hashes, k)) for k in range(WIDE)]
+    return digest, (hashes >> np.uint64(32)).astype(np.uint32).view(np.int32), part[cuts].tolist(), prints, [majority(mixed(hashes, k)) for k in range(WIDE)]
 
 
 def most_bits(similarity: float) -> int:
-    """Differing bits of a wide fingerprint that two sets of this Jaccard similarity have on average."""
-    cosine = 2 * similarity / (1 + similarity)
-    return round(64 * WIDE * math.acos(cosine) / math.pi)
+    """Differing bits of the wide fingerprints of two sets of this Jaccard similarity: the mean and three deviations."""
+    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    return round(64 * WIDE * share + 3 * math.sqrt(64 * WIDE * share * (1 - share)))
 
 
 def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, distance: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, group_id) of every document that is in a group with another one; group_id is the group's smallest id.
 
     Documents are candidates if fingerprints of one part differ in at most `distance` bits, found by the
-    generalised pigeonhole plan, and alike if their wide fingerprints differ by no more bits than sets of words-word
-    shingles of this Jaccard similarity do. Documents with equal sets of shingles are one class and only its
-    smallest id is compared. In buckets of over SMALL documents, all are compared with LEADERS documents at a
+    generalised pigeonhole plan, and alike if their sets of words-word shingles have this Jaccard similarity, which is
+    counted where their wide fingerprints don't rule it out. Documents with equal sets are one class, of which
+    only the smallest id is compared. In buckets of over SMALL documents, all are compared with LEADERS documents at a
     time, those with most company first, until each is alike to one of them or has been one: such groups grow by
     leaders, and two members that only meet each other may stay apart.
 
@@ -130,15 +135,15 @@ def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, dis
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             got = [part_prints(t or "", words) for t in batch.column(1).to_pylist()]
             return pa.record_batch(
-                [batch.column(0), *[pa.array([g[i] for g in got], kind) for i, kind in enumerate((pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int64())))]],
-                names=["id", "shingles", "parts", "prints", "wide"],
+                [batch.column(0), *[pa.array([g[i] for g in got], kind) for i, kind in enumerate((pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int64())))]],
+                names=["id", "shingles", "members", "parts", "prints", "wide"],
             )
 
         return step
 
     kind = docs.schema[id_col].dataType.simpleString()
     own = docs.filter(F.col(id_col).isNotNull()).select(id_col, text_col)
-    rows = saved(map_arrow(own, make, f"id {kind}, shingles long, parts array<int>, prints array<long>, wide array<long>"))
+    rows = saved(map_arrow(own, make, f"id {kind}, shingles long, members array<int>, parts array<int>, prints array<long>, wide array<long>"))
     classes = rows.groupBy("shingles").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
     same = rows.select("id", "shingles").join(classes, "shingles").select(F.col("first").alias("a"), F.col("id").alias("b")).filter("a <> b")
     same = saved(same.distinct())
@@ -155,22 +160,25 @@ def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, dis
     company = met.groupBy("id").agg(F.sum("size").alias("company"))
     met = saved(met.join(company, "id").join(firsts.select("id", "wide"), "id"))
     bits = F.aggregate(F.zip_with("a.wide", "b.wide", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda acc, x: acc + x)
-    alike = bits <= most_bits(similarity)
+    sets = rows.select("id", "members")
 
-    def linked(members: DataFrame, others: DataFrame) -> DataFrame:
-        pairs = members.alias("a").join(others.alias("b"), F.col("a.bucket") == F.col("b.bucket")).filter(alike)
-        return pairs.select(F.col("a.bucket").alias("bucket"), F.col("a.id").alias("a"), F.col("b.id").alias("b"))
+    def linked(members: DataFrame, others: DataFrame, test: str) -> DataFrame:
+        pairs = members.alias("a").join(others.alias("b"), F.col("a.bucket") == F.col("b.bucket")).filter(bits <= most_bits(similarity))
+        pairs = saved(pairs.select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).filter(test).distinct())
+        both = pairs.join(sets.select(F.col("id").alias("a"), F.col("members").alias("x")), "a").join(sets.select(F.col("id").alias("b"), F.col("members").alias("y")), "b")
+        common = F.size(F.array_intersect("x", "y"))
+        return saved(both.filter(common >= similarity * (F.size("x") + F.size("y") - common)).select("a", "b"))
 
     small = met.filter(F.col("size") <= SMALL)
-    found = [same, linked(small, small).filter("a < b").select("a", "b")]
+    found = [same, linked(small, small, "a < b")]
     large = met.filter(F.col("size") > SMALL)
     pending = saved(large)
     while pending.limit(1).count():
         turn = F.row_number().over(Window.partitionBy("bucket").orderBy(F.desc("company"), "id"))
         leaders = saved(pending.withColumn("turn", turn).filter(F.col("turn") <= LEADERS).drop("turn"))
-        step = saved(linked(large, leaders).distinct())
-        found.append(step.filter("a <> b").select("a", "b"))
-        done = step.select("bucket", F.col("a").alias("id")).union(leaders.select("bucket", "id")).distinct()
+        found.append(linked(large, leaders, "a <> b"))
+        near = found[-1].join(leaders.select(F.col("id").alias("b"), "bucket"), "b").select("bucket", F.col("a").alias("id"))
+        done = near.union(leaders.select("bucket", "id")).distinct()
         pending = saved(pending.join(done, ["bucket", "id"], "left_anti"))
     links = found[0]
     for more in found[1:]:

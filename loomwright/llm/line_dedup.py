@@ -73,27 +73,60 @@ def candidate_pairs(lines: DataFrame, threshold: int, least_chars: int) -> DataF
     return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
-def edit_distance(a: Column, b: Column, threshold: int) -> Column:
-    """Edit distance of two strings if it is at most threshold, else null: a banded automaton with a word for each distance.
+def without_common_ends(pairs: DataFrame) -> DataFrame:
+    """pairs with line_a and line_b without the beginning and the end that both have; no edit distance depends on them.
 
-    Bit d of word k says that, with k edits, the read part of a can be followed at place i + d - threshold of b. A
-    character of a moves all words at once: along equal characters, past a replaced, an added or (within one step) a
-    missing one.
+    The lengths of both ends are found by halving steps.
+    """
+    a, b = F.col("line_a"), F.col("line_b")
+    n, m = F.char_length(a), F.char_length(b)
+    steps = F.filter(F.array(*[F.lit(1 << k) for k in range(30, -1, -1)]), lambda p: p <= F.col("least"))
+
+    def begin(acc: Column, p: Column) -> Column:
+        fits = (p <= F.col("least") - acc) & (F.substring(a, acc + 1, p) == F.substring(b, acc + 1, p))
+        return F.when(fits, acc + p).otherwise(acc)
+
+    def end(acc: Column, p: Column) -> Column:
+        fits = (p <= F.col("least") - F.col("first") - acc) & (F.substring(a, n - acc - p + 1, p) == F.substring(b, m - acc - p + 1, p))
+        return F.when(fits, acc + p).otherwise(acc)
+
+    rows = pairs.select("a", "b", "line_a", "line_b", F.least(n, m).alias("least"))
+    rows = rows.select("*", F.aggregate(steps, F.lit(0), begin).alias("first"))
+    rows = rows.select("*", F.aggregate(steps, F.lit(0), end).alias("last"))
+    cut = lambda line, size: F.substring(line, F.col("first") + 1, size - F.col("first") - F.col("last"))
+    return rows.select("a", "b", cut(a, n).alias("line_a"), cut(b, m).alias("line_b"))
+
+
+def with_distance(pairs: DataFrame, threshold: int) -> DataFrame:
+    """pairs (a, b, line_a, line_b) with `distance`: the lines' edit distance if it is at most threshold, else null.
+
+    A banded automaton with a word of bits for each distance. Bit d of word k says that, with k edits, what is read of
+    line_a can be followed at place i + d - threshold of line_b. First every character of line_a gets the word of
+    places in the band where line_b has the same character; then each such word moves all words at once: along equal
+    characters, past a replaced, an added or (within one step) a missing one.
     """
     width = 2 * threshold + 1
     full = (1 << width) - 1
-    left, right = F.split(a, ""), F.split(b, "")
-    n, m = F.char_length(a), F.char_length(b)
+    near = pairs.filter(F.abs(F.char_length("line_a") - F.char_length("line_b")) <= threshold)
+    near = without_common_ends(near)
+    letters = lambda c: F.when(F.col(c) == "", F.array().cast("array<string>")).otherwise(F.split(c, ""))
+    cut = near.select("a", "b", letters("line_a").alias("x"), letters("line_b").alias("y"))
+
+    def mask(c: Column, i: Column) -> Column:
+        out = F.lit(0)
+        for d in range(width):
+            place = i + (d - threshold)
+            # A negative place would count from the end.
+            other = F.get(F.col("y"), place) if d >= threshold else F.when(place >= 0, F.get(F.col("y"), place))
+            out = out + F.when(other == c, 1 << d).otherwise(0)
+        return out
+
+    masked = cut.select("a", "b", (F.size("y") - F.size("x")).alias("longer"), F.transform("x", mask).alias("masks"))
 
     def left_shift(word: Column) -> Column:
         return F.shiftleft(word, 1).bitwiseAND(F.lit(full))
 
-    def step(acc: Column, i: Column) -> Column:
-        c = F.get(left, i)
-        same = F.lit(0)
-        for d in range(width):
-            other = F.when(i + (d - threshold) >= 0, F.get(right, i + (d - threshold)))
-            same = same + F.when(F.coalesce(c == other, F.lit(False)), 1 << d).otherwise(0)
+    def step(acc: Column, same: Column) -> Column:
         words = [acc["r0"].bitwiseAND(same)]
         for k in range(1, threshold + 1):
             was = acc[f"r{k - 1}"]
@@ -105,17 +138,12 @@ def edit_distance(a: Column, b: Column, threshold: int) -> Column:
     for _ in range(threshold):
         start.append((start[-1] | start[-1] << 1) & full)
     first = F.struct(*[F.lit(w).alias(f"r{k}") for k, w in enumerate(start)])
-    place = m - n + threshold
-    bit = lambda word: F.call_function("shiftright", word, place).bitwiseAND(F.lit(1)) == 1
-
-    def finish(acc: Column) -> Column:
-        out = F.lit(None).cast("int")
-        for k in range(threshold, -1, -1):
-            out = F.when(bit(acc[f"r{k}"]), k).otherwise(out)
-        return out
-
-    steps = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
-    return F.when(F.abs(m - n) <= threshold, F.aggregate(steps, first, step, finish))
+    read = masked.select("a", "b", "longer", F.aggregate("masks", first, step).alias("words"))
+    distance = F.lit(None).cast("int")
+    for k in range(threshold, -1, -1):
+        reached = F.call_function("shiftright", F.col("words")[f"r{k}"], F.col("longer") + threshold).bitwiseAND(F.lit(1)) == 1
+        distance = F.when(reached, k).otherwise(distance)
+    return read.select("a", "b", distance.alias("distance"))
 
 
 def links(lines: DataFrame, threshold: int, least_chars: int, most_broadcast: int = 2_000_000) -> DataFrame:
@@ -131,8 +159,10 @@ def links(lines: DataFrame, threshold: int, least_chars: int, most_broadcast: in
     texts = saved(lines.join(wanted, "h").groupBy("h").agg(F.first("line").alias("line")))
     both = pairs.join(texts.select(F.col("h").alias("a"), F.col("line").alias("line_a")), "a")
     both = both.join(texts.select(F.col("h").alias("b"), F.col("line").alias("line_b")), "b")
-    measured = both.select("a", "b", edit_distance(F.col("line_a"), F.col("line_b"), threshold).alias("distance"))
-    return saved(measured.filter("distance IS NOT NULL"))
+    # Few rows with much work each: dealt out by pair, not by size.
+    both = both.repartition(2 * int(both.sparkSession.conf.get("spark.sql.shuffle.partitions")), "a", "b")
+    # Written before the filter, which would otherwise be pushed into the expressions and repeat them.
+    return saved(with_distance(both, threshold)).filter("distance IS NOT NULL")
 
 
 def line_classes(docs: DataFrame, threshold: int = 2, least_chars: int = 24, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

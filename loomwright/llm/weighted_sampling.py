@@ -49,7 +49,7 @@ def signature_columns(samples: int) -> list[Column]:
 
 def signature(samples: int) -> Column:
     """An array of longs from the columns s0, s1, ...: a digest of each sample's drawn value; a text without terms has zeros."""
-    return F.array(*[F.coalesce(F.xxhash64(F.col(f"s{i}")), F.lit(0).cast("long")) for i in range(samples)])
+    return F.array(*[F.when(F.col(f"s{i}").isNull(), F.lit(0).cast("long")).otherwise(F.xxhash64(F.col(f"s{i}"))) for i in range(samples)])
 
 
 def likeness(a: Column, b: Column) -> Column:

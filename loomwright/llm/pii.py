@@ -30,7 +30,7 @@ GENERATORS = {
     "email": r"[A-Za-z0-9._%+-]{1,64}\x20?(?:@|\(at\)|\[at\])\x20?[A-Za-z0-9-]{1,63}(?:\x20?(?:\.|\(dot\)|\[dot\])\x20?[A-Za-z0-9-]{1,63}){1,8}",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,4})?(?![A-Za-z0-9])",
     "number": r"[(+]?[0-9][0-9\x20()./-]{5,}[0-9]",
-    "secret": r"(?<![A-Za-z0-9_/+-])[A-Za-z0-9_/+-]{16,}={0,2}",
+    "secret": r"(?<![A-Za-z0-9_/+-])(?=[A-Za-z_/+-]*[0-9])[A-Za-z0-9_/+-]{16,}={0,2}",
 }
 CONTEXT = r"(?i)(?:token|secret|passw|pwd|api|key|bearer|tel|phone|fon|call|fax|card|visa|iban|konto|account|ssn|passport|mail|contact|ip|host)[^A-Za-z]{0,6}$"
 FEATURES = ("kind", "length", "digits", "letters", "upper", "groups", "dots", "plus", "at", "luhn", "octets", "hex", "context", "assigned", "spaces", "mixed")
@@ -96,10 +96,20 @@ def candidates(text: Column) -> Column:
     return F.sort_array(F.concat(*parts))
 
 
-def features(text: Column, span: Column) -> list[Column]:
-    """Format and context features of a candidate, as doubles in the order of FEATURES."""
-    c = F.substring(text, span["start"] + 1, span["end"] - span["start"])
-    before = F.substring(text, F.greatest(span["start"] - 23, F.lit(1)), F.least(span["start"], F.lit(24)))
+def cut_out(text: Column, spans: Column) -> Column:
+    """spans with what stands in them (c) and up to 24 code points before them, cut out of text once for all features."""
+
+    def cut(s: Column) -> Column:
+        c = F.substring(text, s["start"] + 1, s["end"] - s["start"])
+        before = F.substring(text, F.greatest(s["start"] - 23, F.lit(1)), F.least(s["start"], F.lit(24)))
+        return F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"), c.alias("c"), before.alias("before"))
+
+    return F.transform(spans, cut)
+
+
+def features(span: Column) -> list[Column]:
+    """Format and context features of a candidate that cut_out has made, as doubles in the order of FEATURES."""
+    c, before = span["c"], span["before"]
     n, digits = F.char_length(c), digits_of(c)
     letters = F.char_length(F.regexp_replace(c, "[^A-Za-z]", ""))
     flags = lambda test: F.when(test, 1.0).otherwise(0.0)
@@ -152,11 +162,11 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most_do
     chosen = docs.select(F.col(id_col).alias("_id"), F.col(text_col)).filter(F.pmod(F.xxhash64("_id", F.lit("pii")), F.lit(max(1, total // most_docs))) == 0)
     text = F.col("_text")
     found = prepared(chosen, text_col, "_id").filter(text.rlike(r"[0-9@]|[A-Za-z0-9_/+-]{16}")).select("_id", "_text", base_spans(text).alias("_base"), candidates(text).alias("_found"))
-    rows = found.select("_id", "_text", "_base", F.explode("_found").alias("_c"))
-    own = features(text, F.col("_c"))
+    rows = found.select("_id", "_base", F.explode(cut_out(text, F.col("_found"))).alias("_c"))
+    own = features(F.col("_c"))
     named = dict(zip(FEATURES, own, strict=True))
     label = F.exists("_base", lambda s: overlaps(s, F.col("_c"))) | ((named["context"] > 0) & (named["assigned"] > 0) & (named["digits"] > 0) & (named["letters"] > 0))
-    sample = rows.select(F.array(*own).alias("x"), label.cast("double").alias("y"), F.xxhash64("_id", "_c").alias("h")).orderBy("h", "x", "y").limit(most_rows).collect()
+    sample = rows.select(F.array(*own).alias("x"), label.cast("double").alias("y"), F.xxhash64("_id", "_c.start", "_c.kind").alias("h")).orderBy("h", "x", "y").limit(most_rows).collect()
     x = np.array([r.x for r in sample], dtype=float).reshape(len(sample), len(FEATURES))
     y = np.array([r.y for r in sample], dtype=float)
     turn = np.arange(len(sample)) % 3
@@ -182,11 +192,12 @@ def find(docs: DataFrame, model: PiiModel, text_col: str = "text", keep: tuple[s
     empty = F.array().cast(SPAN)
     rows = prepared(docs, text_col, *keep).select("*", F.when(some, base_spans(text)).otherwise(empty).alias("_base"), F.when(some, candidates(text)).otherwise(empty).alias("_found"))
     free = F.filter("_found", lambda c: ~F.exists("_base", lambda s: overlaps(s, c)))
-    rows = rows.select(*keep, "_text", "_base", free.alias("_free"))
+    rows = rows.select(*keep, "_text", "_base", free.alias("_free")).withColumn("_free", cut_out(text, F.col("_free")))
     if not np.isfinite(model.margin) or not model.trees.trees:
         return rows.select(*keep, "_text", "_base", F.col("_base").alias("_spans"))
-    picked = F.filter("_free", lambda c: model.trees.column(features(text, c)) >= model.margin)
-    rows = rows.select(*keep, "_text", "_base", picked.alias("_picked"))
+    picked = F.filter("_free", lambda c: model.trees.column(features(c)) >= model.margin)
+    bare = lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"))
+    rows = rows.select(*keep, "_text", "_base", F.transform(picked, bare).alias("_picked"))
 
     def longer(a: Column, b: Column) -> Column:
         na, nb = a["end"] - a["start"], b["end"] - b["start"]

@@ -39,7 +39,7 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_weighted_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = weighted_sampling.compare_edited(table(spark, sf_dir, "documents"))
+    found = weighted_sampling.compare_edited(table(spark, sf_dir, "documents"), samples=32)
     hexes = [weighted_sampling.as_hex(F.col(a)).alias(b) for a, b in (("signature", "fingerprint"), ("edited_signature", "edited_fingerprint"))]
     return found.select("doc_id", "n_chars", "edited_sha256", *hexes, "near_edited", "near_next")
 

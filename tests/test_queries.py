@@ -5,6 +5,7 @@ import os
 import duckdb
 import pytest
 
+import loomwright.plans.more_queries  # noqa: F401
 from loomwright.plans.queries import ORACLE_SQL, QUERIES
 
 DATA = "/root/testdata/sf0.001"

@@ -74,7 +74,7 @@ def near_groups(docs: DataFrame, words: int = 3, distance: int = 2, id_col: str
 #: Fingerprints of parts of a text, and words of the wide fingerprint of the whole text.
 PART_BITS, WIDE = 4, 4
 #: Members of one bucket up to which all pairs are compared; larger ones compare all members with LEADERS at a time.
-SMALL, LEADERS = 64, 16
+SMALL, LEADERS = 256, 64
 
 
 def mixed(hashes: np.ndarray, turn: int) -> np.ndarray:

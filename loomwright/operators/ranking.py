@@ -23,5 +23,6 @@ def hash_order(column: str) -> Column:
 
 def competing(df: DataFrame, key: str, score: str, margin: float) -> DataFrame:
     """Per key the two best scores and whether they are within margin."""
-    best = df.groupBy(key).agg(F.slice(F.sort_array(F.collect_list(score), asc=False), 1, 2).alias("_two"))
+    two = top_per_key(df.select(key, score), [key], [F.desc(score)], 2)
+    best = two.groupBy(key).agg(F.sort_array(F.collect_list(score), asc=False).alias("_two"))
     return best.select(key, F.col("_two")[0].alias("best"), F.get("_two", F.lit(1)).alias("second")).withColumn("competing", F.coalesce(F.col("best") - F.col("second") < margin, F.lit(False)))

@@ -86,11 +86,11 @@ class ToxicityModel:
         return np.clip(self.calibration(self.trees.margin(rows)), 0.0, 1.0)
 
 
-def learned_lexicon(sets: list[set[str]], label: np.ndarray, least_z: float = 6.0, least_docs: int = 4) -> frozenset[str]:
+def learned_lexicon(texts: list[str], label: np.ndarray, least_z: float = 6.0, least_docs: int = 4) -> frozenset[str]:
     """Words in more toxic texts than chance allows, by the z-score of their share, and the seed."""
     seen: dict[str, list[int]] = {}
-    for words, y in zip(sets, label.tolist(), strict=True):
-        for w in words:
+    for text, y in zip(texts, label.tolist(), strict=True):
+        for w in set(WORD.findall(text.lower())):
             pair = seen.setdefault(w, [0, 0])
             pair[0] += y
             pair[1] += 1
@@ -138,10 +138,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_co
         rows.append((row.y, row.t))
     rows = [rows[i] for i in first_of_copies([t for _, t in rows])]
     y = np.array([r[0] for r in rows], dtype=float)
-    sets = [{w.lower() for w in WORD.findall(t)} for _, t in rows]
     turn = np.arange(len(rows)) % calibration_share
     learn, check = turn != 0, turn == 0
-    lexicon = learned_lexicon([s for s, k in zip(sets, learn, strict=True) if k], y[learn])
+    lexicon = learned_lexicon([t for (_, t), k in zip(rows, learn, strict=True) if k], y[learn])
     x = np.array([features(t, lexicon) for _, t in rows]).reshape(len(rows), len(FEATURES))
     trees = Boosted().fit(x[learn], y[learn])
     return ToxicityModel(lexicon, trees, Isotonic().fit(trees.margin(x[check]), y[check]))

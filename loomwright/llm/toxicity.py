@@ -24,6 +24,8 @@ SEED = frozenset(
 SECOND_PERSON = frozenset("you your yours yourself u ur tu toi te ton ta tes vous votre vos du dich dir dein deine ihr euch usted tú ti ustedes vosotros".split())
 #: Words around a lexicon word in which an address to the reader counts.
 NEAR = 5
+#: Letters of a word's beginning that may be in the lexicon by themselves.
+STEMS = (5, 6, 7)
 
 WORD = re.compile(r"[^\W\d_]+(?:[*@$!0-9][^\W\d_]+)*", re.UNICODE)
 OBFUSCATED = re.compile(r"[^\W\d_][*@$!0-9]+[^\W\d_]", re.UNICODE)
@@ -37,7 +39,18 @@ FEATURES = (
 )
 
 
-def features(text: str, lexicon: frozenset[str]) -> list[float]:
+class Lexicon:
+    """Words, and beginnings of words, that toxic texts have."""
+
+    def __init__(self, words: frozenset[str], stems: frozenset[str]) -> None:
+        self.words, self.stems = words, stems
+        self.heads = frozenset(s[: STEMS[0]] for s in stems)
+
+    def __contains__(self, word: str) -> bool:
+        return word in self.words or word[: STEMS[0]] in self.heads and any(word[:k] in self.stems for k in STEMS if len(word) > k)
+
+
+def features(text: str, lexicon: Lexicon) -> list[float]:
     """The dense features of a whole text; all but the counts of words are rates."""
     found = WORD.findall(text)
     words = [w.lower() for w in found]
@@ -75,7 +88,7 @@ def features(text: str, lexicon: frozenset[str]) -> list[float]:
 
 @dataclass
 class ToxicityModel:
-    lexicon: frozenset[str]
+    lexicon: Lexicon
     trees: Boosted
     calibration: Isotonic
 
@@ -86,17 +99,19 @@ class ToxicityModel:
         return np.clip(self.calibration(self.trees.margin(rows)), 0.0, 1.0)
 
 
-def learned_lexicon(texts: list[str], label: np.ndarray, least_z: float = 6.0, least_docs: int = 4) -> frozenset[str]:
-    """Words in more toxic texts than chance allows, by the z-score of their share, and the seed."""
+def learned_lexicon(texts: list[str], label: np.ndarray, least_z: float = 6.0, least_docs: int = 4) -> Lexicon:
+    """Words and beginnings of words in more toxic texts than chance allows, by the z-score of their share, and the seed."""
     seen: dict[str, list[int]] = {}
     for text, y in zip(texts, label.tolist(), strict=True):
-        for w in set(WORD.findall(text.lower())):
+        words = set(WORD.findall(text.lower()))
+        words |= {w[:k] + "*" for w in words for k in STEMS if len(w) > k}
+        for w in words:
             pair = seen.setdefault(w, [0, 0])
             pair[0] += y
             pair[1] += 1
     p = float(label.mean()) if len(label) else 0.0
     found = {w for w, (a, n) in seen.items() if a >= least_docs and a - n * p > least_z * (n * p * (1 - p) + 1e-9) ** 0.5 and a / n > min(0.5, 3 * p)}
-    return frozenset(found) | SEED
+    return Lexicon(frozenset(w for w in found if w[-1] != "*") | SEED, frozenset(w[:-1] for w in found if w[-1] == "*"))
 
 
 def first_of_copies(texts: list[str]) -> list[int]:

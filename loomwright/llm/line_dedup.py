@@ -28,31 +28,22 @@ def segment(length: Column, i: int, parts: int) -> tuple[Column, Column]:
     return size * i + longer, size + F.when(i >= parts - over, 1).otherwise(0)
 
 
-#: Letters whose numbers in a line, modulo 8, stand in the low bits of its keys.
-LETTERS = "eaintrso"
-LETTER_BITS = 3 * len(LETTERS)
+#: Letters of which a line's keys tell, in their low bits, whether it has an odd number.
+LETTERS = "etaonisrhldcumfpgwybvkxj"
+LETTER_BITS = len(LETTERS)
 
 
-def letter_counts(line: Column) -> Column:
-    """The numbers of LETTERS in a line, 3 bits each."""
+def letter_parities(line: Column) -> Column:
+    """A bit for each of LETTERS: is its number in the line odd?"""
     out = F.lit(0).cast("long")
     for k, letter in enumerate(LETTERS):
         n = F.octet_length(line) - F.octet_length(F.replace(line, F.lit(letter), F.lit("")))
-        out = out.bitwiseOR(F.shiftleft(n.cast("long").bitwiseAND(F.lit(7)), 3 * k))
-    return out
-
-
-def letters_apart(a: Column, b: Column) -> Column:
-    """A lower bound of how far the letter counts of two keys lie apart: an edit changes at most two of them by one."""
-    out = F.lit(0)
-    for k in range(len(LETTERS)):
-        x, y = (F.shiftright(c, 3 * k).bitwiseAND(F.lit(7)) for c in (a, b))
-        out = out + F.least((x - y).bitwiseAND(F.lit(7)), (y - x).bitwiseAND(F.lit(7))).cast("int")
+        out = out.bitwiseOR(F.shiftleft(n.cast("long").bitwiseAND(F.lit(1)), k))
     return out
 
 
 def segment_key(line: Column, length: Column, i: int, start: Column, size: Column) -> Column:
-    """40 bits of a segment's hash over the line's letter counts. Where the first 40 bits agree by chance, verifying tells."""
+    """40 bits of a segment's hash over the line's letter parities. Where the first 40 bits agree by chance, verifying tells."""
     return F.xxhash64(F.lit(i), length, F.substring(line, start + 1, size)).bitwiseAND(F.lit(-1 << LETTER_BITS)).bitwiseOR(F.col("letters"))
 
 
@@ -82,10 +73,10 @@ def probe_keys(threshold: int, least_chars: int) -> list[Column]:
 
 
 def candidate_pairs(lines: DataFrame, threshold: int, least_chars: int) -> DataFrame:
-    """(a, b) of distinct lines that share a segment at a possible place and nearly all letter counts, a < b."""
+    """(a, b) of distinct lines that share a segment at a possible place and nearly all letter parities, a < b."""
     index, probe = index_keys(threshold), probe_keys(threshold, least_chars)
     names = [f"k{i}" for i in range(len(index) + len(probe))]
-    lines = lines.filter(F.col("n") >= least_chars).withColumn("letters", letter_counts(F.col("line")))
+    lines = lines.filter(F.col("n") >= least_chars).withColumn("letters", letter_parities(F.col("line")))
     keyed = lines.select("h", *[k.alias(c) for k, c in zip([*index, *probe], names, strict=True)])
     # Copies of one line meet here, already combined within each task.
     distinct = keyed.groupBy("h").agg(*[F.min(c).alias(c) for c in names])
@@ -96,7 +87,9 @@ def candidate_pairs(lines: DataFrame, threshold: int, least_chars: int) -> DataF
 
     x, y = spread(names[: len(index)], "x", "p"), spread(names[len(index) :], "y", "q")
     same = F.shiftright("p", LETTER_BITS) == F.shiftright("q", LETTER_BITS)
-    met = x.join(y, same & (F.col("x") != F.col("y")) & (letters_apart(F.col("p"), F.col("q")) <= 2 * threshold))
+    # An edit changes the parity of at most two letters.
+    apart = F.bit_count(F.col("p").bitwiseXOR(F.col("q")).bitwiseAND(F.lit((1 << LETTER_BITS) - 1)))
+    met = x.join(y, same & (F.col("x") != F.col("y")) & (apart <= 2 * threshold))
     return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 

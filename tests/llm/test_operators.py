@@ -1,7 +1,6 @@
 """Each operator on small tables: exact or brute-force results, and nulls, empty texts, ties, repeats and clashing columns."""
 
 import hashlib
-import json
 import random
 import re
 import zlib

@@ -78,8 +78,8 @@ def candidate_pairs(lines: DataFrame, threshold: int, least_chars: int) -> DataF
     names = [f"k{i}" for i in range(len(index) + len(probe))]
     lines = lines.filter(F.col("n") >= least_chars).withColumn("letters", letter_parities(F.col("line")))
     keyed = lines.select("h", *[k.alias(c) for k, c in zip([*index, *probe], names, strict=True)])
-    # Copies of one line meet here, already combined within each task.
-    distinct = keyed.groupBy("h").agg(*[F.min(c).alias(c) for c in names])
+    # Copies of one line meet here, already combined within each task. Written once, as both sides of the join read it.
+    distinct = saved(keyed.groupBy("h").agg(*[F.min(c).alias(c) for c in names]))
 
     def spread(columns: list[str], line: str, key: str) -> DataFrame:
         rows = distinct.select(F.col("h").alias(line), F.explode(F.array(*columns)).alias(key))

@@ -71,8 +71,8 @@ def near_groups(docs: DataFrame, words: int = 3, distance: int = 2, id_col: str
     return rows.join(classes, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
 
 
-#: Fingerprints of parts of a text, and words of the wide fingerprint of the whole text.
-PART_BITS, WIDE = 4, 4
+#: Words of the wide fingerprint of a text.
+WIDE = 4
 #: Members of one bucket up to which all pairs are compared; larger ones compare all members with LEADERS at a time.
 SMALL, LEADERS = 256, 64
 
@@ -85,31 +85,54 @@ def mixed(hashes: np.ndarray, turn: int) -> np.ndarray:
     return z ^ z >> np.uint64(31)
 
 
-def part_prints(text: str, words: int) -> tuple[int, np.ndarray, list[int], list[int], list[int]]:
-    """(digest of the set of shingles, the set as 32-bit hashes, parts that have shingles, fingerprint of each, wide
-    fingerprint of all).
+def share_of(n: int, share: float) -> int:
+    """The least whole number that is at least this share of n."""
+    return math.ceil(n * share - 1e-9)
 
-    A shingle belongs to the part that the smallest hash among its words names, so an edited word changes the shingles of
-    few parts, and texts that share most shingles agree in some part.
+
+def common_shingles(docs: DataFrame, words: int, id_col: str, text_col: str, least_docs: int = 20_000, most: int = 200_000) -> tuple[np.ndarray, np.ndarray]:
+    """(sorted hashes, how often) of at most `most` shingles that three or more of the documents looked at have.
+
+    All documents are looked at if there are fewer than 2 * least_docs, a tenth or more by hash otherwise.
     """
-    hashes = shingle_hashes(text, words)
-    found = text.encode("utf-8").lower().split()
-    if not found:
-        return 0, np.zeros(0, dtype=np.int32), [], [], [0] * WIDE
-    own = np.array([xxhash.xxh32_intdigest(w, SEED) for w in found], dtype=np.uint32)
-    least = own[: len(hashes)].copy()
-    for k in range(1, min(words, len(found))):
-        least = np.minimum(least, own[k : k + len(hashes)])
-    part = (least * np.uint32(0x9E3779B1) >> np.uint32(32 - PART_BITS)).astype(int)
-    hashes, first = np.unique(hashes, return_index=True)
-    order = np.argsort(part[first], kind="stable")
-    ordered, part = hashes[order], part[first][order]
-    cuts = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
-    ones = np.add.reduceat(np.unpackbits(ordered.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little"), cuts, axis=0, dtype=np.int32)
-    sizes = np.diff(np.append(cuts, len(part)))
-    prints = np.packbits(ones * 2 > sizes[:, None], axis=1, bitorder="little").view("<i8").ravel().tolist()
+    every = max(1, min(10, docs.count() // least_docs))
+
+    def make():
+        def step(batch: pa.RecordBatch) -> pa.RecordBatch:
+            got = [np.unique(shingle_hashes(t or "", words)) for t in batch.column(0).to_pylist()]
+            return pa.record_batch([pa.array(np.concatenate(got).view(np.int64))], names=["shingle"])
+
+        return step
+
+    some = docs.filter(F.pmod(F.xxhash64(id_col, F.lit("shingles")), F.lit(every)) == 0).select(text_col)
+    counts = map_arrow(some, make, "shingle long").groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).filter("n > 2")
+    found = counts.orderBy(F.desc("n"), "shingle").limit(most).toArrow()
+    hashes, often = found.column("shingle").to_numpy().view(np.uint64), found.column("n").to_numpy()
+    order = np.argsort(hashes)
+    return hashes[order], often[order]
+
+
+def rarest(hashes: np.ndarray, common: tuple[np.ndarray, np.ndarray], similarity: float) -> np.ndarray:
+    """Of a sorted set of hashes, so many of the rarest that a set of this Jaccard similarity has one of them among its own.
+
+    Alike sets share at least `similarity` of each one's members. Whatever the order, if it is one for all sets, the first
+    shared member is then among the first n - similarity * n + 1 of both. Here members that aren't common come first.
+    """
+    known, often = common
+    times = np.zeros(len(hashes), dtype=np.int64)
+    if len(known):
+        at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+        times = np.where(known[at] == hashes, often[at], 0)
+    return hashes[np.argsort(times, kind="stable")[: len(hashes) - share_of(len(hashes), similarity) + 1]]
+
+
+def set_facts(text: str, words: int, common: tuple[np.ndarray, np.ndarray], similarity: float) -> tuple[int, np.ndarray, np.ndarray, int, list[int]]:
+    """(digest of the set of shingles, the set as 32-bit hashes, its rarest members, fingerprint, wide fingerprint)."""
+    hashes = np.unique(shingle_hashes(text, words))
+    if not len(hashes):
+        return 0, np.zeros(0, dtype=np.int32), np.zeros(0, dtype=np.int64), 0, [0] * WIDE
     digest = int(np.array(xxhash.xxh64_intdigest(hashes.tobytes(), SEED), dtype=np.uint64).view(np.int64))
-    return digest, (hashes >> np.uint64(32)).astype(np.uint32).view(np.int32), part[cuts].tolist(), prints, [majority(mixed(hashes, k)) for k in range(WIDE)]
+    return digest, (hashes >> np.uint64(32)).astype(np.uint32).view(np.int32), rarest(hashes, common, similarity).view(np.int64), majority(hashes), [majority(mixed(hashes, k)) for k in range(WIDE)]
 
 
 def most_bits(similarity: float) -> int:
@@ -121,40 +144,38 @@ def most_bits(similarity: float) -> int:
 def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, distance: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, group_id) of every document that is in a group with another one; group_id is the group's smallest id.
 
-    Documents are candidates if fingerprints of one part differ in at most `distance` bits, found by the
-    generalised pigeonhole plan, and alike if their sets of words-word shingles have this Jaccard similarity, which is
-    counted where their wide fingerprints don't rule it out. Documents with equal sets are one class, of which
-    only the smallest id is compared. In buckets of over SMALL documents, all are compared with LEADERS documents at a
-    time, those with most company first, until each is alike to one of them or has been one: such groups grow by
-    leaders, and two members that only meet each other may stay apart.
+    Documents are alike if their sets of words-word shingles have this Jaccard similarity. Candidates are all that share
+    one of their rarest shingles, which alike sets always do, and those whose fingerprints are joined by links of at
+    most `distance` bits. The similarity is counted where wide fingerprints don't rule it out. Documents with
+    equal sets are one class, of which only the smallest id is compared. In buckets of over SMALL documents, all are
+    compared with LEADERS documents at a time, those with most company first, until each is alike to one of them or has
+    been one: such groups grow by leaders, and two members that only meet each other may stay apart.
 
     Texts without a word are alike. Null ids are in no group; rows of one id are one document.
     """
 
     def make():
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            got = [part_prints(t or "", words) for t in batch.column(1).to_pylist()]
-            return pa.record_batch(
-                [batch.column(0), *[pa.array([g[i] for g in got], kind) for i, kind in enumerate((pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int64())))]],
-                names=["id", "shingles", "members", "parts", "prints", "wide"],
-            )
+            got = [set_facts(t or "", words, common, similarity) for t in batch.column(1).to_pylist()]
+            kinds = (pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.int64(), pa.list_(pa.int64()))
+            arrays = [pa.array([g[i] for g in got], kind) for i, kind in enumerate(kinds)]
+            return pa.record_batch([batch.column(0), *arrays], names=["id", "shingles", "members", "rarest", "fp", "wide"])
 
         return step
 
     kind = docs.schema[id_col].dataType.simpleString()
     own = docs.filter(F.col(id_col).isNotNull()).select(id_col, text_col)
-    rows = saved(map_arrow(own, make, f"id {kind}, shingles long, members array<int>, parts array<int>, prints array<long>, wide array<long>"))
+    common = common_shingles(own, words, id_col, text_col)
+    rows = saved(map_arrow(own, make, f"id {kind}, shingles long, members array<int>, rarest array<long>, fp long, wide array<long>"))
     classes = rows.groupBy("shingles").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
     same = rows.select("id", "shingles").join(classes, "shingles").select(F.col("first").alias("a"), F.col("id").alias("b")).filter("a <> b")
     same = saved(same.distinct())
-    firsts = saved(rows.join(same.select(F.col("b").alias("id")).distinct(), "id", "left_anti"))
-    prints = firsts.select("id", F.explode(F.arrays_zip("parts", "prints")).alias("x")).select("id", F.col("x.parts").alias("part"), F.col("x.prints").alias("fp"))
-    prints = saved(prints.distinct())
-    near = near_links(prints.select("part", "fp").distinct(), distance, space="part")
-    # Fingerprints of different parts are different nodes.
-    node = lambda fp: F.xxhash64("part", F.col(fp))
-    roots = components(near.select(node("a").alias("a"), node("b").alias("b")))
-    buckets = prints.select("id", node("fp").alias("node")).join(roots, "node", "left").select("id", F.coalesce("root", "node").alias("bucket")).distinct()
+    gone = same.select(F.col("b").alias("id")).distinct()
+    firsts = saved(rows.join(gone, "id", "left_anti"))
+    roots = components(near_links(firsts.select("fp").distinct(), distance))
+    groups = firsts.select("id", "fp").join(roots.withColumnRenamed("node", "fp"), "fp", "left")
+    groups = groups.select("id", F.xxhash64(F.lit("fp"), F.coalesce("root", "fp")).alias("bucket"))
+    buckets = firsts.select("id", F.explode("rarest").alias("bucket")).union(groups).distinct()
     sizes = saved(buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1"))
     met = saved(buckets.join(sizes, "bucket"))
     company = met.groupBy("id").agg(F.sum("size").alias("company"))

@@ -369,6 +369,37 @@ def test_similar_groups(spark, odd):
     assert simhash.one_of_each(nothing(spark)).count() == 0
 
 
+def sets_of_five(rows):
+    out = {}
+    for i, t in rows:
+        w = t.lower().split()
+        out[i] = {" ".join(w[k : k + 5]) for k in range(len(w) - 4)}
+    return out
+
+
+def alike(sets):
+    return lambda a, b: len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])
+
+
+def test_similar_groups_of_long_texts(spark):
+    """Scattered edits in texts of 2,000 to 20,000 words, at Jaccard similarities around 0.80 to 0.90."""
+    draw = random.Random(3)
+    vocabulary, weights = [f"w{k}" for k in range(5000)], [1 / (k + 1) for k in range(5000)]
+    rows, pairs = [], []
+    for size, n in ((2000, 20), (6000, 12), (20000, 4)):
+        for _ in range(n):
+            words = draw.choices(vocabulary, weights, k=size)
+            share = draw.uniform(0.011, 0.023)
+            edited = [draw.choices(vocabulary, weights)[0] if draw.random() < share else w for w in words]
+            pairs.append((len(rows), len(rows) + 1))
+            rows += [(len(rows), " ".join(words)), (len(rows) + 1, " ".join(edited))]
+    sets = sets_of_five(rows)
+    want = {p for p in pairs if alike(sets)(*p)}
+    assert 20 < len(want) < len(pairs)
+    got = {(r.group_id, r.id) for r in simhash.similar_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect() if r.id != r.group_id}
+    assert got == want, f"{len(got & want)} of {len(want)}"
+
+
 # Weighted sampling
 
 

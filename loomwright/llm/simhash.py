@@ -7,7 +7,7 @@ import math
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
@@ -73,8 +73,6 @@ def near_groups(docs: DataFrame, words: int = 3, distance: int = 2, id_col: str
 
 #: Words of the wide fingerprint of a text.
 WIDE = 4
-#: Members of one bucket up to which all pairs are compared; larger ones compare all members with LEADERS at a time.
-SMALL, LEADERS = 256, 64
 
 
 def mixed(hashes: np.ndarray, turn: int) -> np.ndarray:
@@ -146,10 +144,12 @@ def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, dis
 
     Documents are alike if their sets of words-word shingles have this Jaccard similarity. Candidates are all that share
     one of their rarest shingles, which alike sets always do, and those whose fingerprints are joined by links of at
-    most `distance` bits. The similarity is counted where wide fingerprints don't rule it out. Documents with
-    equal sets are one class, of which only the smallest id is compared. In buckets of over SMALL documents, all are
-    compared with LEADERS documents at a time, those with most company first, until each is alike to one of them or has
-    been one: such groups grow by leaders, and two members that only meet each other may stay apart.
+    most `distance` bits. The similarity is counted where wide fingerprints don't rule it out.
+
+    Every document is compared with one of each bucket first, and with a random one of those it isn't joined to next.
+    Last, all candidates of a bucket that aren't joined by then are compared in pairs, whatever the bucket's size, so
+    the groups are those of all alike candidates. Documents with equal sets are one class, of which only the smallest
+    id is compared.
 
     Texts without a word are alike. Null ids are in no group; rows of one id are one document.
     """
@@ -171,40 +171,52 @@ def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, dis
     same = rows.select("id", "shingles").join(classes, "shingles").select(F.col("first").alias("a"), F.col("id").alias("b")).filter("a <> b")
     same = saved(same.distinct())
     gone = same.select(F.col("b").alias("id")).distinct()
-    firsts = saved(rows.join(gone, "id", "left_anti"))
-    roots = components(near_links(firsts.select("fp").distinct(), distance))
-    groups = firsts.select("id", "fp").join(roots.withColumnRenamed("node", "fp"), "fp", "left")
-    groups = groups.select("id", F.xxhash64(F.lit("fp"), F.coalesce("root", "fp")).alias("bucket"))
-    buckets = firsts.select("id", F.explode("rarest").alias("bucket")).union(groups).distinct()
-    sizes = saved(buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1"))
-    met = saved(buckets.join(sizes, "bucket"))
-    company = met.groupBy("id").agg(F.sum("size").alias("company"))
-    met = saved(met.join(company, "id").join(firsts.select("id", "wide"), "id"))
-    bits = F.aggregate(F.zip_with("a.wide", "b.wide", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda acc, x: acc + x)
-    sets = rows.select("id", "members")
-
-    def linked(members: DataFrame, others: DataFrame, test: str) -> DataFrame:
-        pairs = members.alias("a").join(others.alias("b"), F.col("a.bucket") == F.col("b.bucket")).filter(bits <= most_bits(similarity))
-        pairs = saved(pairs.select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).filter(test).distinct())
-        both = pairs.join(sets.select(F.col("id").alias("a"), F.col("members").alias("x")), "a").join(sets.select(F.col("id").alias("b"), F.col("members").alias("y")), "b")
+    firsts = saved(rows.join(gone, "id", "left_anti").dropDuplicates(["id"]).withColumn("n", F.size("members")))
+    sets, facts = firsts.select("id", "members"), firsts.select("id", "n", "wide")
+    bits = F.aggregate(F.zip_with("u", "v", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda acc, x: acc + x)
+
+    def alike(pairs: DataFrame) -> DataFrame:
+        """Those of the distinct pairs (a, b) that have the similarity."""
+        both = pairs.join(facts.toDF("a", "n", "u"), "a").join(facts.toDF("b", "m", "v"), "b")
+        near = saved(both.filter(like_size("n", "m") & (bits <= most_bits(similarity))).select("a", "b"))
+        both = near.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
         common = F.size(F.array_intersect("x", "y"))
         return saved(both.filter(common >= similarity * (F.size("x") + F.size("y") - common)).select("a", "b"))
 
-    small = met.filter(F.col("size") <= SMALL)
-    found = [same, linked(small, small, "a < b")]
-    large = met.filter(F.col("size") > SMALL)
-    pending = saved(large)
-    while pending.limit(1).count():
-        turn = F.row_number().over(Window.partitionBy("bucket").orderBy(F.desc("company"), "id"))
-        leaders = saved(pending.withColumn("turn", turn).filter(F.col("turn") <= LEADERS).drop("turn"))
-        found.append(linked(large, leaders, "a <> b"))
-        near = found[-1].join(leaders.select(F.col("id").alias("b"), "bucket"), "b").select("bucket", F.col("a").alias("id"))
-        done = near.union(leaders.select("bucket", "id")).distinct()
-        pending = saved(pending.join(done, ["bucket", "id"], "left_anti"))
-    links = found[0]
-    for more in found[1:]:
-        links = links.union(more)
-    return components(links).select(F.col("node").alias("id"), F.col("root").alias("group_id"))
+    def like_size(n: str, m: str) -> Column:
+        return F.least(n, m) >= similarity * F.greatest(n, m)
+
+    def ordered(a: str, b: str) -> list[Column]:
+        return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
+
+    # Links of fingerprints, one document each, and the documents of each joined set of fingerprints.
+    roots = components(near_links(firsts.select("fp").distinct(), distance)).withColumnRenamed("node", "fp")
+    groups = saved(firsts.select("id", "fp").join(roots, "fp", "left").select("id", F.coalesce("root", "fp").alias("bucket")))
+    heads = groups.groupBy("bucket").agg(F.min("id").alias("leader"))
+    stars = groups.join(heads, "bucket").filter("id <> leader").select(*ordered("id", "leader"))
+    keyed = firsts.select("id", "n", F.explode("rarest").alias("bucket"))
+    shared = saved(keyed.groupBy("bucket").agg(F.min("id").alias("leader"), F.max("id").alias("last")).filter("leader <> last").drop("last"))
+    met = saved(keyed.join(shared, "bucket"))
+    tried = saved(met.filter("id <> leader").select(*ordered("id", "leader")).union(stars).distinct())
+    links = alike(tried)
+
+    def unjoined(met: DataFrame) -> DataFrame:
+        """(bucket, id, n, root) of buckets with documents that aren't joined yet."""
+        roots = components(links).withColumnRenamed("node", "id")
+        rows = saved(met.select("bucket", "id", "n").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id")))
+        mixed = rows.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("bucket")
+        return saved(rows.join(mixed, "bucket", "left_semi"))
+
+    met = unjoined(met)
+    chosen = met.groupBy("bucket").agg(F.min(F.struct(F.xxhash64("bucket", "id"), F.col("id").alias("leader"), F.col("root").alias("other"))).alias("x"))
+    pairs = met.join(chosen.select("bucket", "x.leader", "x.other"), "bucket").filter("root <> other").select(*ordered("id", "leader")).distinct()
+    pairs = saved(pairs.join(tried, ["a", "b"], "left_anti"))
+    tried, links = tried.union(pairs), links.union(alike(pairs))
+    met = unjoined(met)
+    x, y = met.toDF("bucket", "a", "n", "r"), met.toDF("bucket", "b", "m", "s")
+    pairs = x.join(y, (x["bucket"] == y["bucket"]) & F.expr("a < b AND r <> s") & like_size("n", "m")).select("a", "b").distinct()
+    links = links.union(alike(pairs.join(tried, ["a", "b"], "left_anti")))
+    return components(same.union(links)).select(F.col("node").alias("id"), F.col("root").alias("group_id"))
 
 
 def one_of_each(docs: DataFrame, words: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text", most_broadcast: int = 2_000_000) -> DataFrame:

@@ -400,6 +400,20 @@ def test_similar_groups_of_long_texts(spark):
     assert got == want, f"{len(got & want)} of {len(want)}"
 
 
+def test_similar_groups_joined_by_a_chain(spark):
+    """Two groups of 300 that only two members join, all in buckets of over 256."""
+    base = [f"w{k}" for k in range(400)]
+
+    def text(letter, n, own):
+        return " ".join([*base, *[f"{letter}{k}" for k in range(n)], *own])
+
+    rows = [(i, text("x", 80, [f"a{i}"])) for i in range(300)] + [(300 + i, text("y", 80, [f"b{i}"])) for i in range(300)] + [(700, text("x", 40, [])), (701, text("y", 40, []))]
+    near = alike(sets_of_five(rows))
+    assert near(700, 701) and all(near(700, i) and not near(701, i) and near(701, 300 + i) and not near(700, 300 + i) for i in range(300)) and not near(0, 300)
+    got = {r.id: r.group_id for r in simhash.similar_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: 0 for i, _ in rows}
+
+
 # Weighted sampling
 
 

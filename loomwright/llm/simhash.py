@@ -71,18 +71,10 @@ def near_groups(docs: DataFrame, words: int = 3, distance: int = 2, id_col: str
     return rows.join(classes, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
 
 
-#: Words of the wide fingerprint of a text.
+#: Words of a set's parities.
 WIDE = 4
 
 
-def mixed(hashes: np.ndarray, turn: int) -> np.ndarray:
-    """Other hashes for the same things: one for each turn."""
-    z = hashes + np.uint64((0x9E3779B97F4A7C15 * (turn + 1)) % 2**64)
-    z = (z ^ z >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
-    z = (z ^ z >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
-    return z ^ z >> np.uint64(31)
-
-
 def share_of(n: int, share: float) -> int:
     """The least whole number that is at least this share of n."""
     return math.ceil(n * share - 1e-9)
@@ -124,19 +116,19 @@ def rarest(hashes: np.ndarray, common: tuple[np.ndarray, np.ndarray], similarity
     return hashes[np.argsort(times, kind="stable")[: len(hashes) - share_of(len(hashes), similarity) + 1]]
 
 
+def parities(hashes: np.ndarray) -> list[int]:
+    """64 * WIDE bits: does an odd number of the hashes fall to it? Each member that only one of two sets has changes one bit."""
+    odd = np.bincount((hashes % np.uint64(64 * WIDE)).astype(np.int64), minlength=64 * WIDE) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8").tolist()
+
+
 def set_facts(text: str, words: int, common: tuple[np.ndarray, np.ndarray], similarity: float) -> tuple[int, np.ndarray, np.ndarray, int, list[int]]:
-    """(digest of the set of shingles, the set as 32-bit hashes, its rarest members, fingerprint, wide fingerprint)."""
+    """(digest of the set of shingles, the set as 32-bit hashes, its rarest members, fingerprint, parities)."""
     hashes = np.unique(shingle_hashes(text, words))
     if not len(hashes):
         return 0, np.zeros(0, dtype=np.int32), np.zeros(0, dtype=np.int64), 0, [0] * WIDE
     digest = int(np.array(xxhash.xxh64_intdigest(hashes.tobytes(), SEED), dtype=np.uint64).view(np.int64))
-    return digest, (hashes >> np.uint64(32)).astype(np.uint32).view(np.int32), rarest(hashes, common, similarity).view(np.int64), majority(hashes), [majority(mixed(hashes, k)) for k in range(WIDE)]
-
-
-def most_bits(similarity: float) -> int:
-    """Differing bits of the wide fingerprints of two sets of this Jaccard similarity: the mean and three deviations."""
-    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    return round(64 * WIDE * share + 3 * math.sqrt(64 * WIDE * share * (1 - share)))
+    return digest, (hashes >> np.uint64(32)).astype(np.uint32).view(np.int32), rarest(hashes, common, similarity).view(np.int64), majority(hashes), parities(hashes)
 
 
 def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, distance: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -144,7 +136,8 @@ def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, dis
 
     Documents are alike if their sets of words-word shingles have this Jaccard similarity. Candidates are all that share
     one of their rarest shingles, which alike sets always do, and those whose fingerprints are joined by links of at
-    most `distance` bits. The similarity is counted where wide fingerprints don't rule it out.
+    most `distance` bits. The similarity is counted where sizes and parities, which err for no pair, don't rule it
+    out.
 
     Every document is compared with one of each bucket first, and with a random one of those it isn't joined to next.
     Last, all candidates of a bucket that aren't joined by then are compared in pairs, whatever the bucket's size, so
@@ -159,26 +152,28 @@ def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, dis
             got = [set_facts(t or "", words, common, similarity) for t in batch.column(1).to_pylist()]
             kinds = (pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.int64(), pa.list_(pa.int64()))
             arrays = [pa.array([g[i] for g in got], kind) for i, kind in enumerate(kinds)]
-            return pa.record_batch([batch.column(0), *arrays], names=["id", "shingles", "members", "rarest", "fp", "wide"])
+            return pa.record_batch([batch.column(0), *arrays], names=["id", "shingles", "members", "rarest", "fp", "odd"])
 
         return step
 
     kind = docs.schema[id_col].dataType.simpleString()
     own = docs.filter(F.col(id_col).isNotNull()).select(id_col, text_col)
     common = common_shingles(own, words, id_col, text_col)
-    rows = saved(map_arrow(own, make, f"id {kind}, shingles long, members array<int>, rarest array<long>, fp long, wide array<long>"))
+    rows = saved(map_arrow(own, make, f"id {kind}, shingles long, members array<int>, rarest array<long>, fp long, odd array<long>"))
     classes = rows.groupBy("shingles").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
     same = rows.select("id", "shingles").join(classes, "shingles").select(F.col("first").alias("a"), F.col("id").alias("b")).filter("a <> b")
     same = saved(same.distinct())
     gone = same.select(F.col("b").alias("id")).distinct()
     firsts = saved(rows.join(gone, "id", "left_anti").dropDuplicates(["id"]).withColumn("n", F.size("members")))
-    sets, facts = firsts.select("id", "members"), firsts.select("id", "n", "wide")
+    sets, facts = firsts.select("id", "members"), firsts.select("id", "n", "odd")
+    # Of two alike sets, at most this share of both sizes is in one set only. The sizes are of 64-bit hashes.
+    most_apart = (1 - similarity) / (1 + similarity) + 1e-9
     bits = F.aggregate(F.zip_with("u", "v", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda acc, x: acc + x)
 
     def alike(pairs: DataFrame) -> DataFrame:
         """Those of the distinct pairs (a, b) that have the similarity."""
         both = pairs.join(facts.toDF("a", "n", "u"), "a").join(facts.toDF("b", "m", "v"), "b")
-        near = saved(both.filter(like_size("n", "m") & (bits <= most_bits(similarity))).select("a", "b"))
+        near = saved(both.filter(like_size("n", "m") & (bits <= (F.col("n") + F.col("m")) * most_apart)).select("a", "b"))
         both = near.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
         common = F.size(F.array_intersect("x", "y"))
         return saved(both.filter(common >= similarity * (F.size("x") + F.size("y") - common)).select("a", "b"))

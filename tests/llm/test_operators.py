@@ -414,6 +414,17 @@ def test_similar_groups_joined_by_a_chain(spark):
     assert got == {i: 0 for i, _ in rows}
 
 
+def test_similar_groups_of_short_texts(spark):
+    """Four shingles against the same four and one more: exactly 0.8."""
+    draw = random.Random(5)
+    rows = []
+    for i in range(0, 2000, 2):
+        words = ["".join(draw.choice("abcdefgh") for _ in range(6)) for _ in range(9)]
+        rows += [(i, " ".join(words[:8])), (i + 1, " ".join(words))]
+    got = {r.id: r.group_id for r in simhash.similar_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: i - i % 2 for i, _ in rows}, f"{len(got) // 2} of 1000"
+
+
 # Weighted sampling
 
 

@@ -5,26 +5,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import saved
+from .shared import free, saved
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, most_broadcast: int = 500_000) -> DataFrame:
     """(node, root) of every node in links (a, b): root is the smallest node reachable.
 
     Each round every node takes the smallest label among its neighbours' and its own, then the label of that label,
     so labels travel twice as far in each round. Rounds end when no label changes. Every round's labels are
-    written to the shared folder. Links may repeat, run either way, or join a node to itself; an empty table
+    written to the shared folder, and broadcast if they are at most most_broadcast (16 bytes each). Links may repeat, run either way, or join a node to itself; an empty table
     gives no rows. Links with a null end are ignored.
     """
     both = links.select("a", "b").union(links.select("b", "a")).filter("a IS NOT NULL AND b IS NOT NULL").distinct()
     both = saved(both)
     labels = saved(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("root")))
+    # Broadcast, no node's links need to come together before they are combined.
+    few = labels.count() <= most_broadcast
+    near_by = F.broadcast if few else lambda df: df
     while True:
-        offered = both.join(labels.select(F.col("node").alias("b"), "root"), "b").groupBy(F.col("a").alias("node")).agg(F.min("root").alias("offer"))
-        nearer = labels.join(offered, "node").select("node", F.col("root").alias("was"), F.least("root", "offer").alias("near"))
+        offered = both.join(near_by(labels.select(F.col("node").alias("b"), "root")), "b").groupBy(F.col("a").alias("node")).agg(F.min("root").alias("offer"))
+        nearer = labels.select("node", "root").join(offered, "node").select("node", F.col("root").alias("was"), F.least("root", "offer").alias("near"))
         jump = labels.select(F.col("node").alias("near"), F.col("root").alias("far"))
-        step = saved(nearer.join(jump, "near", "left").select("node", "was", F.least("near", "far").alias("root")))
+        step = saved(nearer.join(near_by(jump), "near", "left").select("node", "was", F.least("near", "far").alias("root")))
         changed = step.filter("root <> was").limit(1).count()
-        labels = step.select("node", "root")
+        free(labels)
+        labels = step
         if not changed:
-            return labels
+            free(both)
+            return labels.select("node", "root")

@@ -6,19 +6,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import saved
+from .shared import bounded, saved
 
-LINE = ["h", "n"]
+#: What a line is known by: XXH64, length, and a second hash.
+LINE = ["h", "n", "m"]
 
 
 def lines_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, no, line, h, n) of every line, without blanks at its ends; lines are numbered from 0.
+    """(id, no, line, h, n, m) of every line, without blanks at its ends; lines are numbered from 0.
 
-    A line is known by its XXH64 and its length; lines without a character are left out.
+    Lines without a character are left out.
     """
     own = docs.select(F.col(id_col).alias("id"), F.posexplode(F.split(F.coalesce(F.col(text_col), F.lit("")), "\n")).alias("no", "line"))
     own = own.select("id", "no", F.trim("line").alias("line")).filter("line <> ''")
-    return own.select("id", "no", "line", F.xxhash64("line").alias("h"), F.char_length("line").alias("n"))
+    return own.select("id", "no", "line", F.xxhash64("line").alias("h"), F.char_length("line").alias("n"), F.hash("line").alias("m"))
 
 
 def segment(length: Column, i: int, parts: int) -> tuple[Column, Column]:
@@ -28,39 +29,16 @@ def segment(length: Column, i: int, parts: int) -> tuple[Column, Column]:
     return size * i + longer, size + F.when(i >= parts - over, 1).otherwise(0)
 
 
-#: Letters of which a line's keys tell, in their low bits, whether it has an odd number.
-LETTERS = "etaonisrhldcumfpgwybvkxj"
-LETTER_BITS = len(LETTERS)
+def segment_keys(threshold: int, least_chars: int) -> list[Column]:
+    """Keys of a line: first those of its own threshold + 1 segments, then those under which it looks for other lines.
 
-
-def letter_parities(line: Column) -> Column:
-    """A bit for each of LETTERS: is its number in the line odd?"""
-    out = F.lit(0).cast("long")
-    for k, letter in enumerate(LETTERS):
-        n = F.octet_length(line) - F.octet_length(F.replace(line, F.lit(letter), F.lit("")))
-        out = out.bitwiseOR(F.shiftleft(n.cast("long").bitwiseAND(F.lit(1)), k))
-    return out
-
-
-def segment_key(line: Column, length: Column, i: int, start: Column, size: Column) -> Column:
-    """40 bits of a segment's hash over the line's letter parities. Where the first 40 bits agree by chance, verifying tells."""
-    return F.xxhash64(F.lit(i), length, F.substring(line, start + 1, size)).bitwiseAND(F.lit(-1 << LETTER_BITS)).bitwiseOR(F.col("letters"))
-
-
-def index_keys(threshold: int) -> list[Column]:
-    """A key for each of the threshold + 1 segments of a line; the line's length is part of the key."""
-    line, n = F.col("line"), F.col("n")
-    return [segment_key(line, n, i, *segment(n, i, threshold + 1)) for i in range(threshold + 1)]
-
-
-def probe_keys(threshold: int, least_chars: int) -> list[Column]:
-    """Keys under which a line looks for lines as long or up to `threshold` shorter.
-
-    Segment i of the other line is looked for only where it can stand if it is the first one that matches: shifted by at
-    most i edits before it, and by at most threshold - i edits after it, counted from the end.
+    It looks for lines as long as itself or up to `threshold` shorter. Segment i of the other line is looked for only
+    where it can stand if it is the first one that matches: shifted by at most i edits before it, and by at most
+    threshold - i edits after it, counted from the end. For lines of one length, the place that isn't shifted is the
+    line's own segment. The other line's length is part of the key.
     """
     line, n = F.col("line"), F.col("n")
-    keys = []
+    own, probes = [], []
     for shorter in range(threshold + 1):
         length = n - shorter
         for i in range(threshold + 1):
@@ -68,29 +46,53 @@ def probe_keys(threshold: int, least_chars: int) -> list[Column]:
             low, high = max(-i, shorter - (threshold - i)), min(i, shorter + (threshold - i))
             for shift in range(low, high + 1):
                 fits = (length >= least_chars) & (start + shift >= 0) & (start + shift + size <= n)
-                keys.append(F.when(fits, segment_key(line, length, i, start + shift, size)))
-    return keys
+                key = F.when(fits, F.xxhash64(F.lit(i), length, F.substring(line, start + shift + 1, size)))
+                (probes if shorter or shift else own).append(key)
+    return [*own, *probes]
+
 
+def parities(line: Column) -> list[Column]:
+    """Two longs: does an odd number of the line's characters, and of its pairs of neighbours, fall to each bit?
 
-def candidate_pairs(lines: DataFrame, threshold: int, least_chars: int) -> DataFrame:
-    """(a, b) of distinct lines that share a segment at a possible place and nearly all letter parities, a < b."""
-    index, probe = index_keys(threshold), probe_keys(threshold, least_chars)
-    names = [f"k{i}" for i in range(len(index) + len(probe))]
-    lines = lines.filter(F.col("n") >= least_chars).withColumn("letters", letter_parities(F.col("line")))
-    keyed = lines.select("h", *[k.alias(c) for k, c in zip([*index, *probe], names, strict=True)])
-    # Copies of one line meet here, already combined within each task. Written once, as both sides of the join read it.
-    distinct = saved(keyed.groupBy("h").agg(*[F.min(c).alias(c) for c in names]))
+    An edit changes at most 2 bits of the first and 4 of the second.
+    """
+    one = F.lit(1).cast("long")
+    letters = F.split(line, "")
+    flip = lambda acc, bit: acc.bitwiseXOR(F.call_function("shiftleft", one, bit))
+    bit_of = lambda *c: F.pmod(F.xxhash64(*c), F.lit(64)).cast("int")
+    pairs = F.zip_with(F.slice(letters, 1, F.size(letters) - 1), F.slice(letters, 2, F.size(letters) - 1), lambda x, y: bit_of(x, y))
+    zero = F.lit(0).cast("long")
+    return [F.aggregate(F.transform(letters, lambda x: bit_of(x)), zero, flip).alias("odd"), F.aggregate(pairs, zero, flip).alias("odd_pairs")]
+
+
+def with_keys(lines: DataFrame, threshold: int, least_chars: int) -> DataFrame:
+    """(id, no, h, n, m, keys) of lines; keys is null where they are shorter than least_chars."""
+    keys = F.when(F.col("n") >= least_chars, F.array(*segment_keys(threshold, least_chars)))
+    return lines.select("id", "no", *LINE, keys.alias("keys"))
+
+
+def meetings(keyed: DataFrame, threshold: int, most_broadcast: int) -> DataFrame:
+    """(key, h, own) of the lines that share a key with another one, of which one has it as its own; own as a flag.
+
+    Nearly all keys are of one line only, and leave before lines are compared.
+    """
+    keyed = keyed.filter("keys IS NOT NULL")
+    rows = keyed.select("h", F.posexplode("keys").alias("place", "key")).filter("key IS NOT NULL")
+    rows = rows.select("key", "h", (F.col("place") <= threshold).alias("own"))
+    met = rows.groupBy("key").agg(F.min("h").alias("low"), F.max("h").alias("high"), F.max("own").alias("own"))
+    met = bounded(saved(met.filter("own AND low <> high").select("key")), most_broadcast)
+    return saved(rows.join(met, "key").groupBy("key", "h").agg(F.max("own").alias("own")))
 
-    def spread(columns: list[str], line: str, key: str) -> DataFrame:
-        rows = distinct.select(F.col("h").alias(line), F.explode(F.array(*columns)).alias(key))
-        return rows.filter(F.col(key).isNotNull())
 
-    x, y = spread(names[: len(index)], "x", "p"), spread(names[len(index) :], "y", "q")
-    same = F.shiftright("p", LETTER_BITS) == F.shiftright("q", LETTER_BITS)
-    # An edit changes the parity of at most two letters.
-    apart = F.bit_count(F.col("p").bitwiseXOR(F.col("q")).bitwiseAND(F.lit((1 << LETTER_BITS) - 1)))
-    met = x.join(y, same & (F.col("x") != F.col("y")) & (apart <= 2 * threshold))
-    return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+def candidate_pairs(met: DataFrame, texts: DataFrame, threshold: int) -> DataFrame:
+    """(a, b) of lines of meetings() whose parities allow for at most `threshold` edits, a < b."""
+    marked = saved(met.join(bounded(saved(texts.select("h", *parities(F.col("line")))), 500_000), "h"))
+    x, y = marked.filter("own").toDF("h", "key", "own", "odd", "odd_pairs"), marked.toDF("g", "key", "own_too", "even", "even_pairs")
+    # Lines that both have the key as their own are of one length and meet once.
+    once = (F.col("h") < F.col("g")) | (~F.col("own_too") & (F.col("h") != F.col("g")))
+    near = (F.bit_count(F.col("odd").bitwiseXOR(F.col("even"))) <= 2 * threshold) & (F.bit_count(F.col("odd_pairs").bitwiseXOR(F.col("even_pairs"))) <= 4 * threshold)
+    pairs = x.join(y, (x["key"] == y["key"]) & once & near)
+    return pairs.select(F.least("h", "g").alias("a"), F.greatest("h", "g").alias("b")).distinct()
 
 
 def without_common_ends(pairs: DataFrame) -> DataFrame:
@@ -166,17 +168,22 @@ def with_distance(pairs: DataFrame, threshold: int) -> DataFrame:
     return read.select("a", "b", distance.alias("distance"))
 
 
-def links(lines: DataFrame, threshold: int, least_chars: int, most_broadcast: int = 2_000_000) -> DataFrame:
+def ends(links: DataFrame) -> DataFrame:
+    """(h) of both ends of each link."""
+    return links.select(F.col("a").alias("h")).unionAll(links.select(F.col("b").alias("h")))
+
+
+def links(lines: DataFrame, keyed: DataFrame, threshold: int, most_broadcast: int = 1_000_000) -> DataFrame:
     """(a, b, distance) of distinct lines, by their hashes, whose edit distance is at most threshold.
 
-    The texts of lines in candidate pairs are picked out of all lines by a join that broadcasts the pairs' hashes
-    where they are at most most_broadcast (8 bytes each), and shuffles the lines beyond that.
+    keyed is with_keys() of lines. Texts are picked out of all lines by joins that broadcast the hashes wanted where
+    they are at most most_broadcast (8 bytes each), and shuffle the lines beyond that.
     """
-    pairs = saved(candidate_pairs(lines, threshold, least_chars))
-    wanted = saved(pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct())
-    if wanted.count() <= most_broadcast:
-        wanted = F.broadcast(wanted)
+    met = meetings(keyed, threshold, most_broadcast)
+    wanted = bounded(saved(met.select("h").distinct()), most_broadcast)
     texts = saved(lines.join(wanted, "h").groupBy("h").agg(F.first("line").alias("line")))
+    pairs = saved(candidate_pairs(met, texts, threshold))
+    texts = bounded(saved(texts.join(bounded(saved(ends(pairs).distinct()), most_broadcast), "h")), 20_000)
     both = pairs.join(texts.select(F.col("h").alias("a"), F.col("line").alias("line_a")), "a")
     both = both.join(texts.select(F.col("h").alias("b"), F.col("line").alias("line_b")), "b")
     # Few rows with much work each: dealt out by pair, not by size.
@@ -185,28 +192,35 @@ def links(lines: DataFrame, threshold: int, least_chars: int, most_broadcast: in
     return saved(with_distance(both, threshold)).filter("distance IS NOT NULL")
 
 
-def line_classes(docs: DataFrame, threshold: int = 2, least_chars: int = 24, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def line_classes(docs: DataFrame, threshold: int = 2, least_chars: int = 24, id_col: str = "doc_id", text_col: str = "text", most_broadcast: int = 500_000) -> DataFrame:
     """(id, no, class_id, class_no, n_links, kept) of every line that isn't blank.
 
     Lines are one class if they are equal, or linked by edit distances of at most threshold, directly or through
     others; lines of fewer than least_chars characters only if they are equal. The class is named by its first
     line by id and number, which alone is kept; n_links counts the other distinct lines that a line is linked to.
     Lines are compared without blanks at their ends. A null id comes before all others. The same row given twice
-    has each line twice, at one place, with one verdict. An empty table gives no rows.
+    has each line twice, at one place, with one verdict. Null and empty texts have no lines; texts of any length are read
+    whole. An empty table gives no rows. Columns of docs other than the two named are not read.
+
+    A line that no other line equals or is linked to is its own class; only the others are looked up, by a broadcast of
+    at most most_broadcast of them or by a shuffle.
     """
     lines = lines_of(docs, id_col, text_col)
-    places = saved(lines.select("id", "no", *LINE))
-    found = links(lines, threshold, least_chars)
-    roots = components(found)
-    degree = found.select(F.explode(F.array("a", "b")).alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("n_links"))
-    linked = saved(roots.withColumnRenamed("node", "h").join(degree, "h"))
-    distinct = places.groupBy(*LINE).agg(F.min(F.struct("id", "no")).alias("place"))
-    distinct = saved(distinct.join(linked, "h", "left").select(*LINE, "place", F.coalesce("n_links", F.lit(0)).alias("n_links"), "root"))
-    merged = distinct.filter("root IS NOT NULL").groupBy("root").agg(F.min("place").alias("first"))
-    classes = saved(distinct.join(merged, "root", "left").select(*LINE, F.coalesce("first", "place").alias("first"), "n_links"))
-    out = places.join(classes, LINE)
+    keyed = saved(with_keys(lines, threshold, least_chars))
+    places = keyed.select("id", "no", *LINE)
+    found = links(lines, keyed, threshold)
+    linked = components(found).withColumnRenamed("node", "h").join(ends(found).groupBy("h").agg(F.count(F.lit(1)).alias("n_links")), "h")
+    linked = bounded(saved(linked), most_broadcast)
+    distinct = places.groupBy(*LINE).agg(F.min(F.struct("id", "no")).alias("place"), F.count(F.lit(1)).alias("size"))
+    distinct = distinct.join(linked, "h", "left").filter("size > 1 OR root IS NOT NULL")
+    distinct = saved(distinct.select(*LINE, "place", F.coalesce("n_links", F.lit(0)).alias("n_links"), "root"))
+    merged = bounded(saved(distinct.filter("root IS NOT NULL").groupBy("root").agg(F.min("place").alias("first"))), most_broadcast)
+    classes = distinct.join(merged, "root", "left").select(*LINE, F.coalesce("first", "place").alias("first"), "n_links")
     here = F.struct("id", "no")
-    return out.select("id", "no", F.col("first.id").alias("class_id"), F.col("first.no").alias("class_no"), "n_links", here.eqNullSafe(F.col("first")).alias("kept"))
+    out = places.join(bounded(saved(classes), most_broadcast), LINE, "left").withColumn("first", F.coalesce("first", here))
+    return out.select(
+        "id", "no", F.col("first.id").alias("class_id"), F.col("first.no").alias("class_no"), F.coalesce("n_links", F.lit(0)).alias("n_links"), here.eqNullSafe(F.col("first")).alias("kept")
+    )
 
 
 def removed_lines(docs: DataFrame, threshold: int = 2, least_chars: int = 24, id_col: str = "doc_id", text_col: str = "text", most_broadcast: int = 500_000) -> DataFrame:

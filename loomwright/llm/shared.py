@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import functools
 import shutil
 import tempfile
 import uuid
+import weakref
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -24,23 +26,69 @@ def held_out(doc_id: Column) -> Column:
 
 @functools.cache
 def own_folder() -> str:
-    """For sessions without spark.checkpoint.dir: tests on one machine. Removed when Python ends."""
-    root = tempfile.mkdtemp(prefix="loomwright-")
+    """For sessions on one machine without spark.checkpoint.dir, such as tests. Removed when Python ends."""
+    root = tempfile.mkdtemp(prefix="spark-loomwright-")
     atexit.register(shutil.rmtree, root, ignore_errors=True)
     return root
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """A new folder's path under the shared folder that the session names in spark.checkpoint.dir."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or own_folder()
+    """A new folder's path under the shared folder that the session names in spark.checkpoint.dir.
+
+    On a cluster that setting must be there: executors don't share the driver's local folders.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        root = own_folder()
     return f"{root.rstrip('/')}/loomwright-{uuid.uuid4().hex}"
 
 
+#: Folders of the tables that saved() has made, and lists of those made meanwhile that a caller keeps.
+_folders: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+_lists: list[list[str]] = []
+
+
 def saved(df: DataFrame) -> DataFrame:
     """Write df to the shared folder as Parquet and read it again: cuts lineage, survives lost executors."""
     path = scratch_dir(df.sparkSession)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    _folders[out] = path
+    for held in _lists:
+        held.append(path)
+    return out
+
+
+def remove(spark: SparkSession, paths: list[str]) -> None:
+    """Delete scratch folders; those that are gone don't matter."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for path in paths:
+        where = jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(conf).delete(where, True)
+
+
+def free(*tables: DataFrame) -> None:
+    """Delete what saved() wrote for tables that nothing reads any more."""
+    for df in tables:
+        if path := _folders.pop(df, None):
+            remove(df.sparkSession, [path])
+
+
+@contextlib.contextmanager
+def listed(paths: list[str]) -> Iterator[None]:
+    """Add the folders that saved() makes within to paths."""
+    _lists.append(paths)
+    try:
+        yield
+    finally:
+        _lists.pop()
+
+
+def bounded(df: DataFrame, most_rows: int) -> DataFrame:
+    """df, which saved() has made, marked for broadcast if it has at most most_rows rows; else the same join runs by shuffle."""
+    return F.broadcast(df) if df.count() <= most_rows else df
 
 
 def map_arrow(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .pigeonhole import near_links
-from .shared import map_arrow, saved
+from .shared import bounded, free, map_arrow, saved
 
 SEED = 42
 
@@ -71,8 +72,13 @@ def near_groups(docs: DataFrame, words: int = 3, distance: int = 2, id_col: str
     return rows.join(classes, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
 
 
-#: Words of a set's parities.
-WIDE = 4
+#: Words of a set's parities, and smallest hashes by which it meets others.
+WIDE, LOWEST = 4, 3
+ODD = [f"odd{i}" for i in range(WIDE)]
+#: What a set of shingles is known by: its size and two digests.
+SET = ["n", "digest", "check"]
+#: One document in so many is counted for the order of shingles.
+COUNTED = 8
 
 
 def share_of(n: int, share: float) -> int:
@@ -80,12 +86,12 @@ def share_of(n: int, share: float) -> int:
     return math.ceil(n * share - 1e-9)
 
 
-def common_shingles(docs: DataFrame, words: int, id_col: str, text_col: str, least_docs: int = 20_000, most: int = 200_000) -> tuple[np.ndarray, np.ndarray]:
-    """(sorted hashes, how often) of at most `most` shingles that three or more of the documents looked at have.
+def common_shingles(docs: DataFrame, words: int, id_col: str, text_col: str, most: int = 500_000) -> tuple[np.ndarray, np.ndarray]:
+    """(sorted hashes, how often) of the shingles that two or more of the documents counted have, at most `most` of them.
 
-    All documents are looked at if there are fewer than 2 * least_docs, a tenth or more by hash otherwise.
+    One document in COUNTED is counted, by hash. This gives an order only: any order finds the same groups, and one
+    that puts frequent shingles last compares fewer documents.
     """
-    every = max(1, min(10, docs.count() // least_docs))
 
     def make():
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -94,8 +100,8 @@ def common_shingles(docs: DataFrame, words: int, id_col: str, text_col: str, lea
 
         return step
 
-    some = docs.filter(F.pmod(F.xxhash64(id_col, F.lit("shingles")), F.lit(every)) == 0).select(text_col)
-    counts = map_arrow(some, make, "shingle long").groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).filter("n > 2")
+    some = docs.filter(F.pmod(F.xxhash64(id_col, F.lit("shingles")), F.lit(COUNTED)) == 0).select(text_col)
+    counts = map_arrow(some, make, "shingle long").groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     found = counts.orderBy(F.desc("n"), "shingle").limit(most).toArrow()
     hashes, often = found.column("shingle").to_numpy().view(np.uint64), found.column("n").to_numpy()
     order = np.argsort(hashes)
@@ -122,96 +128,120 @@ def parities(hashes: np.ndarray) -> list[int]:
     return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8").tolist()
 
 
-def set_facts(text: str, words: int, common: tuple[np.ndarray, np.ndarray], similarity: float) -> tuple[int, np.ndarray, np.ndarray, int, list[int]]:
-    """(digest of the set of shingles, the set as 32-bit hashes, its rarest members, fingerprint, parities)."""
-    hashes = np.unique(shingle_hashes(text, words))
-    if not len(hashes):
-        return 0, np.zeros(0, dtype=np.int32), np.zeros(0, dtype=np.int64), 0, [0] * WIDE
-    digest = int(np.array(xxhash.xxh64_intdigest(hashes.tobytes(), SEED), dtype=np.uint64).view(np.int64))
-    return digest, (hashes >> np.uint64(32)).astype(np.uint32).view(np.int32), rarest(hashes, common, similarity).view(np.int64), majority(hashes), parities(hashes)
+def lowest(hashes: np.ndarray) -> list[int]:
+    """The smallest value of LOWEST functions of the hashes: alike sets have each in common with their similarity's chance."""
+    factors = [(0x9E3779B97F4A7C15 * (2 * i + 1) ^ i << 32) | 1 for i in range(LOWEST)]
+    return [int((hashes * np.uint64(f & (1 << 64) - 1)).min().view(np.int64)) for f in factors]
 
 
-def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, distance: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, group_id) of every document that is in a group with another one; group_id is the group's smallest id.
-
-    Documents are alike if their sets of words-word shingles have this Jaccard similarity. Candidates are all that share
-    one of their rarest shingles, which alike sets always do, and those whose fingerprints are joined by links of at
-    most `distance` bits. The similarity is counted where sizes and parities, which err for no pair, don't rule it
-    out.
+def set_facts(text: str, words: int, common: tuple[np.ndarray, np.ndarray], similarity: float) -> list:
+    """Size and digests of the set of shingles, the set as 32-bit hashes, its rarest and lowest members, fingerprint, parities."""
+    hashes = np.unique(shingle_hashes(text, words))
+    if not len(hashes):
+        return [0, 0, 0, hashes.astype(np.int32), hashes.astype(np.int64), [], 0, *[0] * WIDE]
+    digests = [int(np.array(xxhash.xxh64_intdigest(hashes.tobytes(), seed), dtype=np.uint64).view(np.int64)) for seed in (SEED, SEED + 1)]
+    members = (hashes >> np.uint64(32)).astype(np.uint32).view(np.int32)
+    return [len(hashes), *digests, members, rarest(hashes, common, similarity).view(np.int64), lowest(hashes), majority(hashes), *parities(hashes)]
 
-    Every document is compared with one of each bucket first, and with a random one of those it isn't joined to next.
-    Last, all candidates of a bucket that aren't joined by then are compared in pairs, whatever the bucket's size, so
-    the groups are those of all alike candidates. Documents with equal sets are one class, of which only the smallest
-    id is compared.
 
-    Texts without a word are alike. Null ids are in no group; rows of one id are one document.
-    """
+def documents_as_sets(docs: DataFrame, words: int, similarity: float, id_col: str, text_col: str) -> DataFrame:
+    """(id, n, digest, check, members, rarest, lowest, fp, odd0...) of every row with an id, written once."""
+    own = docs.filter(F.col(id_col).isNotNull()).select(id_col, text_col)
+    common = docs.sparkSession.sparkContext.broadcast(common_shingles(own, words, id_col, text_col))
+    longs, ints = pa.list_(pa.int64()), pa.list_(pa.int32())
+    kinds = [pa.int64(), pa.int64(), pa.int64(), ints, longs, longs, pa.int64(), *[pa.int64()] * WIDE]
+    names = ["id", *SET, "members", "rarest", "lowest", "fp", *ODD]
 
     def make():
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            got = [set_facts(t or "", words, common, similarity) for t in batch.column(1).to_pylist()]
-            kinds = (pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.int64(), pa.list_(pa.int64()))
-            arrays = [pa.array([g[i] for g in got], kind) for i, kind in enumerate(kinds)]
-            return pa.record_batch([batch.column(0), *arrays], names=["id", "shingles", "members", "rarest", "fp", "odd"])
+            got = [set_facts(t or "", words, common.value, similarity) for t in batch.column(1).to_pylist()]
+            return pa.record_batch([batch.column(0), *[pa.array([g[i] for g in got], kind) for i, kind in enumerate(kinds)]], names=names)
 
         return step
 
     kind = docs.schema[id_col].dataType.simpleString()
-    own = docs.filter(F.col(id_col).isNotNull()).select(id_col, text_col)
-    common = common_shingles(own, words, id_col, text_col)
-    rows = saved(map_arrow(own, make, f"id {kind}, shingles long, members array<int>, rarest array<long>, fp long, odd array<long>"))
-    classes = rows.groupBy("shingles").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    same = rows.select("id", "shingles").join(classes, "shingles").select(F.col("first").alias("a"), F.col("id").alias("b")).filter("a <> b")
-    same = saved(same.distinct())
-    gone = same.select(F.col("b").alias("id")).distinct()
-    firsts = saved(rows.join(gone, "id", "left_anti").dropDuplicates(["id"]).withColumn("n", F.size("members")))
-    sets, facts = firsts.select("id", "members"), firsts.select("id", "n", "odd")
-    # Of two alike sets, at most this share of both sizes is in one set only. The sizes are of 64-bit hashes.
-    most_apart = (1 - similarity) / (1 + similarity) + 1e-9
-    bits = F.aggregate(F.zip_with("u", "v", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda acc, x: acc + x)
-
-    def alike(pairs: DataFrame) -> DataFrame:
-        """Those of the distinct pairs (a, b) that have the similarity."""
-        both = pairs.join(facts.toDF("a", "n", "u"), "a").join(facts.toDF("b", "m", "v"), "b")
-        near = saved(both.filter(like_size("n", "m") & (bits <= (F.col("n") + F.col("m")) * most_apart)).select("a", "b"))
-        both = near.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
-        common = F.size(F.array_intersect("x", "y"))
-        return saved(both.filter(common >= similarity * (F.size("x") + F.size("y") - common)).select("a", "b"))
-
-    def like_size(n: str, m: str) -> Column:
-        return F.least(n, m) >= similarity * F.greatest(n, m)
-
-    def ordered(a: str, b: str) -> list[Column]:
-        return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
-
-    # Links of fingerprints, one document each, and the documents of each joined set of fingerprints.
-    roots = components(near_links(firsts.select("fp").distinct(), distance)).withColumnRenamed("node", "fp")
-    groups = saved(firsts.select("id", "fp").join(roots, "fp", "left").select("id", F.coalesce("root", "fp").alias("bucket")))
-    heads = groups.groupBy("bucket").agg(F.min("id").alias("leader"))
-    stars = groups.join(heads, "bucket").filter("id <> leader").select(*ordered("id", "leader"))
-    keyed = firsts.select("id", "n", F.explode("rarest").alias("bucket"))
-    shared = saved(keyed.groupBy("bucket").agg(F.min("id").alias("leader"), F.max("id").alias("last")).filter("leader <> last").drop("last"))
-    met = saved(keyed.join(shared, "bucket"))
-    tried = saved(met.filter("id <> leader").select(*ordered("id", "leader")).union(stars).distinct())
-    links = alike(tried)
-
-    def unjoined(met: DataFrame) -> DataFrame:
-        """(bucket, id, n, root) of buckets with documents that aren't joined yet."""
-        roots = components(links).withColumnRenamed("node", "id")
-        rows = saved(met.select("bucket", "id", "n").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id")))
-        mixed = rows.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("bucket")
-        return saved(rows.join(mixed, "bucket", "left_semi"))
-
-    met = unjoined(met)
-    chosen = met.groupBy("bucket").agg(F.min(F.struct(F.xxhash64("bucket", "id"), F.col("id").alias("leader"), F.col("root").alias("other"))).alias("x"))
-    pairs = met.join(chosen.select("bucket", "x.leader", "x.other"), "bucket").filter("root <> other").select(*ordered("id", "leader")).distinct()
-    pairs = saved(pairs.join(tried, ["a", "b"], "left_anti"))
-    tried, links = tried.union(pairs), links.union(alike(pairs))
-    met = unjoined(met)
-    x, y = met.toDF("bucket", "a", "n", "r"), met.toDF("bucket", "b", "m", "s")
-    pairs = x.join(y, (x["bucket"] == y["bucket"]) & F.expr("a < b AND r <> s") & like_size("n", "m")).select("a", "b").distinct()
-    links = links.union(alike(pairs.join(tried, ["a", "b"], "left_anti")))
-    return components(same.union(links)).select(F.col("node").alias("id"), F.col("root").alias("group_id"))
+    odd = ", ".join(f"{c} long" for c in ODD)
+    return saved(map_arrow(own, make, f"id {kind}, n long, digest long, check long, members array<int>, rarest array<long>, lowest array<long>, fp long, {odd}"))
+
+
+def may_be_alike(similarity: float, other: dict[str, str]) -> Column:
+    """Do sizes and parities allow for the similarity? Wrong for no pair: of two alike sets, at most a fixed share of both sizes is in one only."""
+    n, m = F.col("n"), F.col(other["n"])
+    apart = reduce(Column.__add__, [F.bit_count(F.col(c).bitwiseXOR(F.col(other[c]))) for c in ODD])
+    return (F.least(n, m) >= similarity * F.greatest(n, m)) & (apart <= (n + m) * ((1 - similarity) / (1 + similarity) + 1e-9))
+
+
+def verified(pairs: DataFrame, sets: DataFrame, similarity: float, most_broadcast: int) -> DataFrame:
+    """Those of the distinct pairs (a, b) whose sets have the similarity. Only the sets that are in a pair are moved."""
+    pairs = saved(pairs)
+    wanted = pairs.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b").alias("id"))).distinct()
+    facts = saved(sets.select("id", "n", "members", *ODD).join(bounded(saved(wanted), most_broadcast), "id"))
+    names = {c: f"{c}_" for c in ("n", *ODD)}
+    few = bounded(facts.select("id", "n", *ODD), most_broadcast // 4)
+    near = pairs.join(few.withColumnRenamed("id", "a"), "a").join(few.withColumnsRenamed({"id": "b", **names}), "b")
+    near = saved(near.filter(may_be_alike(similarity, names)).select("a", "b"))
+    both = near.join(facts.select(F.col("id").alias("a"), F.col("members").alias("x")), "a").join(facts.select(F.col("id").alias("b"), F.col("members").alias("y")), "b")
+    common = F.size(F.array_intersect("x", "y"))
+    out = saved(both.filter(common >= similarity * (F.size("x") + F.size("y") - common)).select("a", "b").distinct())
+    free(pairs, near, facts)
+    return out
+
+
+def ordered(a: str, b: str) -> list[Column]:
+    return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
+
+
+def star_pairs(buckets: DataFrame) -> DataFrame:
+    """(a, b) of each member of a bucket (kind, bucket, id) with the bucket's smallest id and with one by hash."""
+    one = F.min(F.struct(F.xxhash64("bucket", "id"), "id"))["id"]
+    heads = buckets.groupBy("kind", "bucket").agg(F.min("id").alias("first"), F.max("id").alias("last"), one.alias("other")).filter("first <> last")
+    met = buckets.join(heads.drop("last"), ["kind", "bucket"])
+    rows = met.select("id", F.col("first").alias("head")).unionAll(met.select("id", F.col("other").alias("head")))
+    return rows.filter("id <> head").select(*ordered("id", "head")).distinct()
+
+
+def unjoined_pairs(sets: DataFrame, links: DataFrame, similarity: float, most_broadcast: int) -> DataFrame:
+    """(a, b) of sets that share a rarest member, may be alike, and aren't joined by links yet.
+
+    Buckets whose members are all joined leave first, so a large group of like documents is not compared in pairs.
+    """
+    roots = bounded(components(links).withColumnRenamed("node", "id"), most_broadcast)
+    rows = sets.select("id", "n", *ODD, F.explode("rarest").alias("bucket")).join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    mixed = rows.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("bucket")
+    met = saved(rows.join(bounded(saved(mixed), most_broadcast), "bucket"))
+    names = {c: f"{c}_" for c in ("id", "n", "root", *ODD)}
+    other = met.withColumnsRenamed({"bucket": "bucket_", **names})
+    pairs = met.join(other, (F.col("bucket") == F.col("bucket_")) & (F.col("id") < F.col("id_")) & (F.col("root") != F.col("root_")) & may_be_alike(similarity, names))
+    return pairs.select(F.col("id").alias("a"), F.col("id_").alias("b")).distinct()
+
+
+def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, distance: int = 2, id_col: str = "doc_id", text_col: str = "text", most_broadcast: int = 500_000) -> DataFrame:
+    """(id, group_id) of every document that is in a group with another one; group_id is the group's smallest id.
+
+    Documents are alike if their sets of words-word shingles have this Jaccard similarity. Exact copies of a set leave
+    first: one of each stays. Then each document is compared with two others of its component of SimHash fingerprints
+    that differ in at most `distance` bits, which the generalised pigeonhole finds, and of each set that shares one of
+    its LOWEST members: this joins large groups by a few comparisons a document. Last, all pairs are found that share
+    one of their rarest shingles, as alike sets always do, and aren't joined yet, so the groups are those of all alike
+    documents. Sizes and parities rule pairs out within the join, and rule out no alike pair; counting shared members decides.
+
+    Texts without a word are alike. Null ids are in no group; rows of one id are one document, alike to what any of them
+    is like. Null counts as empty; an empty table gives no rows; other columns of docs are not read.
+    """
+    rows = documents_as_sets(docs, words, similarity, id_col, text_col)
+    classes = saved(rows.groupBy(*SET).agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("size")).filter("size > 1").drop("size"))
+    joined = rows.join(bounded(classes, most_broadcast), SET, "left")
+    same = saved(joined.filter("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct())
+    sets = joined.filter("first IS NULL OR id = first")
+    prints = saved(sets.select("fp").distinct())
+    roots = bounded(components(near_links(prints, distance)).withColumnRenamed("node", "fp"), most_broadcast)
+    by_print = sets.select("id", "fp").join(roots, "fp", "left").select(F.lit(-1).alias("kind"), F.coalesce("root", "fp").alias("bucket"), "id")
+    by_member = sets.select(F.posexplode("lowest").alias("kind", "bucket"), "id")
+    links = verified(star_pairs(by_print.unionAll(by_member)), sets, similarity, most_broadcast)
+    more = verified(unjoined_pairs(sets, links, similarity, most_broadcast), sets, similarity, most_broadcast)
+    out = components(same.union(links).union(more)).select(F.col("node").alias("id"), F.col("root").alias("group_id"))
+    free(rows, classes, same, prints, links, more)
+    return out
 
 
 def one_of_each(docs: DataFrame, words: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text", most_broadcast: int = 2_000_000) -> DataFrame:
@@ -220,9 +250,7 @@ def one_of_each(docs: DataFrame, words: int = 5, similarity: float = 0.8, id_col
     The ids that go are broadcast if they are at most most_broadcast (8 bytes each) and joined by a shuffle beyond that.
     """
     gone = saved(similar_groups(docs, words, similarity, 2, id_col, text_col).filter("id <> group_id").select(F.col("id").alias("_gone")))
-    if gone.count() <= most_broadcast:
-        gone = F.broadcast(gone)
-    return docs.join(gone, F.col(id_col) == F.col("_gone"), "left_anti")
+    return docs.join(bounded(gone, most_broadcast), F.col(id_col) == F.col("_gone"), "left_anti")
 
 
 def hex_of(fp: str = "fp"):

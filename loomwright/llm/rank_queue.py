@@ -129,10 +129,13 @@ class ByteBpe:
                 continue
             at = at[np.append(True, at[1:] != at[:-1])]
             if len(at) > 1:
+                every = at
                 at = self._without_overlaps(at, following)
-                at, later = self._in_order(at, r, token, following, before, word)
-                if len(later):
-                    buckets[r] = [later]
+                at, waiting = self._in_order(at, r, token, following, before, word)
+                if len(waiting):
+                    # With the positions that an overlap has ruled out for now: it may be gone by then.
+                    later = every[np.isin(word[every], waiting)]
+                    buckets[r] = [later[~np.isin(later, at)]]
                     bitmap.set(r)
             gone = following[at]
             right = following[gone]
@@ -169,7 +172,7 @@ class ByteBpe:
         return self._marks
 
     def _in_order(self, at, r, token, following, before, word):
-        """(positions that can merge at once, positions that must wait)."""
+        """(positions that can merge at once, words whose other positions must wait)."""
         same = word[at][1:] == word[at][:-1]
         if not same.any():
             return at, at[:0]
@@ -190,9 +193,8 @@ class ByteBpe:
         lower |= (left < n) & ((self.rank_of(left_token, merged) < r) | (self.rank_of(token[left], merged) < r))
         if not lower.any():
             return at, at[:0]
-        first = np.append(True, ~same)
-        wait = np.isin(word[at], word[p[lower]]) & ~first
-        return at[~wait], at[wait]
+        first, waiting = np.append(True, ~same), word[p[lower]]
+        return at[first | ~np.isin(word[at], waiting)], waiting
 
     def decode(self, ids: bytes) -> bytes:
         pieces = self.pieces

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import functools
+import gc
 import re
 import zlib
 from array import array
 from bisect import bisect_left, insort
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -17,10 +19,10 @@ from pyspark.sql import functions as F
 
 from .shared import saved, slices
 
-#: Partitions whose leftovers merge together in the first of the two last rounds.
+#: Groups whose leftovers merge together in each round.
 MERGED_TOGETHER = 64
-#: Distinct chunks a worker remembers, about 200 MB; beyond that it forgets all and begins again.
-REMEMBERED = 1_000_000
+#: Distinct chunks of one generation, about 70 MB; a worker remembers two of them.
+REMEMBERED = 350_000
 #: A run of letters and, after it, a run of marks that never joins letters to a token.
 WORD_AND_MARKS = re.compile(r"([^\W\d_]+)([.,;:!?#$%&*|()]*)", re.UNICODE)
 
@@ -42,6 +44,7 @@ class WordTokens:
         self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.end = end_id.to_bytes(4, "little")
         self.known: dict[str, bytes] = {"": b""}
+        self.before: dict[str, bytes] = {}
 
     def encode_each(self, chunks: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)
@@ -60,28 +63,38 @@ class WordTokens:
         match, split, odd = WORD_AND_MARKS.fullmatch, [], []
         for chunk in chunks:
             m = match(chunk)
-            if m and m[1].isalpha():
-                split.append((chunk, m[1].lower() if chunk.isascii() else m[1], m[2]))
+            if m and (word := m[1]).isalpha():
+                split.append((chunk, word.lower() if chunk.isascii() else word, m[2]))
             else:
                 odd.append(chunk)
-        words = list({w for _, w, _ in split})
+        words, marks = list({w for _, w, _ in split}), list({m for _, _, m in split})
         ids = dict(zip(words, self.encode_words(words), strict=True)) if words else {}
-        marks = list({m for _, _, m in split})
-        marks_ids = dict(zip(marks, self.encode_each(marks), strict=True))
-        self.known.update((chunk, ids[w] + marks_ids[m]) for chunk, w, m in split)
+        ends = dict(zip(marks, self.encode_each(marks), strict=True))
+        self.known.update([(chunk, ids[w] + ends[m]) for chunk, w, m in split])
         self.known.update(zip(odd, self.encode_each(odd), strict=True))
 
+    def recall(self, chunks: set[str]) -> set[str]:
+        """Chunks that are not known; what was known a generation ago is known again."""
+        new = chunks - self.known.keys()
+        again = new & self.before.keys()
+        self.known.update((c, self.before[c]) for c in again)
+        return new - again
+
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text, and after them the end id."""
         split = [text.replace("\n", " ").replace("\t", " ").split(" ") for text in texts]
         chunks = set().union(*split)
-        new = chunks - self.known.keys()
+        new = self.recall(chunks)
         if len(self.known) + len(new) > REMEMBERED:
-            self.known = {"": b""}
-            new = chunks
+            self.before, self.known = self.known, {"": b""}
+            new = self.recall(chunks)
         new = list(new)
-        for i in range(0, len(new), 50_000):
-            self.learn(new[i : i + 50_000])
+        gc.disable()  # Nothing here is cyclic, and the collector would walk all that is remembered.
+        try:
+            for i in range(0, len(new), 50_000):
+                self.learn(new[i : i + 50_000])
+        finally:
+            gc.enable()
         return [b"".join(map(self.known.__getitem__, chunks)) + self.end for chunks in split]
 
 
@@ -223,7 +236,7 @@ def merged(leftovers: DataFrame, round_no: int, length: int, last: bool, id_col:
         return pa.Table.from_batches([as_batch(out, rows.schema.field(id_col).type, id_col)])
 
     kind = leftovers.schema[id_col].dataType.simpleString()
-    groups = F.lit(0).cast("long") if last else F.floor(F.col("part") / MERGED_TOGETHER).cast("long")
+    groups = F.floor(F.col("part") / MERGED_TOGETHER).cast("long")
     return leftovers.withColumn("part", groups).groupBy("part").applyInArrow(run, schema_of(kind, id_col))
 
 
@@ -234,15 +247,20 @@ def pack(
 
     Each partition of docs keeps open_windows open windows and sees its documents once. A document's last piece
     goes to the window it fits best; if none fits, the fullest one is filled from the piece and emitted. What is
-    open at the end (at most open_windows windows a partition) merges in two rounds, by groups of partitions
-    and then over all groups, of which each brings one window. Sequences have `length` tokens; the very last
-    window is cut at powers of two.
+    open at the end (at most open_windows windows a partition) merges in rounds of MERGED_TOGETHER neighbouring
+    groups, of which each keeps one window open, until one group is left. Sequences have `length` tokens; the very
+    last window is cut at powers of two.
 
     Null and empty texts are documents of the end id alone. Repeated rows are packed each for itself; ids may
     be null. Other columns of docs are not read. An empty table gives no rows.
     """
     first = saved(packed(docs, path, end_id, length, open_windows, id_col, text_col))
-    second = saved(merged(first.filter("ids IS NOT NULL"), 1, length, False, id_col))
-    third = merged(second.filter("ids IS NOT NULL"), 2, length, True, id_col)
-    done = [first.filter("ids IS NULL"), second.filter("ids IS NULL"), third]
-    return done[0].unionByName(done[1]).unionByName(done[2]).drop("part", "ids")
+    done, open_ = [first.filter("ids IS NULL")], first.filter("ids IS NOT NULL")
+    groups, round_no = (first.agg(F.max("part")).first()[0] or 0) + 1, 1
+    while groups > MERGED_TOGETHER:
+        after = saved(merged(open_, round_no, length, False, id_col))
+        done.append(after.filter("ids IS NULL"))
+        open_ = after.filter("ids IS NOT NULL")
+        groups, round_no = -(-groups // MERGED_TOGETHER), round_no + 1
+    done.append(merged(open_, round_no, length, True, id_col))
+    return reduce(DataFrame.unionByName, done).drop("part", "ids")

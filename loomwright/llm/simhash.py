@@ -173,14 +173,17 @@ def may_be_alike(similarity: float, other: dict[str, str]) -> Column:
 
 def verified(pairs: DataFrame, sets: DataFrame, similarity: float, most_broadcast: int) -> DataFrame:
     """Those of the distinct pairs (a, b) whose sets have the similarity. Only the sets that are in a pair are moved."""
+    def of_pairs(pairs: DataFrame, *columns: str) -> DataFrame:
+        wanted = pairs.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b").alias("id"))).distinct()
+        return sets.select("id", *columns).join(bounded(saved(wanted), most_broadcast), "id")
+
     pairs = saved(pairs)
-    wanted = pairs.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b").alias("id"))).distinct()
-    facts = saved(sets.select("id", "n", "members", *ODD).join(bounded(saved(wanted), most_broadcast), "id"))
     names = {c: f"{c}_" for c in ("n", *ODD)}
-    few = bounded(facts.select("id", "n", *ODD), most_broadcast // 4)
-    near = pairs.join(few.withColumnRenamed("id", "a"), "a").join(few.withColumnsRenamed({"id": "b", **names}), "b")
+    facts = saved(of_pairs(pairs, "n", *ODD))
+    near = pairs.join(facts.withColumnRenamed("id", "a"), "a").join(facts.withColumnsRenamed({"id": "b", **names}), "b")
     near = saved(near.filter(may_be_alike(similarity, names)).select("a", "b"))
-    both = near.join(facts.select(F.col("id").alias("a"), F.col("members").alias("x")), "a").join(facts.select(F.col("id").alias("b"), F.col("members").alias("y")), "b")
+    members = of_pairs(near, "members")
+    both = near.join(members.toDF("a", "x"), "a").join(members.toDF("b", "y"), "b")
     common = F.size(F.array_intersect("x", "y"))
     out = saved(both.filter(common >= similarity * (F.size("x") + F.size("y") - common)).select("a", "b").distinct())
     free(pairs, near, facts)
@@ -205,10 +208,12 @@ def unjoined_pairs(sets: DataFrame, links: DataFrame, similarity: float, most_br
 
     Buckets whose members are all joined leave first, so a large group of like documents is not compared in pairs.
     """
-    roots = bounded(components(links).withColumnRenamed("node", "id"), most_broadcast)
-    rows = sets.select("id", "n", *ODD, F.explode("rarest").alias("bucket")).join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
-    mixed = rows.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("bucket")
-    met = saved(rows.join(bounded(saved(mixed), most_broadcast), "bucket"))
+    roots = saved(components(links).withColumnRenamed("node", "id"))
+    rooted = sets.select("id", "rarest").join(bounded(roots, most_broadcast), "id", "left").select(F.explode("rarest").alias("bucket"), "id", F.coalesce("root", "id").alias("root"))
+    mixed = rooted.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("bucket")
+    met = saved(rooted.join(mixed, "bucket", "left_semi"))
+    facts = saved(sets.select("id", "n", *ODD).join(bounded(saved(met.select("id").distinct()), most_broadcast), "id"))
+    met = met.join(facts, "id")
     names = {c: f"{c}_" for c in ("id", "n", "root", *ODD)}
     other = met.withColumnsRenamed({"bucket": "bucket_", **names})
     pairs = met.join(other, (F.col("bucket") == F.col("bucket_")) & (F.col("id") < F.col("id_")) & (F.col("root") != F.col("root_")) & may_be_alike(similarity, names))

@@ -43,3 +43,24 @@ def next_release(ts: Column, day_of_month: int = 3, hour: int = 8) -> Column:
     this = F.trunc(ts, "month").cast("timestamp") + F.make_dt_interval(F.lit(day_of_month - 1), F.lit(hour))
     following = F.add_months(F.trunc(ts, "month"), 1).cast("timestamp") + F.make_dt_interval(F.lit(day_of_month - 1), F.lit(hour))
     return F.when(ts < this, this).otherwise(following)
+
+
+def instant(value: Column) -> Column:
+    """The instant that an ISO text names, in UTC where it names no zone; null if it is none."""
+    return F.try_to_timestamp(F.regexp_replace(F.trim(value), "Z$", "+00:00"))
+
+
+def day_of(value: Column, zone: str = "Europe/Amsterdam") -> Column:
+    """The day in a zone of a text that is a time or a day; null if it is neither. A day alone is that day."""
+    bare = F.trim(value).rlike(r"^\d{4}-\d{2}-\d{2}$")
+    return F.when(bare, F.try_to_date(F.trim(value), "yyyy-MM-dd")).otherwise(local_date(instant(value), zone))
+
+
+def first_day(*values: Column) -> Column:
+    """The day of the first text that has one."""
+    return F.coalesce(*map(day_of, values))
+
+
+def period_fault(start: Column, end: Column) -> Column:
+    """What is wrong with a week's bounds; null if nothing is."""
+    return F.when(start.isNull(), "no start").when(end < start, "ends before it starts").when(F.weekday(start) != 0, "does not start on Monday")

@@ -36,17 +36,18 @@ def validated(rows: DataFrame) -> DataFrame:
     return rows.withColumn("requires_review", (F.col("status") == "unclear") | (F.size("issues") > 0)).drop("_status", "_degree")
 
 
-def review_reasons(status: Column, degree: Column, score: Column, ai_relevant: Column, present: Column, dominant_present: Column) -> Column:
+def review_reasons(status: Column, degree: Column, score: Column, ai_relevant: Column, present: Column, dominant_known: Column, dominant_present: Column) -> Column:
     """Contradictions within a label, as an array in fixed order."""
+    # The texts of the nine reasons.
     reasons = F.array(
-        F.when(status == "unclear", "unclear"),
-        F.when(status.isin(*DIRECTIONAL) & (degree == 0), "direction without degree"),
-        F.when(~status.isin(*DIRECTIONAL) & (degree != 0), "degree without direction"),
-        F.when((status == "non_empowerment") & present, "dimension without effect"),
-        F.when(~dominant_present, "dominant not present"),
-        F.when(score.isNull() & (status != "unclear"), "score missing"),
-        F.when(score.isNotNull() & (status == "unclear"), "score without status"),
-        F.when(~ai_relevant & status.isin(*DIRECTIONAL), "direction without relevance"),
+        F.when(status == "unclear", "empowerment status unclear"),
+        F.when(status.isin(*DIRECTIONAL) & (degree == 0), "directional empowerment has degree 0"),
+        F.when(~status.isin(*DIRECTIONAL) & (degree != 0), "non-scored status has non-zero degree"),
+        F.when((status == "non_empowerment") & present, "non-empowerment classification contains present dimensions"),
+        F.when(~dominant_known, "dominant dimension is absent from dimension data").when(~dominant_present, "dominant dimension is not marked present"),
+        F.when(score.isNull() & (status != "unclear"), "scored status has null unit score"),
+        F.when(score.isNotNull() & (status == "unclear"), "unclear status has a numeric unit score"),
+        F.when(~ai_relevant & status.isin(*DIRECTIONAL), "AI-irrelevant unit has a directional empowerment classification"),
     )
     return F.filter(reasons, lambda r: r.isNotNull())
 
@@ -55,3 +56,20 @@ def residual_status(status: Column, degree: Column, present: Column, dominant: C
     """Unclear units that show nothing at all count as having no effect."""
     nothing = (status == "unclear") & (degree == 0) & ~present & dominant.isNull()
     return F.when(nothing, "non_empowerment").otherwise(status)
+
+
+def confidence(value: Column) -> tuple[Column, Column]:
+    """(a number from 0 to 1 or null, why it is null)."""
+    number = value.try_cast("double")
+    inside = number.between(0, 1)
+    fault = F.when(value.isNull(), "missing").when(number.isNull(), "not a number").when(~inside, "out of range")
+    return F.when(inside, number), fault
+
+
+def governance(status: Column) -> Column:
+    """The public label of a release by the state of its audit; unknown states are pending."""
+    return F.when(status == "complete", "Human-audited public release").when(status == "waived_with_disclosure", "Human-governed release; audit exception disclosed").otherwise("Model-coded, human-governed pilot release")
+
+
+def binary(column: str, positive: object = 1) -> Column:
+    return F.when(F.col(column) == F.lit(positive), 1).otherwise(0)

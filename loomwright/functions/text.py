@@ -33,12 +33,20 @@ def clean_domain(url: Column) -> Column:
 def canonical_url(url: Column) -> Column:
     """Scheme and authority in lower case, no slash at the end of the path, no tracking parameters, no fragment.
 
-    Parameters without a value are kept only with an equals sign; escapes are left as they stand.
+    Parameters are decoded and encoded again; one without a value gets an equals sign.
     """
     raw = F.regexp_replace(normalize_space(url), "#.*$", "")
     head = F.lower(F.regexp_extract(raw, r"^([A-Za-z][A-Za-z0-9+.\-]*://[^/?]*)", 1))
     path = F.regexp_replace(F.regexp_extract(raw, r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/?]*([^?]*)", 1), "/+$", "")
-    pairs = F.filter(F.split(F.regexp_extract(raw, r"\?(.*)$", 1), "&"), lambda p: (p != "") & ~F.lower(F.split(p, "=", 2)[0]).isin(*TRACKING))
+
+    def again(part: Column) -> Column:
+        encoded = F.url_encode(F.coalesce(F.try_url_decode(part), part))
+        return F.replace(F.replace(encoded, F.lit("*"), F.lit("%2A")), F.lit("%7E"), F.lit("~"))
+
+    given = F.filter(F.split(F.regexp_extract(raw, r"\?(.*)$", 1), "&"), lambda p: p != "")
+    named = F.transform(given, lambda p: F.struct(F.split(p, "=", 2)[0].alias("name"), F.coalesce(F.get(F.split(p, "=", 2), F.lit(1)), F.lit("")).alias("value")))
+    own = F.filter(named, lambda p: ~F.lower(F.coalesce(F.try_url_decode(p["name"]), p["name"])).isin(*TRACKING))
+    pairs = F.transform(own, lambda p: F.concat(again(p["name"]), F.lit("="), again(p["value"])))
     return F.when(head == "", raw).otherwise(F.concat(head, path, F.when(F.size(pairs) > 0, F.concat(F.lit("?"), F.array_join(pairs, "&"))).otherwise("")))
 
 
@@ -104,3 +112,43 @@ def translation_faults(language: Column, original: Column, english: Column) -> C
         F.when(F.size(missing) > 0, F.concat(F.lit("numbers missing: "), F.array_join(missing, ", "))),
     )
     return F.filter(faults, lambda r: r.isNotNull())
+
+
+def parse_pair(pair: Column) -> tuple[Column, Column]:
+    """Both ids of a pair's id."""
+    parts = F.split(pair, "__", 2)
+    return F.get(parts, F.lit(0)), F.get(parts, F.lit(1))
+
+
+def clean_codes(values: Column) -> Column:
+    """Three-letter codes in upper case, without other signs, each once in order."""
+    return F.array_distinct(F.filter(F.transform(values, lambda v: F.upper(F.regexp_replace(v, "[^A-Za-z]", ""))), lambda c: F.length(c) == 3))
+
+
+def resolved_language(value: Column, detected: Column, confidence: Column, hint: Column) -> tuple[Column, Column]:
+    """(language, how it was found): by script, by agreement, by a sure detector, by the only search language, else unsure."""
+    agrees, sure = F.coalesce(hint == detected, F.lit(False)), confidence >= 0.65
+    language = F.when(has_han(value), "zh").when(agrees | sure, detected).when(hint.isNotNull(), hint).when(F.length(detected) == 2, detected).otherwise("un")
+    method = F.when(has_han(value), "han_script+lingua").when(agrees, "lingua+search_language").when(sure, "lingua").when(hint.isNotNull(), "search_language_override").otherwise("lingua")
+    return language, method
+
+
+def stable_hash(fields: dict[str, Column]) -> Column:
+    """SHA-256 of the fields as compact JSON with sorted keys; fields without a value are left out."""
+    return F.sha2(F.to_json(F.struct(*[fields[k].alias(k) for k in sorted(fields)])), 256)
+
+
+def first_object(value: Column) -> Column:
+    """The first whole JSON object without inner ones in a text, after thoughts are taken out; empty if there is none."""
+    return F.regexp_extract(F.regexp_replace(value, r"(?s)<think>.*?</think>", ""), r"\{[^{}]*\}", 0)
+
+
+def display(*parts: Column) -> Column:
+    """Parts that aren't blank, joined by bars."""
+    return F.concat_ws(" | ", *[F.nullif(F.trim(p), F.lit("")) for p in parts])
+
+
+def difficulty(value: Column, review: Column, language: Column) -> Column:
+    """How hard a headline is to translate: flagged, with digits, quotes or dashes, long, Chinese."""
+    points = lambda test, n: F.when(test, n).otherwise(0)
+    return points(review, 100) + points(value.rlike("[0-9]"), 5) + points(value.rlike("[\"“”«»：—丨]"), 4) + points(F.length(value) >= 70, 3) + points(language == "zh", 2)

@@ -355,13 +355,13 @@ def centroid(spark, sf_dir):
 
 
 @query("""WITH c AS (SELECT count(*) FILTER (WHERE toxic = 1 AND quality = 0) AS tp, count(*) FILTER (WHERE toxic = 0 AND quality = 0) AS fp, count(*) FILTER (WHERE toxic = 1 AND quality = 1) AS fn, count(*) FILTER (WHERE toxic = 0 AND quality = 1) AS tn FROM labels)
-    SELECT tp, fp, fn, tn, CASE WHEN tp + fp = 0 THEN 0.0 ELSE round(tp / (tp + fp), 4) END AS precision_, CASE WHEN tp + fn = 0 THEN 0.0 ELSE round(tp / (tp + fn), 4) END AS recall, round((tp + tn) / (tp + fp + fn + tn), 4) AS accuracy FROM c""")
+    SELECT tp, fp, fn, tn, CASE WHEN tp + fp = 0 THEN 0.0 ELSE round(tp / (tp + fp), 4) END AS precision_, CASE WHEN tp + fn = 0 THEN 0.0 ELSE round(tp / (tp + fn), 4) END AS recall, CASE WHEN 2 * tp + fp + fn = 0 THEN 0.0 ELSE round(2 * tp / (2 * tp + fp + fn), 4) END AS f1, round((tp + tn) / (tp + fp + fn + tn), 4) AS accuracy FROM c""")
 def confusion_metrics(spark, sf_dir):
     n = lambda toxic, quality: F.count(F.when((F.col("toxic") == toxic) & (F.col("quality") == quality), 1))
     c = table(spark, sf_dir, "labels").agg(n(1, 0).alias("tp"), n(0, 0).alias("fp"), n(1, 1).alias("fn"), n(0, 1).alias("tn"))
     part = lambda a, b: F.when(b == 0, 0.0).otherwise(F.round(F.try_divide(a, b), 4))
     tp, fp, fn, tn = (F.col(x) for x in ("tp", "fp", "fn", "tn"))
-    return c.select("tp", "fp", "fn", "tn", part(tp, tp + fp).alias("precision_"), part(tp, tp + fn).alias("recall"), part(tp + tn, tp + fp + fn + tn).alias("accuracy"))
+    return c.select("tp", "fp", "fn", "tn", part(tp, tp + fp).alias("precision_"), part(tp, tp + fn).alias("recall"), part(2 * tp, 2 * tp + fp + fn).alias("f1"), part(tp + tn, tp + fp + fn + tn).alias("accuracy"))
 
 
 @query("SELECT date_trunc('week', ts)::DATE AS week, event_type, count(*) AS n FROM events GROUP BY 1, 2")
@@ -382,9 +382,11 @@ def clean_domain(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", text.clean_domain(F.col("url")).alias("domain"))
 
 
-@query(r"""WITH r AS (SELECT page_id, regexp_replace(url, '#.*$', '') AS u FROM pages), p AS (SELECT page_id, lower(regexp_extract(u, '^([A-Za-z][A-Za-z0-9+.\-]*://[^/?]*)', 1)) AS head,
-    regexp_replace(regexp_extract(u, '^[A-Za-z][A-Za-z0-9+.\-]*://[^/?]*([^?]*)', 1), '/+$', '') AS path, list_filter(string_split(regexp_extract(u, '\?(.*)$', 1), '&'), lambda x: x <> '' AND lower(string_split(x, '=')[1]) NOT IN ('utm_source', 'utm_medium', 'utm_campaign', 'utm_term', 'utm_content', 'gclid', 'fbclid', 'mc_cid', 'mc_eid')) AS q FROM r)
-    SELECT page_id, head || path || CASE WHEN len(q) > 0 THEN '?' || array_to_string(q, '&') ELSE '' END AS canonical, substring(sha256(head || path || CASE WHEN len(q) > 0 THEN '?' || array_to_string(q, '&') ELSE '' END), 1, 32) AS article_id FROM p""")
+@query(r"""WITH r AS (SELECT page_id, regexp_replace(url, '#.*$', '') AS u FROM pages), x AS (SELECT page_id, i, string_split(regexp_extract(u, '\?(.*)$', 1), '&')[i] AS p FROM r, range(1, 20) t(i)),
+    k AS (SELECT page_id, i, string_split(p, '=')[1] AS name, CASE WHEN contains(p, '=') THEN substring(p, position('=' IN p) + 1) ELSE '' END AS v FROM x WHERE coalesce(p, '') <> ''),
+    q AS (SELECT page_id, string_agg(replace(url_encode(url_decode(replace(name, '+', ' '))), '%20', '+') || '=' || replace(url_encode(url_decode(replace(v, '+', ' '))), '%20', '+'), '&' ORDER BY i) AS q FROM k WHERE lower(name) NOT IN ('utm_source', 'utm_medium', 'utm_campaign', 'utm_term', 'utm_content', 'gclid', 'fbclid', 'mc_cid', 'mc_eid') GROUP BY 1),
+    c AS (SELECT r.page_id, lower(regexp_extract(u, '^([A-Za-z][A-Za-z0-9+.\-]*://[^/?]*)', 1)) || regexp_replace(regexp_extract(u, '^[A-Za-z][A-Za-z0-9+.\-]*://[^/?]*([^?]*)', 1), '/+$', '') || coalesce('?' || q, '') AS canonical FROM r LEFT JOIN q ON r.page_id = q.page_id)
+    SELECT page_id, canonical, substring(sha256(canonical), 1, 32) AS article_id FROM c""")
 def canonical_url(spark, sf_dir):
     rows = table(spark, sf_dir, "pages").select("page_id", text.canonical_url(F.col("url")).alias("canonical"))
     return rows.select("page_id", "canonical", text.hash_id(32, F.col("canonical")).alias("article_id"))
@@ -428,12 +430,12 @@ def validate_label(spark, sf_dir):
     return labels.validated(rows).select("doc_id", "status", "degree", F.array_join("issues", "; ").alias("issues"), "requires_review")
 
 
-@query(f"""WITH {UNITS_SQL} SELECT event_id, concat_ws('; ', CASE WHEN status = 'unclear' THEN 'unclear' END, CASE WHEN status = 'non_empowerment' AND user_id % 5 = 0 THEN 'dimension without effect' END,
-    CASE WHEN user_id % 11 = 0 THEN 'dominant not present' END, CASE WHEN NOT ai_relevant AND status IN ('expanding', 'contracting', 'mixed') THEN 'direction without relevance' END) AS reasons,
+@query(f"""WITH {UNITS_SQL} SELECT event_id, concat_ws('; ', CASE WHEN status = 'unclear' THEN 'empowerment status unclear' END, CASE WHEN status = 'non_empowerment' AND user_id % 5 = 0 THEN 'non-empowerment classification contains present dimensions' END,
+    CASE WHEN user_id % 13 = 0 THEN 'dominant dimension is absent from dimension data' WHEN user_id % 11 = 0 THEN 'dominant dimension is not marked present' END, CASE WHEN NOT ai_relevant AND status IN ('expanding', 'contracting', 'mixed') THEN 'AI-irrelevant unit has a directional empowerment classification' END) AS reasons,
     CASE WHEN status = 'unclear' AND user_id % 5 <> 0 THEN 'non_empowerment' ELSE status END AS settled FROM scored""")
 def review_reasons(spark, sf_dir):
     u, present = units(spark, sf_dir), F.col("user_id") % 5 == 0
-    reasons = labels.review_reasons(F.col("status"), F.col("degree"), F.col("score"), F.col("ai_relevant"), present, F.col("user_id") % 11 != 0)
+    reasons = labels.review_reasons(F.col("status"), F.col("degree"), F.col("score"), F.col("ai_relevant"), present, F.col("user_id") % 13 != 0, F.col("user_id") % 11 != 0)
     return u.select("event_id", F.array_join(reasons, "; ").alias("reasons"), labels.residual_status(F.col("status"), F.col("degree"), present, F.lit(None)).alias("settled"))
 
 

@@ -38,10 +38,20 @@ def keyed_replace(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     return old.join(new.select(*keys).distinct(), keys, "left_anti").unionByName(new.select(*old.columns))
 
 
+def delete_keys(old: DataFrame, gone: DataFrame, keys: list[str]) -> DataFrame:
+    """old without the rows whose keys are in gone."""
+    return old.join(gone.select(*keys), keys, "left_anti")
+
+
+def update_where(old: DataFrame, test: Column, **values: Column) -> DataFrame:
+    """old with new values in the rows that meet the test; a null test is none."""
+    return old.select(*[F.when(test, values[c]).otherwise(F.col(c)).alias(c) if c in values else F.col(c) for c in old.columns])
+
+
 def merge_upsert(old: DataFrame, new: DataFrame, keys: list[str], keep_first: tuple[str, ...] = ()) -> DataFrame:
-    """new over old by key; of the columns in keep_first the smaller value stays. new must have each key once."""
-    sides = old.alias("o").join(new.alias("n"), keys, "full_outer")
-    known = F.coalesce(*[F.col(f"n.{c}") for c in new.columns if c not in keys][:1]).isNotNull()
+    """new over old by key, nulls too; of the columns in keep_first the smaller value stays. new must have each key once."""
+    sides = old.alias("o").join(new.withColumn("_new", F.lit(True)).alias("n"), keys, "full_outer")
+    known = F.col("n._new").isNotNull()
 
     def merged(c: str) -> Column:
         if c in keys:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loomwright.operators.ranking import top_per_key
+
 
 def weekly_counts(events: DataFrame, ts: str = "ts", key: str = "event_type", late: str = "14 days") -> DataFrame:
     """(week, key, n) of a stream or a table; a stream keeps a week open until its rows can't be late any more."""
@@ -16,8 +18,8 @@ def weekly_counts(events: DataFrame, ts: str = "ts", key: str = "event_type", la
 
 
 def first_sightings(events: DataFrame, key: str, ts: str, late: str = "14 days") -> DataFrame:
-    """Rows of a stream whose key hasn't been seen within the watermark; of a table, the first row of each key."""
+    """Rows of a stream whose key hasn't been seen within the watermark; of a table, the first row of each key by time, then by its other columns."""
     rows = events.withColumn(ts, F.col(ts).cast("timestamp"))
     if events.isStreaming:
         return rows.withWatermark(ts, late).dropDuplicatesWithinWatermark([key])
-    return rows.dropDuplicates([key])
+    return top_per_key(rows, [key], [F.col(ts), *[F.col(c) for c in rows.columns if c not in (key, ts)]])

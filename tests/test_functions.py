@@ -96,3 +96,24 @@ def test_stream_equals_batch(spark, tmp_path):
     run.awaitTermination(60)
     assert sorted(map(tuple, spark.table("weeks").collect())) == sorted(map(tuple, weekly_counts(events).collect()))
     assert first_sightings(events, "user_id", "ts").count() == events.select("user_id").distinct().count()
+
+
+def test_upsert_with_nulls_and_first_rows(spark):
+    old, new = spark.createDataFrame([(1, "a", "b"), (2, "c", "d")], "k int, x string, y string"), spark.createDataFrame([(1, None, "z"), (3, "e", None)], "k int, x string, y string")
+    assert sorted(map(tuple, merge_upsert(old, new, ["k"]).collect())) == [(1, None, "z"), (2, "c", "d"), (3, "e", None)]
+    seen = spark.createDataFrame([("a", 3, "2024-01-03"), ("a", 1, "2024-01-01"), ("a", 2, "2024-01-01"), ("b", 4, "2024-01-02")], "key string, id int, ts string")
+    assert sorted((r.key, r.id) for r in first_sightings(seen, "key", "ts").collect()) == [("a", 1), ("b", 4)]
+
+
+def test_addresses_and_days(spark):
+    rows = spark.createDataFrame([("http://A.org/x/?a&b=1%2F2&UTM_source=q&c=%7E+z#f", "2024-03-31T23:30:00Z", "x"), ("http://a.org", "soon", "2024-05-06 rest"), (None, "2024-01-01", None)], "u string, d string, e string")
+    got = rows.select(text.canonical_url(F.col("u")).alias("u"), dates.first_day(F.col("d"), F.col("e")).cast("string").alias("d")).collect()
+    assert [r.u for r in got] == ["http://a.org/x?a=&b=1%2F2&c=~+z", "http://a.org", ""]
+    assert [r.d for r in got] == ["2024-04-01", None, "2024-01-01"]
+
+
+def test_csv_with_mark_and_missing_fields(spark, tmp_path):
+    path = tmp_path / "rows.csv"
+    path.write_text('\ufeff"id","label"\n"1","same"\n"2",""\n"3","a ""b"" c"\n', encoding="utf-8")
+    rows = read_csv(spark, str(path), "id int, label string", required=("label",)).collect()
+    assert [(r.id, r.label) for r in rows] == [(1, "same"), (3, 'a "b" c')]

@@ -5,7 +5,8 @@ import os
 import duckdb
 import pytest
 
-import loomwright.plans.more_queries  # noqa: F401
+import loomwright.plans.more_queries
+import loomwright.plans.rule_queries  # noqa: F401
 from loomwright.plans.queries import ORACLE_SQL, QUERIES
 
 DATA = "/root/testdata/sf0.001"

@@ -8,10 +8,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import held_out, map_arrow, slices
+from .shared import bounded, held_out, map_arrow, saved, slices
 
 WORD = re.compile(r"[^\W\d_]+")
 #: Feature tables: pairs, triples and quadruples of bytes (those with a blank are the affixes), and whole words.
@@ -113,10 +113,9 @@ def forward_backward(emissions: np.ndarray, transitions: np.ndarray, n_of: np.nd
         at = start[: active[t]] + t
         if t + 1 < longest:
             later = seen[at[: len(now)] + 1] * now
-            pair = alpha[at[: len(now)]].T @ later if k > 64 else None
-            joint = alpha[at[: len(now)], :, None] * move[None] * later[:, None, :] if pair is None else None
-            if joint is not None:
-                expected += (joint / joint.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
+            earlier = alpha[at[: len(now)]]
+            whole = ((earlier @ move) * later).sum(axis=1, keepdims=True)
+            expected += move * (earlier.T @ (later / whole))
             now = later @ move.T
             now = now / now.sum(axis=1, keepdims=True)
         now = np.concatenate([now, np.ones((len(at) - len(now), k), dtype=np.float32)])
@@ -183,19 +182,20 @@ def train(rows: list[tuple[str, str]], sequences: int = 1_500, length: int = 48,
     return field
 
 
-def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", rows_per_language: int = 300, most_rows: int = 6_000) -> WordField:
-    """Learn from a bounded sample: about rows_per_language rows of each language by hash of the id, most_rows in all.
+def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", rows_per_language: int = 300, most_rows: int = 6_000, most_chars: int = 24_000_000) -> WordField:
+    """Learn from a bounded sample: about rows_per_language rows of each language by hash of the id, most_rows in all, of which the
+    last is the one that reaches most_chars characters.
 
     Held-out rows and rows without a language or text are never learned from.
     """
     own = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"), F.col(lang_col).cast("string").alias("lang"))
     own = own.filter("lang IS NOT NULL AND t IS NOT NULL").filter(~held_out(F.col("id")))
-    counts = own.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(500).collect()
-    share = F.lit(0.0)
-    for row in counts:
-        share = F.when(F.col("lang") == row["lang"], F.lit(rows_per_language / row["count"])).otherwise(share)
+    counts = bounded(saved(own.groupBy("lang").agg((rows_per_language / F.count(F.lit(1))).alias("share"))), 10_000)
     draw = F.pmod(F.xxhash64("id", F.lit("language")), F.lit(1 << 30)) / float(1 << 30)
-    sample = own.filter(draw < share).orderBy(F.xxhash64("id"), "id").limit(most_rows).select("lang", "t")
+    order = [F.xxhash64("id"), F.col("id")]
+    sample = own.join(counts, "lang").filter(draw < F.col("share")).orderBy(*order).limit(most_rows)
+    before = F.sum(F.char_length("t")).over(Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1))
+    sample = sample.select("lang", "t", F.coalesce(before, F.lit(0)).alias("before")).filter(F.col("before") < most_chars)
     return train([(r.lang, r.t) for r in sample.collect()])
 
 

@@ -37,19 +37,25 @@ FEATURES = ("kind", "length", "digits", "letters", "upper", "groups", "dots", "p
 SPAN = "array<struct<start:int,kind:int,end:int>>"
 
 
-def places(text: Column, matches: Column, kind: int) -> Column:
-    """(start, kind, end) in code points of the matches that a left-to-right scan of text has found, in order.
+#: Signs put around matches, and what stands for them where a text has them itself.
+BEGIN, END, OTHER = "\x01", "\x02", "\x03"
 
-    Where a pattern has no context but its own start, the next match begins at the first place where its text
-    stands at or after the end of the last one.
+
+def places(text: Column, pattern: str, kind: int) -> Column:
+    """(start, kind, end) in code points of the matches of a left-to-right scan of text, in order.
+
+    The scan puts signs around its matches; the pieces between the signs tell where they stand.
     """
+    own = F.translate(text, BEGIN + END, OTHER + OTHER)
+    pieces = F.split(F.regexp_replace(own, F.lit(pattern), F.lit(f"{BEGIN}$0{END}")), BEGIN)
 
-    def step(acc: Column, match: Column) -> Column:
-        at = F.call_function("locate", match, text, acc["next"])
-        return F.struct((at + F.char_length(match)).alias("next"), F.concat(acc["out"], F.array(F.struct((at - 1).alias("start"), F.lit(kind).alias("kind"), (at - 1 + F.char_length(match)).alias("end")))).cast(SPAN).alias("out"))
+    def step(acc: Column, piece: Column) -> Column:
+        n = F.call_function("locate", F.lit(END), piece) - 1
+        span = F.struct(acc["at"].alias("start"), F.lit(kind).alias("kind"), (acc["at"] + n).alias("end"))
+        return F.struct((acc["at"] + F.char_length(piece) - 1).alias("at"), F.concat(acc["out"], F.array(span)).cast(SPAN).alias("out"))
 
-    start = F.struct(F.lit(1).alias("next"), F.array().cast(SPAN).alias("out"))
-    return F.aggregate(matches, start, step, lambda acc: acc["out"])
+    start = F.struct(F.char_length(pieces[0]).alias("at"), F.array().cast(SPAN).alias("out"))
+    return F.aggregate(F.slice(pieces, 2, F.size(pieces)), start, step, lambda acc: acc["out"])
 
 
 def digits_of(c: Column) -> Column:
@@ -86,13 +92,13 @@ def base_spans(text: Column) -> Column:
     """All spans of the four formats: per kind leftmost and non-overlapping, matches that fail their test dropped."""
     parts = []
     for kind in BASE:
-        found = places(text, F.regexp_extract_all(text, F.lit(BASE[kind]), F.lit(0)), KINDS.index(kind))
+        found = places(text, BASE[kind], KINDS.index(kind))
         parts.append(found if kind == "email" else passing(text, found, kind))
     return F.sort_array(F.concat(*parts))
 
 
 def candidates(text: Column) -> Column:
-    parts = [places(text, F.regexp_extract_all(text, F.lit(p), F.lit(0)), KINDS.index(kind)) for kind, p in GENERATORS.items()]
+    parts = [places(text, p, KINDS.index(kind)) for kind, p in GENERATORS.items()]
     return F.sort_array(F.concat(*parts))
 
 
@@ -185,7 +191,7 @@ def find(docs: DataFrame, model: PiiModel, text_col: str = "text", keep: tuple[s
     """keep columns, `_text`, `_base` and `_spans`: arrays of (start, kind, end), sorted, of each row.
 
     _spans are the base spans, which may overlap, and of the candidates that reach the model's threshold and meet
-    no base span those that meet no earlier or longer one. Null text counts as empty; repeated rows give repeated results.
+    no base span, from the longest to the shortest, those that meet no other one taken. Null text counts as empty; repeated rows give repeated results.
     """
     text = F.col("_text")
     some = text.rlike(r"[0-9@]|\[at\]|\(at\)|[A-Za-z0-9_/+-]{16}")
@@ -196,14 +202,14 @@ def find(docs: DataFrame, model: PiiModel, text_col: str = "text", keep: tuple[s
     if not np.isfinite(model.margin) or not model.trees.trees:
         return rows.select(*keep, "_text", "_base", F.col("_base").alias("_spans"))
     picked = F.filter("_free", lambda c: model.trees.column(features(c)) >= model.margin)
-    bare = lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"))
-    rows = rows.select(*keep, "_text", "_base", F.transform(picked, bare).alias("_picked"))
+    ranked = lambda s: F.struct((s["start"] - s["end"]).alias("rank"), s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"))
+    rows = rows.select(*keep, "_text", "_base", F.sort_array(F.transform(picked, ranked)).alias("_picked"))
 
-    def longer(a: Column, b: Column) -> Column:
-        na, nb = a["end"] - a["start"], b["end"] - b["start"]
-        return (na > nb) | ((na == nb) & (a < b))
+    def add(kept: Column, c: Column) -> Column:
+        span = F.struct(c["start"].alias("start"), c["kind"].alias("kind"), c["end"].alias("end"))
+        return F.when(F.exists(kept, lambda o: overlaps(o, c)), kept).otherwise(F.concat(kept, F.array(span)).cast(SPAN))
 
-    alone = F.filter("_picked", lambda c: ~F.exists("_picked", lambda o: overlaps(o, c) & longer(o, c)))
+    alone = F.aggregate("_picked", empty, add)
     return rows.select(*keep, "_text", "_base", F.sort_array(F.concat("_base", alone)).alias("_spans"))
 
 

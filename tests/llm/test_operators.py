@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from loomwright.llm import bpe, components, exact_dedup, html_extract, language_id, line_dedup, packing, pigeonhole, pii, simhash, toxicity, weighted_sampling
+from loomwright.llm import bpe, components, exact_dedup, html_extract, language_id, line_dedup, packing, pigeonhole, pii, queries, simhash, toxicity, weighted_sampling
 from loomwright.llm.boosting import Boosted, Isotonic
 
 SF = "/root/testdata/sf0.001"
@@ -190,6 +190,24 @@ def test_forward_backward_by_brute_force():
     assert np.allclose(expected, pairs, atol=1e-4)
 
 
+def test_expected_transitions_of_many_labels():
+    draw = np.random.default_rng(1)
+    emissions, move = draw.normal(size=(6, 70)), draw.normal(size=(70, 70))
+    _, expected = language_id.forward_backward(emissions, move, np.array([6]))
+    # Brute force over all pairs of neighbours: what comes before and after by matrix products.
+    e, m = np.exp(emissions), np.exp(move)
+    want = np.zeros((70, 70))
+    for t in range(5):
+        before, after = e[0], np.ones(70)
+        for i in range(1, t + 1):
+            before = (before @ m) * e[i]
+        for i in range(5, t + 1, -1):
+            after = m @ (e[i] * after)
+        joint = before[:, None] * m * (e[t + 1] * after)[None]
+        want += joint / joint.sum()
+    assert expected.sum() == pytest.approx(5, rel=1e-4) and np.allclose(expected, want, atol=1e-4)
+
+
 def test_language_id(spark, docs, odd):
     field = language_id.fit(docs)
     truth = {r.doc_id: r.lang for r in docs.collect()}
@@ -482,6 +500,13 @@ def test_pii_base_spans(spark, odd):
         assert [tuple(s) for s in r.s] == brute_spans(texts[r.doc_id]), texts[r.doc_id][:200]
 
 
+def test_pii_candidates_stand_where_they_match(spark):
+    iban = "DE89370400440532013000"
+    row = spark.createDataFrame([(1, f"x{iban} and {iban} \x01 {iban} end")], "doc_id long, text string").select(F.col("text").alias("t"), pii.candidates(F.col("text")).alias("s")).first()
+    found = [(s.start, s.end) for s in row.s if pii.KINDS[s.kind] == "iban"]
+    assert found == [(m.start(), m.end()) for m in re.finditer(r"\b" + iban + r"\b", row.t)]
+
+
 def test_pii_model(spark, docs, odd, texts):
     sample = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     model = pii.fit(sample)
@@ -563,6 +588,53 @@ def test_line_classes(spark, odd):
     assert line_dedup.without_repeats(nothing(spark)).count() == 0
 
 
+def test_lines_that_many_share_a_third_with(spark):
+    """A crowded segment: 400 lines share their first third, and only neighbours in a chain are within two edits."""
+    draw = random.Random(2)
+    head = "".join(draw.choice("abcdefgh ") for _ in range(40)).strip() + "x"
+    lines = []
+    for _ in range(200):
+        tail = "".join(draw.choice("abcdefgh") for _ in range(80))
+        lines += [head + tail, head + tail[:30] + "z" + tail[31:]]
+    rows = [(i, t) for i, t in enumerate(lines)]
+    got = line_dedup.line_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.id, r.class_id, r.n_links) for r in got} == {(i, i - i % 2, 1) for i in range(400)}
+
+
+CONTRACTS = {
+    "op1_language_id": {"doc_id": "bigint", "held_out": "boolean", "lang_pred": "string", "score": "double"},
+    "op2_pii": {"doc_id": "bigint", "n_email": "bigint", "n_ip": "bigint", "n_card": "bigint", "n_phone": "bigint", "base_sha256": "string", "spans": "string"},
+    "op3_simhash": {"doc_id": "bigint", "fingerprint": "string", "component_id": "bigint"},
+    "op4_exact_dedup": {"doc_id": "bigint", "keep_id": "bigint", "group_size": "bigint", "kept": "boolean", "text_sha256": "string"},
+    "op5_toxicity": {"doc_id": "bigint", "held_out": "boolean", "score": "double", "predicted": "int"},
+    "op6_weighted_sampling": {"doc_id": "bigint", "n_chars": "bigint", "edited_sha256": "string", "fingerprint": "string", "edited_fingerprint": "string", "near_edited": "double", "near_next": "double"},
+    "op8_packing": {"doc_id": "bigint", "start": "bigint", "length": "bigint", "ids_crc32": "bigint", "doc_tokens": "bigint", "sequence_id": "bigint", "offset": "bigint"},
+    "op9_bpe": {"doc_id": "bigint", "n_tokens": "bigint", "ids_sha256": "string", "decoded_sha256": "string"},
+    "op10_html_extract": {"page_id": "bigint", "url": "string", "text": "string", "n_chars": "bigint"},
+}
+
+
+@pytest.mark.parametrize("name", sorted(CONTRACTS))
+def test_registered_queries_keep_their_contracts(spark, texts, name):
+    got = queries.QUERIES[name](spark, SF)
+    assert CONTRACTS[name].items() <= dict(got.dtypes).items()
+    rows = got.collect()
+    if name == "op10_html_extract":
+        assert len(rows) == 50
+    elif name == "op8_packing":
+        assert {r.doc_id for r in rows} == set(texts)
+    else:
+        assert sorted(r.doc_id for r in rows) == sorted(texts)
+    if name in ("op1_language_id", "op5_toxicity"):
+        assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in rows)
+    if name == "op2_pii":
+        for r in rows:
+            spans = brute_spans(texts[r.doc_id])
+            named = ",".join(f"{pii.KINDS[k]}:{a}:{b}" for a, k, b in spans)
+            assert r.base_sha256 == hashlib.sha256(named.encode()).hexdigest() and r.n_email == sum(k == 0 for _, k, _ in spans)
+            assert set(named.split(",")) - {""} <= set(r.spans.split(","))
+
+
 def test_components(spark):
     draw = random.Random(3)
     pairs = [(draw.randrange(80), draw.randrange(80)) for _ in range(60)] + [(5, 5), (200, 199), (None, 1)]

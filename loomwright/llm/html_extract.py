@@ -31,6 +31,9 @@ NOISE_WORDS = frozenset(
     "breadcrumbs header footer masthead sidebar aside widget cookie cookies consent notice notices popup modal newsletter subscribe signup "
     "comment comments respond disqus share sharing social related recommended login search skip pagination pager copyright".split()
 )
+#: Names that an element with the article carries, and parts of names that tell what it lacks or asks for.
+CONTENT_WORDS = frozenset("content article post entry story main body text page".split())
+NEGATIONS = frozenset("no not without non hide hidden required free".split())
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 #: Branches that the style tree may remove; running text is never one.
 REMOVABLE = frozenset("div section table ul ol dl figure details center fieldset span".split())
@@ -59,6 +62,12 @@ class Node:
         self.shape = self.content = 0
 
 
+def says_noise(names: str) -> bool:
+    """Does one of the names hold a word of NOISE_WORDS, no negation, and none name the article?"""
+    parts = [set(NAME.findall(name)) for name in names.split()]
+    return any(p & NOISE_WORDS and not p & NEGATIONS for p in parts) and not any(p and p <= CONTENT_WORDS for p in parts)
+
+
 def label_of(tag: str, attributes: str) -> tuple[str, bool]:
     """(style label, does the element's own markup say that it is no content)."""
     noise = tag in NOISE_TAGS
@@ -69,8 +78,7 @@ def label_of(tag: str, attributes: str) -> tuple[str, bool]:
         value, name = "".join(values).lower(), name.lower()
         if name in ("class", "id"):
             label += f".{value}" if name == "class" else f"#{value}"
-            if tag not in ("html", "body", "article", "main") and any(w.lower() in NOISE_WORDS for w in NAME.findall(value)):
-                noise = True
+            noise = noise or (tag not in ("html", "body", "article", "main") and says_noise(value))
         elif name == "role":
             noise = noise or value in NOISE_ROLES
             label += f"[{value}]"
@@ -132,6 +140,8 @@ def walk(page: str) -> Iterator[tuple[str, Node, str]]:
             yield "text", stack[-1], " "
         if tag not in VOID and not attributes.endswith("/"):
             label, noise = label_of(tag, attributes)
+            if tag == "header" and label == tag and any(node.tag == "article" for node in stack):
+                noise = False  # The article's own, with its title.
             stack.append(Node(tag, label, stack[-1], noise))
     yield from text(page[last:])
     yield from close_to(1)

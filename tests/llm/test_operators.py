@@ -267,6 +267,9 @@ PAGE = """<!DOCTYPE html><html><head><title>T</title><script>var a = "</p><artic
 def test_html(spark):
     assert html_extract.main_text(PAGE, frozenset()) == "A & B — C\nOne two three\nFour five"
     assert html_extract.main_text("<p>a<p>b<!-- c --><div hidden>d</div><li>e", frozenset()) == "a\nb\ne"
+    for names in ("content no-sidebar", "post login-required", "page-content"):
+        assert html_extract.main_text(f"<body><div class='{names}'><p>Real text</p></div><div class='post-comments'>c</div></body>", frozenset()) == "Real text"
+    assert html_extract.main_text("<header>Site</header><article><header><h1>Title</h1></header><p>a</p></article>", frozenset()) == "Title\na"
     shared = "<div class='x7'>Same words <b>here</b></div>"
     pages = [(i, f"http://h.org/{i}", f"<body>{shared}<p>Own text {i} of this page</p></body>") for i in range(10)]
     pages += [(10, None, None), (11, "no address", ""), (11, "no address", ""), (12, "http://h.org/12", "<scr<p>a<b"), (13, "http://h.org/9", "<p>" + "w " * 20_000)]

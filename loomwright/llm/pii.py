@@ -44,9 +44,20 @@ BEGIN, END, OTHER = "\x01", "\x02", "\x03"
 def places(text: Column, pattern: str, kind: int) -> Column:
     """(start, kind, end) in code points of the matches of a left-to-right scan of text, in order.
 
-    The scan puts signs around its matches; the pieces between the signs tell where they stand.
+    Where a pattern looks at no sign before its match, the next match begins at the first place where its text stands at
+    or after the end of the last one. Else the scan puts signs around its matches, and the pieces between the signs
+    tell where they stand.
     """
-    own = F.translate(text, BEGIN + END, OTHER + OTHER)
+    if not pattern.startswith("(?<!"):
+
+        def find(acc: Column, match: Column) -> Column:
+            at = F.call_function("locate", match, text, acc["next"])
+            span = F.struct((at - 1).alias("start"), F.lit(kind).alias("kind"), (at - 1 + F.char_length(match)).alias("end"))
+            return F.struct((at + F.char_length(match)).alias("next"), F.concat(acc["out"], F.array(span)).cast(SPAN).alias("out"))
+
+        first = F.struct(F.lit(1).alias("next"), F.array().cast(SPAN).alias("out"))
+        return F.aggregate(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), first, find, lambda acc: acc["out"])
+    own = F.when(F.contains(text, F.lit(BEGIN)) | F.contains(text, F.lit(END)), F.translate(text, BEGIN + END, OTHER + OTHER)).otherwise(text)
     pieces = F.split(F.regexp_replace(own, F.lit(pattern), F.lit(f"{BEGIN}$0{END}")), BEGIN)
 
     def step(acc: Column, piece: Column) -> Column:

@@ -8,9 +8,10 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     builder = SparkSession.builder.master("local[4]").config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false")
     builder = builder.config("spark.sql.session.timeZone", "UTC").config("spark.driver.memory", "4g").config("spark.ui.showConsoleProgress", "false")
+    builder = builder.config("spark.checkpoint.dir", f"file://{tmp_path_factory.mktemp('shared')}")
     session = builder.getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
     yield session

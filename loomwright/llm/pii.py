@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .boosting import Boosted, Isotonic
+from .planted import Planter
 
 LOCAL = "A-Za-z0-9._%+-"
 #: Kinds in the order in which spans with one start are listed. The first four are found by format alone.
@@ -30,10 +31,21 @@ GENERATORS = {
     "email": r"[A-Za-z0-9._%+-]{1,64}\x20?(?:@|\(at\)|\[at\])\x20?[A-Za-z0-9-]{1,63}(?:\x20?(?:\.|\(dot\)|\[dot\])\x20?[A-Za-z0-9-]{1,63}){1,8}",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,4})?(?![A-Za-z0-9])",
     "number": r"[(+]?[0-9][0-9\x20()./-]{5,}[0-9]",
+    "card": r"[0-9]{4}(?:[\x20-]?[0-9]{4}){2}[\x20-]?[0-9]{2,4}(?![0-9])",
     "secret": r"(?<![A-Za-z0-9_/+-])(?=[A-Za-z_/+-]*[0-9])[A-Za-z0-9_/+-]{16,}={0,2}",
 }
-CONTEXT = r"(?i)(?:token|secret|passw|pwd|api|key|bearer|tel|phone|fon|call|fax|card|visa|iban|konto|account|ssn|passport|mail|contact|ip|host)[^A-Za-z]{0,6}$"
-FEATURES = ("kind", "length", "digits", "letters", "upper", "groups", "dots", "plus", "at", "luhn", "octets", "hex", "context", "assigned", "spaces", "mixed")
+#: Words that stand shortly before a value.
+CONTEXTS = {
+    "keys": r"(?i)(?:token|secret|passw|pwd|api|key|bearer)[a-z]{0,4}[^A-Za-z]{0,6}$",
+    "calls": r"(?i)(?:tel|telefon|phone|fon|call|fax|mobil)[a-z]{0,2}[^A-Za-z]{0,6}$",
+    "accounts": r"(?i)(?:card|visa|iban|konto|account|ssn|passport)[^A-Za-z]{0,6}$",
+    "mails": r"(?i)(?:mail|contact|write to)[^A-Za-z]{0,6}$",
+}
+DATE = r"^(?:(?:19|20)[0-9]{2}[-./](?:[0-9]{1,2}[-./][0-9]{1,2}|(?:19|20)[0-9]{2})|[0-9]{1,2}[-./][0-9]{1,2}[-./](?:19|20)[0-9]{2})(?![0-9])"
+FEATURES = (
+    "kind", "length", "digits", "letters", "upper", "groups", "dots", "plus", "at", "luhn", "octets", "hex", *CONTEXTS, "assigned", "spaces", "mixed",
+    "check", "date", "distinct", "words", "bracket", "glued",
+)
 SPAN = "array<struct<start:int,kind:int,end:int>>"
 
 
@@ -84,6 +96,18 @@ def luhn(digits: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(0), F.char_length(digits) - 1), F.lit(0), step) % 10 == 0
 
 
+def remainder(c: Column) -> Column:
+    """An account number's remainder by 97: its first four characters moved to the end, letters counted from 10 for A."""
+    own = F.regexp_replace(c, r"\x20", "")
+    turned = F.concat(F.substring(own, F.lit(5), F.char_length(own)), F.substring(own, 1, 4))
+
+    def step(acc: Column, i: Column) -> Column:
+        code = F.ascii(F.substring(turned, i, F.lit(1)))
+        return F.when(code >= 65, acc * 100 + code - 55).otherwise(acc * 10 + code - 48) % 97
+
+    return F.aggregate(F.sequence(F.lit(1), F.char_length(turned)), F.lit(0), step)
+
+
 def valid(kind: str, match: Column) -> Column:
     n = F.char_length(digits_of(match))
     if kind == "ip":
@@ -143,19 +167,47 @@ def features(span: Column) -> list[Column]:
         flags(F.when(F.char_length(digits).between(13, 19), luhn(digits)).otherwise(False)),
         flags(c.rlike(OCTETS)),
         flags(c.rlike("^[0-9a-f]{16,}$")),
-        flags(before.rlike(CONTEXT)),
+        *[flags(before.rlike(words)) for words in CONTEXTS.values()],
         flags(before.rlike("""[=:]\\s?["']?$""")),
         F.char_length(F.regexp_replace(c, r"[^\x20]", "")).cast("double"),
         flags(c.rlike("[0-9][A-Za-z]+[0-9]")),
+        flags(F.when(c.rlike(r"^[A-Z]{2}[0-9]{2}[A-Z0-9\x20]{10,40}$"), remainder(c) == 1).otherwise(False)),
+        flags(c.rlike(DATE)),
+        F.size(F.array_distinct(F.split(c, ""))).cast("double"),
+        F.size(F.split(c, "[^A-Za-z]+")).cast("double"),
+        flags(F.startswith(c, F.lit("(")) | F.startswith(c, F.lit("0"))),
+        flags(before.rlike("[A-Za-z0-9]$")),
     ]
 
 
+def measured(text: Column, spans: Column) -> Column:
+    """spans with their features (x), each computed once whatever number of trees reads it."""
+
+    def measure(s: Column) -> Column:
+        return F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"), F.array(*features(s)).alias("x"))
+
+    return F.transform(cut_out(text, spans), measure)
+
+
+def unsettled(base: Column, found: Column) -> Column:
+    """Candidates that the formats leave open: those that meet no base span, and longer runs of letters and digits around one."""
+    wide = [KINDS.index(k) for k in ("iban", "secret")]
+
+    def settled(c: Column, s: Column) -> Column:
+        around = c["kind"].isin(wide) & (c["start"] <= s["start"]) & (c["end"] >= s["end"]) & (c["end"] - c["start"] > s["end"] - s["start"])
+        return overlaps(s, c) & ~around
+
+    return F.filter(found, lambda c: ~F.exists(base, lambda s: settled(c, s)))
+
+
 @dataclass
 class PiiModel:
+    """Trees, and of each kind the calibration, the probability from which on spans are taken, and its margin."""
+
     trees: Boosted
-    calibration: Isotonic
-    threshold: float
-    margin: float
+    calibrations: dict[str, Isotonic]
+    thresholds: dict[str, float]
+    margins: dict[str, float]
 
 
 def overlaps(a: Column, b: Column) -> Column:
@@ -167,52 +219,67 @@ def prepared(docs: DataFrame, text_col: str, *keep: str) -> DataFrame:
     return docs.select(*[F.col(c) for c in keep], F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
 
 
-def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most_docs: int = 20_000, most_rows: int = 20_000, precision: float = 0.9) -> PiiModel:
-    """Learn from candidates of about most_docs documents, at most most_rows of them, both by hash.
+def backgrounds(docs: DataFrame, id_col: str, text_col: str, most_docs: int, width: int = 80) -> list[str]:
+    """Up to `width` code points from a place in each of at most most_docs texts, both by hash of the id and text."""
+    h = F.xxhash64(F.col(id_col), F.col(text_col), F.lit("pii"))
+    text, n = F.col(text_col), F.char_length(text_col)
+    piece = F.substring(text, (F.pmod(h, F.greatest(n - width, F.lit(1))) + 1).cast("int"), F.lit(width))
+    rows = docs.filter(n > 0).select(h.alias("h"), piece.alias("piece")).orderBy("h", "piece").limit(most_docs)
+    return [r.piece for r in rows.collect()] or ["some plain words stand around this value"]
+
 
-    No table marks personal data, so labels come from the formats: a candidate that meets a valid span of BASE,
-    or a mixed run of letters and digits that is assigned after a word like token or key, is positive. Two thirds
-    fit the trees; the others calibrate the margins and give the threshold: the smallest probability whose
-    candidates reach `precision`. Without such a one nothing is added to the base spans.
+def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", most_docs: int = 4_000, most_rows: int = 8_000, precision: float = 0.9) -> PiiModel:
+    """Learn from `most_rows` short texts: pieces of at most most_docs documents, each with a planted value.
+
+    Half of the values are personal data, half only look like it (planted.py). A candidate is positive if it covers a whole
+    personal value and little else (a fifth of it at most); one that doesn't meet the planted value is left out, as are those that the formats settle.
+    Two thirds fit the trees. The others, kind by kind, calibrate the margins and give the thresholds:
+    the smallest probability of one half or more from which on candidates reach `precision`. A kind without such a one adds nothing.
     """
-    total = max(docs.count(), 1)
-    chosen = docs.select(F.col(id_col).alias("_id"), F.col(text_col)).filter(F.pmod(F.xxhash64("_id", F.lit("pii")), F.lit(max(1, total // most_docs))) == 0)
-    text = F.col("_text")
-    found = prepared(chosen, text_col, "_id").filter(text.rlike(r"[0-9@]|[A-Za-z0-9_/+-]{16}")).select("_id", "_text", base_spans(text).alias("_base"), candidates(text).alias("_found"))
-    rows = found.select("_id", "_base", F.explode(cut_out(text, F.col("_found"))).alias("_c"))
-    own = features(F.col("_c"))
-    named = dict(zip(FEATURES, own, strict=True))
-    label = F.exists("_base", lambda s: overlaps(s, F.col("_c"))) | ((named["context"] > 0) & (named["assigned"] > 0) & (named["digits"] > 0) & (named["letters"] > 0))
-    sample = rows.select(F.array(*own).alias("x"), label.cast("double").alias("y"), F.xxhash64("_id", "_c.start", "_c.kind").alias("h")).orderBy("h", "x", "y").limit(most_rows).collect()
+    pieces, planter = backgrounds(docs, id_col, text_col, most_docs), Planter()
+    kinds = sorted(GENERATORS)
+    made = [(*planter.row(kinds[i // 2 % len(kinds)], i % 2 == 0, pieces[i % len(pieces)]), i % 2 == 0, i) for i in range(most_rows)]
+    texts = docs.sparkSession.createDataFrame(made, "_text string, _start int, _end int, _good boolean, _no int")
+    text, c = F.col("_text"), F.col("_c")
+    found = texts.select("*", base_spans(text).alias("_base"), candidates(text).alias("_found"))
+    rows = found.select("_start", "_end", "_good", "_no", F.explode(measured(text, unsettled(F.col("_base"), F.col("_found")))).alias("_c"))
+    common = F.least(c["end"], "_end") - F.greatest(c["start"], "_start")
+    whole = F.greatest(c["end"], "_end") - F.least(c["start"], "_start")
+    covers = (c["start"] <= F.col("_start")) & (c["end"] >= F.col("_end")) & (common >= 0.8 * whole)
+    label = (F.col("_good") & covers).cast("double")
+    sample = rows.filter(common > 0).select("_no", c["start"].alias("start"), c["kind"].alias("kind"), c["x"].alias("x"), label.alias("y")).orderBy("_no", "start", "kind").collect()
     x = np.array([r.x for r in sample], dtype=float).reshape(len(sample), len(FEATURES))
-    y = np.array([r.y for r in sample], dtype=float)
-    turn = np.arange(len(sample)) % 3
-    trees = Boosted(rounds=25, rate=0.3).fit(x[turn != 0], y[turn != 0])
-    margins = trees.margin(x[turn == 0])
-    calibration = Isotonic().fit(margins, y[turn == 0])
-    p, best = calibration(margins), 2.0
-    for t in np.unique(p)[::-1]:
-        if y[turn == 0][p >= t].mean() >= precision:
-            best = float(t)
-    margin = float(margins[p >= best].min()) if (p >= best).any() else float("inf")
-    return PiiModel(trees, calibration, best, margin)
+    y, kind = np.array([r.y for r in sample], dtype=float), np.array([r.kind for r in sample], dtype=int)
+    held = np.array([r["_no"] // (2 * len(kinds)) % 3 == 0 for r in sample], dtype=bool)
+    trees = Boosted(rounds=40, rate=0.3).fit(x[~held], y[~held])
+    model = PiiModel(trees, {}, {}, {})
+    for name in GENERATORS:
+        own = held & (kind == KINDS.index(name))
+        margins, good = trees.margin(x[own]), y[own]
+        model.calibrations[name] = Isotonic().fit(margins, good)
+        p = model.calibrations[name](margins)
+        reached = [t for t in np.unique(p) if t >= 0.5 and good[p >= t].mean() >= precision]
+        model.thresholds[name] = float(reached[0]) if reached else 2.0
+        model.margins[name] = float(margins[p >= reached[0]].min()) if reached else float("inf")
+    return model
 
 
 def find(docs: DataFrame, model: PiiModel, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """keep columns, `_text`, `_base` and `_spans`: arrays of (start, kind, end), sorted, of each row.
 
-    _spans are the base spans, which may overlap, and of the candidates that reach the model's threshold and meet
-    no base span, from the longest to the shortest, those that meet no other one taken. Null text counts as empty; repeated rows give repeated results.
+    _spans are the base spans, which may overlap, and of the candidates that reach their kind's threshold and aren't settled
+    by a base span, from the longest to the shortest, those that meet no other one taken. An account number or
+    secret that holds a base span within it is added whole. Null text counts as empty; repeated rows give repeated results.
     """
     text = F.col("_text")
     some = text.rlike(r"[0-9@]|\[at\]|\(at\)|[A-Za-z0-9_/+-]{16}")
     empty = F.array().cast(SPAN)
     rows = prepared(docs, text_col, *keep).select("*", F.when(some, base_spans(text)).otherwise(empty).alias("_base"), F.when(some, candidates(text)).otherwise(empty).alias("_found"))
-    free = F.filter("_found", lambda c: ~F.exists("_base", lambda s: overlaps(s, c)))
-    rows = rows.select(*keep, "_text", "_base", free.alias("_free")).withColumn("_free", cut_out(text, F.col("_free")))
-    if not np.isfinite(model.margin) or not model.trees.trees:
+    rows = rows.select(*keep, "_text", "_base", measured(text, unsettled(F.col("_base"), F.col("_found"))).alias("_free"))
+    if not model.trees.trees or not np.isfinite(list(model.margins.values())).any():
         return rows.select(*keep, "_text", "_base", F.col("_base").alias("_spans"))
-    picked = F.filter("_free", lambda c: model.trees.column(features(c)) >= model.margin)
+    least = F.array(*[F.lit(model.margins.get(k, float("inf"))) for k in KINDS])
+    picked = F.filter("_free", lambda c: model.trees.column([c["x"][i] for i in range(len(FEATURES))]) >= least[c["kind"]])
     ranked = lambda s: F.struct((s["start"] - s["end"]).alias("rank"), s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"))
     rows = rows.select(*keep, "_text", "_base", F.sort_array(F.transform(picked, ranked)).alias("_picked"))
 

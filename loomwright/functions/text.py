@@ -65,6 +65,12 @@ def pair_id(a: Column, b: Column) -> Column:
     return F.concat_ws("__", F.least(a, b), F.greatest(a, b))
 
 
+def pair_members(pair: Column) -> tuple[Column, Column]:
+    """The two ids of a pair's id; null where it is none."""
+    parts = F.split(pair, "__", 2)
+    return parts[0], F.get(parts, F.lit(1))
+
+
 def has_han(value: Column) -> Column:
     return F.coalesce(value, F.lit("")).rlike("[\\u3400-\\u4dbf\\u4e00-\\u9fff]")
 

@@ -22,6 +22,17 @@ def read_json(spark: SparkSession, path: str, schema: StructType | str) -> DataF
     return spark.read.json(path, schema=schema, multiLine=True)
 
 
+def read_files(spark: SparkSession, pattern: str) -> DataFrame:
+    """All Parquet files that a pattern names, with the name of each row's file as `release`."""
+    return spark.read.parquet(pattern).select("*", F.col("_metadata.file_name").alias("release"))
+
+
+def present(df: DataFrame, message: str) -> DataFrame:
+    """df, a lookup's few rows; running it fails with the message if there is none."""
+    n = df.agg(F.count(F.lit(1)).alias("_n")).select(F.when(F.col("_n") > 0, True).otherwise(F.raise_error(F.lit(message)).cast("boolean")).alias("_some"))
+    return n.join(df, F.col("_some"), "left").drop("_some")
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """Quoted CSV with header; arrays are joined by '; ' in sorted, distinct form."""
     joined = [F.array_join(F.array_sort(F.array_distinct(c)), "; ").alias(c) if kind.startswith("array") else F.col(c) for c, kind in df.dtypes]
@@ -33,6 +44,13 @@ def archive(df: DataFrame, path: str, *partitions: str) -> None:
     df.repartition(*partitions).write.mode("append").partitionBy(*partitions).parquet(path)
 
 
+def write_revision(df: DataFrame, path: str, revision: int, replace: bool = False) -> str:
+    """Write one revision of a release to a folder of its own; one that is there stays as it is and is an error, unless replaced."""
+    folder = f"{path}/revision={revision}"
+    df.write.mode("overwrite" if replace else "errorifexists").parquet(folder)
+    return folder
+
+
 def keyed_replace(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     """old without the keys of new, and new."""
     return old.join(new.select(*keys).distinct(), keys, "left_anti").unionByName(new.select(*old.columns))

@@ -1,9 +1,11 @@
 from datetime import date, datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from loomwright.functions import dates, labels, text
 from loomwright.operators import greedy, indices
+from loomwright.sources import tables
 from loomwright.sources.tables import keyed_replace, merge_upsert, read_csv, write_csv
 from loomwright.streaming.weekly import first_sightings, weekly_counts
 
@@ -117,3 +119,37 @@ def test_csv_with_mark_and_missing_fields(spark, tmp_path):
     path.write_text('\ufeff"id","label"\n"1","same"\n"2",""\n"3","a ""b"" c"\n', encoding="utf-8")
     rows = read_csv(spark, str(path), "id int, label string", required=("label",)).collect()
     assert [(r.id, r.label) for r in rows] == [(1, "same"), (3, 'a "b" c')]
+
+
+def test_files_with_marks_gaps_and_missing_columns(spark, tmp_path):
+    (tmp_path / "a.csv").write_bytes('\ufeffid,name\n1,"x, ""y"""\n2,\n'.encode())
+    rows = tables.read_csv(spark, f"file://{tmp_path}/a.csv", "id int, name string")
+    assert [tuple(r) for r in rows.collect()] == [(1, 'x, "y"'), (2, None)]
+    kept = tables.read_csv(spark, f"file://{tmp_path}/a.csv", "id int, name string", required=("name",))
+    assert [r.id for r in kept.collect()] == [1]
+    (tmp_path / "b.csv").write_text("id,other\n1,x\n")
+    with pytest.raises(Exception, match="(?i)header|schema"):
+        tables.read_csv(spark, f"file://{tmp_path}/b.csv", "id int, name string", required=("name",)).collect()
+    (tmp_path / "c.json").write_text('{"id": 1,\n "tags": ["a"]}')
+    assert tuple(tables.read_json(spark, f"file://{tmp_path}/c.json", "id int, tags array<string>, note string").first()) == (1, ["a"], None)
+
+
+def test_archive_and_revisions(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "a"), (2, "b"), (3, "a")], "id int, run string")
+    for _ in range(2):
+        tables.archive(rows, f"file://{tmp_path}/archive", "run")
+    back = spark.read.parquet(f"file://{tmp_path}/archive")
+    assert sorted((r.id, r.run) for r in back.collect()) == [(1, "a")] * 2 + [(2, "b")] * 2 + [(3, "a")] * 2
+    folder = tables.write_revision(rows, f"file://{tmp_path}/release", 1)
+    with pytest.raises(Exception, match="(?i)exists"):
+        tables.write_revision(rows, f"file://{tmp_path}/release", 1)
+    tables.write_revision(rows.limit(1), f"file://{tmp_path}/release", 1, replace=True)
+    assert spark.read.parquet(folder).count() == 1
+    assert tables.read_files(spark, f"file://{tmp_path}/release/*/*.parquet").count() == 1
+
+
+def test_lookup_without_a_row_fails(spark):
+    rows = spark.createDataFrame([(1, "a")], "id int, name string")
+    assert [tuple(r) for r in tables.present(rows.filter("id = 1"), "no row").collect()] == [(1, "a")]
+    with pytest.raises(Exception, match="no row"):
+        tables.present(rows.filter("id = 2"), "no row").collect()

@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import loomwright.plans.more_queries
+import loomwright.plans.report_queries
 import loomwright.plans.rule_queries  # noqa: F401
 from loomwright.plans.queries import ORACLE_SQL, QUERIES
 

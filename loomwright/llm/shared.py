@@ -86,9 +86,12 @@ def listed(paths: list[str]) -> Iterator[None]:
         _lists.pop()
 
 
-def bounded(df: DataFrame, most_rows: int) -> DataFrame:
-    """df, which saved() has made, marked for broadcast if it has at most most_rows rows; else the same join runs by shuffle."""
-    return F.broadcast(df) if df.count() <= most_rows else df
+def bounded(df: DataFrame, most_rows: int, most_bytes: int = 64 << 20) -> DataFrame:
+    """df, which saved() has made, marked for broadcast if it is small in rows and bytes; else the same join runs by shuffle."""
+    wide = [F.sum(F.octet_length(c)) for c, kind in df.dtypes if kind in ("string", "binary")]
+    wide += [F.sum(F.size(c)) * 8 for c, kind in df.dtypes if kind.startswith("array<") and kind[6:-1] in ("int", "bigint", "double")]
+    rows, *sizes = df.agg(F.count(F.lit(1)), *wide).first()
+    return F.broadcast(df) if rows <= most_rows and sum(x or 0 for x in sizes) + 16 * rows * len(df.columns) <= most_bytes else df
 
 
 def map_arrow(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema: str) -> DataFrame:

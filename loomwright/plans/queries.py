@@ -173,14 +173,16 @@ def difference(spark, sf_dir):
     return table(spark, sf_dir, "part").select(F.col("p_partkey").alias("k")).subtract(table(spark, sf_dir, "lineitem").filter("l_quantity > 45").select("l_partkey"))
 
 
+def dated_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), (F.col("vec_id") % 7).alias("day"), F.col("embedding").alias("vector"))
+
+
 @query("""SELECT a.vec_id AS a, b.vec_id AS b, round(list_sum(list_transform(range(1, len(a.embedding) + 1), lambda i: a.embedding[i]::DOUBLE * b.embedding[i]::DOUBLE)), 6) AS similarity
     FROM embeddings a JOIN embeddings b ON a.vec_id < b.vec_id AND abs(a.vec_id % 7 - b.vec_id % 7) <= 1
     WHERE round(list_sum(list_transform(range(1, len(a.embedding) + 1), lambda i: a.embedding[i]::DOUBLE * b.embedding[i]::DOUBLE)), 6) >= 0.3""")
 def theta_pairs(spark, sf_dir):
     """All pairs of vectors at most one day apart whose similarity reaches 0.3; days are vec_id % 7."""
-    v = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), (F.col("vec_id") % 7).alias("day"), "embedding")
-    pairs = vectors.near_in_time(v, "day", 1).select(F.col("a.id").alias("a"), F.col("b.id").alias("b"), vectors.dot(F.col("a.embedding"), F.col("b.embedding")).alias("similarity"))
-    return pairs.filter("similarity >= 0.3")
+    return vectors.blocked_pairs(dated_vectors(spark, sf_dir), 1, 0.3)
 
 
 CANDIDATES_SQL = """WITH p AS (SELECT a.vec_id AS a, b.vec_id AS b, round(list_sum(list_transform(range(1, len(a.embedding) + 1), lambda i: a.embedding[i]::DOUBLE * b.embedding[i]::DOUBLE)), 6) AS similarity
@@ -190,9 +192,8 @@ CANDIDATES_SQL = """WITH p AS (SELECT a.vec_id AS a, b.vec_id AS b, round(list_s
 @query(CANDIDATES_SQL + " SELECT a, b, similarity, place FROM q WHERE place <= 3")
 def candidate_topk(spark, sf_dir):
     """For each vector the three most similar earlier ones at most one day apart."""
-    v = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), (F.col("vec_id") % 7).alias("day"), "embedding")
-    pairs = vectors.near_in_time(v, "day", 1).select(F.col("b.id").alias("a"), F.col("a.id").alias("b"), vectors.dot(F.col("a.embedding"), F.col("b.embedding")).alias("similarity"))
-    return ranking.top_per_key(pairs.filter("similarity >= 0.25"), ["a"], [F.desc("similarity"), F.asc("b")], 3, "place")
+    pairs = vectors.blocked_pairs(dated_vectors(spark, sf_dir), 1, 0.25, top=3)
+    return ranking.top_per_key(pairs, ["a"], [F.desc("similarity"), F.asc("b")], 3, "place")
 
 
 @query(CANDIDATES_SQL + """ SELECT a, max(similarity) FILTER (WHERE place = 1) AS best, max(similarity) FILTER (WHERE place = 2) AS second,
@@ -497,13 +498,15 @@ def integrity_gates(spark, sf_dir):
 
 @query()
 def greedy_cluster(spark, sf_dir):
-    """Vectors of each label, in chains of days, clustered one after the other."""
-    v = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.floor(F.col("vec_id") / 3).alias("day"), F.when(F.col("vec_id") % 4 == 0, F.concat(F.lit("t"), F.col("vec_id") % 20)).alias("token"), F.col("embedding").alias("vector"), "label")
-    return greedy.greedy_clusters(v, "label", 0.2, 0.1)
+    """Vectors of each label, clustered one after the other in order of day, rank and headline."""
+    token = F.when(F.col("vec_id") % 4 == 0, F.concat(F.lit("t"), F.col("vec_id") % 20))
+    rows = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.floor(F.col("vec_id") / 3).alias("day"), (F.col("vec_id") % 5).alias("rank"), F.md5(F.col("vec_id").cast("string")).alias("headline"), token.alias("token"), F.col("embedding").alias("vector"), "label")
+    return greedy.greedy_clusters(rows, "label", 0.2, 0.1)
 
 
 @query()
 def greedy_sample(spark, sf_dir):
-    """The best pairs of each bin within quotas and without overused vectors."""
-    p = theta_pairs(spark, sf_dir).select(F.concat(F.lit("b"), F.floor(F.col("similarity") * 20)).alias("bucket"), "a", "b", F.col("similarity").alias("priority"))
-    return greedy.quota_sample(p, {"b6": 40, "b7": 20, "b8": 10}, 2)
+    """The best pairs of each bucket within quotas, no vector in over two of them, and others up to 90."""
+    bins = F.concat(F.lit("b"), F.floor(F.col("similarity") * 20))
+    pairs = theta_pairs(spark, sf_dir).select("a", "b", F.round("similarity", 2).alias("priority"), F.col("similarity").alias("second"), F.array(bins, F.when((F.col("a") + F.col("b")) % 2 == 0, "even")).alias("buckets"))
+    return greedy.quota_sample(pairs, [("even", 30), ("b6", 25), ("b7", 20), ("b8", 10)], 2, 90)

@@ -76,20 +76,6 @@ def test_csv_round_trip(spark, tmp_path):
     assert got[0] == ("a,b", "x; y") and got[1][0] == 'q"q'
 
 
-def test_greedy_clusters(spark):
-    rows = [(1, 0, "t", [1.0, 0.0]), (2, 1, None, [1.0, 0.0]), (3, 2, "t", [0.0, 1.0]), (4, 3, None, [0.0, 1.0]), (5, 20, "t", [1.0, 0.0])]
-    df = spark.createDataFrame([(*r, "k") for r in rows], "id long, day long, token string, vector array<double>, k string")
-    got = {r.id: r.cluster_id for r in greedy.greedy_clusters(df, "k").collect()}
-    # 3 joins by its token; 4 is like 3 but not like the others; 5 is too late.
-    assert got == {1: 1, 2: 1, 3: 1, 4: 4, 5: 5}
-
-
-def test_quota_sample(spark):
-    pairs = spark.createDataFrame([("x", 1, b, float(10 - b)) for b in range(2, 8)] + [("x", 8, 9, 0.5)], "bucket string, a long, b long, priority double")
-    got = sorted((r.a, r.b) for r in greedy.quota_sample(pairs, {"x": 5}, 2).collect())
-    assert got == [(1, 2), (1, 3), (8, 9)]
-
-
 def test_stream_equals_batch(spark, tmp_path):
     events = spark.read.parquet("/root/testdata/sf0.001/events.parquet").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type")
     events.write.parquet(str(tmp_path / "in"))

@@ -21,8 +21,8 @@ from .shared import saved, slices
 
 #: Groups whose leftovers merge together in each round.
 MERGED_TOGETHER = 64
-#: Distinct chunks of one generation, about 70 MB; a worker remembers two of them.
-REMEMBERED = 350_000
+#: Distinct chunks of one generation, about 70 MB, and characters that one may have altogether; a worker remembers two generations.
+REMEMBERED, REMEMBERED_CHARS = 350_000, 8_000_000
 #: A run of letters and, after it, a run of marks that never joins letters to a token.
 WORD_AND_MARKS = re.compile(r"([^\W\d_]+)([.,;:!?#$%&*|()]*)", re.UNICODE)
 
@@ -35,7 +35,7 @@ class WordTokens:
     such run ends with the one token of it that ends a word.
     """
 
-    def __init__(self, path: str, end_id: int) -> None:
+    def __init__(self, path: str, end_id: int, remembered: int = REMEMBERED) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -43,6 +43,7 @@ class WordTokens:
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.end = end_id.to_bytes(4, "little")
+        self.remembered, self.chars = remembered, 0
         self.known: dict[str, bytes] = {"": b""}
         self.before: dict[str, bytes] = {}
 
@@ -85,9 +86,11 @@ class WordTokens:
         split = [text.replace("\n", " ").replace("\t", " ").split(" ") for text in texts]
         chunks = set().union(*split)
         new = self.recall(chunks)
-        if len(self.known) + len(new) > REMEMBERED:
-            self.before, self.known = self.known, {"": b""}
+        chars = sum(map(len, new))
+        if len(self.known) + len(new) > self.remembered or self.chars + chars > REMEMBERED_CHARS:
+            self.before, self.known, self.chars = self.known, {"": b""}, 0
             new = self.recall(chunks)
+        self.chars += chars
         new = list(new)
         gc.disable()  # Nothing here is cyclic, and the collector would walk all that is remembered.
         try:
@@ -99,8 +102,8 @@ class WordTokens:
 
 
 @functools.cache
-def word_tokens(path: str, end_id: int) -> WordTokens:
-    return WordTokens(path, end_id)
+def word_tokens(path: str, end_id: int, remembered: int = REMEMBERED) -> WordTokens:
+    return WordTokens(path, end_id, remembered)
 
 
 class Windows:
@@ -173,12 +176,12 @@ def powers_of_two(n: int) -> list[int]:
     return [1 << b for b in reversed(range(n.bit_length())) if n >> b & 1]
 
 
-def packed(docs: DataFrame, path: str, end_id: int, length: int, open_windows: int, id_col: str, text_col: str) -> DataFrame:
+def packed(docs: DataFrame, path: str, end_id: int, length: int, open_windows: int, id_col: str, text_col: str, remembered: int) -> DataFrame:
     """Pieces of each partition; those of windows still open at its end carry their ids."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, tokens = TaskContext.get().partitionId(), word_tokens(path, end_id)
+        part, tokens = TaskContext.get().partitionId(), word_tokens(path, end_id, remembered)
         state = {"n": 0, "out": [[] for _ in range(9)]}
 
         def emit(pieces: list, keep_ids: bool = False) -> None:
@@ -241,8 +244,9 @@ def merged(leftovers: DataFrame, round_no: int, length: int, last: bool, id_col:
 
 
 def pack(
-    docs: DataFrame, path: str, end_id: int = 1, length: int = 2048, open_windows: int = 32, id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
+    docs: DataFrame, path: str, end_id: int = 1, length: int = 2048, open_windows: int = 32, id_col: str = "doc_id", text_col: str = "text",
+    remembered: int = REMEMBERED,
+) -> DataFrame:
     """One row per piece: id_col, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
     Each partition of docs keeps open_windows open windows and sees its documents once. A document's last piece
@@ -251,10 +255,12 @@ def pack(
     groups, of which each keeps one window open, until one group is left. Sequences have `length` tokens; the very
     last window is cut at powers of two.
 
+    A worker remembers the ids of up to two times `remembered` distinct chunks; fewer cost time, not results.
+
     Null and empty texts are documents of the end id alone. Repeated rows are packed each for itself; ids may
     be null. Other columns of docs are not read. An empty table gives no rows.
     """
-    first = saved(packed(docs, path, end_id, length, open_windows, id_col, text_col))
+    first = saved(packed(docs, path, end_id, length, open_windows, id_col, text_col, remembered))
     done, open_ = [first.filter("ids IS NULL")], first.filter("ids IS NOT NULL")
     groups, round_no = (first.agg(F.max("part")).first()[0] or 0) + 1, 1
     while groups > MERGED_TOGETHER:

@@ -70,7 +70,7 @@ def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     read = warc.read_archives(warc.write_archives(pages, folder), payloads=False)
     facts = read.select(F.col("id").cast(kind).alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast(kind).alias("refers_to"))
     facts = saved(facts)
-    remove(spark, [folder])
+    remove(spark, folder)
     return facts
 
 

@@ -2,12 +2,7 @@
 
 from __future__ import annotations
 
-import atexit
 import contextlib
-import functools
-import shutil
-import tempfile
-import uuid
 import weakref
 from collections.abc import Callable, Iterator
 
@@ -15,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loomwright.sources.scratch import remove, scratch_dir
+
 #: Crc32 of an id's decimal text, modulo 4; rows with this remainder are held out of every fit.
 HELD_OUT_REMAINDER = 2
 
@@ -24,27 +21,6 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == HELD_OUT_REMAINDER, F.lit(False))
 
 
-@functools.cache
-def own_folder() -> str:
-    """For sessions on one machine without spark.checkpoint.dir, such as tests. Removed when Python ends."""
-    root = tempfile.mkdtemp(prefix="spark-loomwright-")
-    atexit.register(shutil.rmtree, root, ignore_errors=True)
-    return root
-
-
-def scratch_dir(spark: SparkSession) -> str:
-    """A new folder's path under the shared folder that the session names in spark.checkpoint.dir.
-
-    On a cluster that setting must be there: executors don't share the driver's local folders.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.split("[")[0] == "local":
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        root = own_folder()
-    return f"{root.rstrip('/')}/loomwright-{uuid.uuid4().hex}"
-
-
 #: Folders of the tables that saved() has made, and lists of those made meanwhile that a caller keeps.
 _folders: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
 _lists: list[list[str]] = []
@@ -61,19 +37,11 @@ def saved(df: DataFrame) -> DataFrame:
     return out
 
 
-def remove(spark: SparkSession, paths: list[str]) -> None:
-    """Delete scratch folders; those that are gone don't matter."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    for path in paths:
-        where = jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(conf).delete(where, True)
-
-
 def free(*tables: DataFrame) -> None:
     """Delete what saved() wrote for tables that nothing reads any more."""
     for df in tables:
         if path := _folders.pop(df, None):
-            remove(df.sparkSession, [path])
+            remove(df.sparkSession, path)
 
 
 @contextlib.contextmanager
@@ -86,6 +54,15 @@ def listed(paths: list[str]) -> Iterator[None]:
         _lists.pop()
 
 
+@contextlib.contextmanager
+def only_last(spark: SparkSession) -> Iterator[None]:
+    """Delete what saved() has made within, but for its last table."""
+    made: list[str] = []
+    with listed(made):
+        yield
+    remove(spark, *made[:-1])
+
+
 def bounded(df: DataFrame, most_rows: int, most_bytes: int = 64 << 20) -> DataFrame:
     """df, which saved() has made, marked for broadcast if it is small in rows and bytes; else the same join runs by shuffle."""
     wide = [F.sum(F.octet_length(c)) for c, kind in df.dtypes if kind in ("string", "binary")]

@@ -134,7 +134,8 @@ def first_of_copies(texts: list[str]) -> list[int]:
 def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, most_rows: int = 8_000, most_chars: int = 24_000_000, calibration_share: int = 3) -> ToxicityModel:
     """Learn from a bounded sample: the first most_rows labelled ids by hash that aren't held out.
 
-    Of these, texts are kept in hash order until most_chars characters; each is read whole, copies once. Every
+    Of these, texts are kept in hash order as long as they have most_chars characters together, without those that would pass
+    that; each is read whole, copies once. Every
     calibration_share-th row calibrates the margins that trees of the other rows give; the trees used for scores
     learn from the same other rows.
     """
@@ -143,14 +144,13 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_co
     sample = label.orderBy(F.xxhash64("id"), "id").limit(most_rows)
     # At most most_rows pairs of two integers: small whatever the input.
     chosen = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")).filter("t IS NOT NULL")
-    chosen = chosen.join(F.broadcast(sample), "id").select("id", "y", "t", F.length("t").cast("long").alias("n"))
+    chosen = chosen.join(F.broadcast(sample), "id").select("id", "y", "t", F.length("t").cast("long").alias("n")).filter(F.col("n") <= most_chars)
     rows = []
     held = 0
     for row in chosen.orderBy(F.xxhash64("id"), "id").limit(most_rows).toLocalIterator():
-        held += row.n
-        if held > most_chars:
-            break
-        rows.append((row.y, row.t))
+        if held + row.n <= most_chars:
+            held += row.n
+            rows.append((row.y, row.t))
     rows = [rows[i] for i in first_of_copies([t for _, t in rows])]
     y = np.array([r[0] for r in rows], dtype=float)
     turn = np.arange(len(rows)) % calibration_share

@@ -1,38 +1,23 @@
 """From raw documents to packed training sequences, in five stages that each use one operator.
 
-Each stage takes (spark, docs, sf_dir) and works on all rows of docs; all but the last return the columns of documents.
+Each stage takes (spark, docs, sf_dir) and works on all rows of docs; all but the last return the columns of documents. Extra
+columns are left out, whatever their names. Null and empty texts are kept as they are; of documents with null or empty texts, which are alike,
+one stays. Rows that repeat an id are one document to line dedup and near-dedup, and two to the other stages; a null id keeps its
+lines and has no near copy. An empty table gives an empty table.
 """
 
 from __future__ import annotations
 
-import functools
-
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomwright.llm import line_dedup, packing, pii, simhash, toxicity
-from loomwright.llm.shared import listed, remove, saved, table
+from loomwright.llm.shared import free, listed, only_last, remove, saved, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-#: Scratch folders by the application and the stage that made them.
-LEFT: dict[tuple[str, str], list[str]] = {}
-
-
-def stage(before: str | None, name: str):
-    """A stage reads the columns of documents, and frees what the one before it left in the shared folder: its rows are written by then."""
-
-    def wrap(f):
-        @functools.wraps(f)
-        def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-            app = spark.sparkContext.applicationId
-            remove(spark, LEFT.pop((app, before), []))
-            with listed(LEFT.setdefault((app, name), [])):
-                return f(spark, docs.select(*COLUMNS), sf_dir)
-
-        return run_stage
-
-    return wrap
+#: Chunks that packing remembers: fewer than by itself, as workers also hold what other stages need.
+REMEMBERED = 100_000
 
 
 def with_text(docs: DataFrame, text: Column) -> DataFrame:
@@ -42,36 +27,44 @@ def with_text(docs: DataFrame, text: Column) -> DataFrame:
     return changed.select("doc_id", F.col("_new").alias("text"), "lang", "source", n.alias("n_chars"))
 
 
-@stage(None, "toxicity")
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score 0.3 or more go; the model learns from the labels of documents that aren't held out."""
+    docs = docs.select(*COLUMNS)
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), "doc_id", "text", "toxic")
     return toxicity.with_verdict(docs, model).filter("predicted = 0").select(*COLUMNS)
 
 
-@stage("toxicity", "line_dedup")
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of equal or nearly equal lines, the first stays; documents keep their other lines."""
-    return with_text(docs.join(line_dedup.removed_lines(docs), F.col("doc_id") == F.col("_id"), "left"), line_dedup.rest_of(F.col("text"), F.col("_gone")))
+    """Of each class of equal or nearly equal lines, the first stays; documents keep their other lines.
+
+    Of the scratch tables only the numbers of the lines that go stay until the result has been written.
+    """
+    docs = docs.select(*COLUMNS)
+    with only_last(spark):
+        gone = line_dedup.removed_lines(docs)
+    return with_text(docs.join(gone, F.col("doc_id") == F.col("_id"), "left"), line_dedup.rest_of(F.col("text"), F.col("_gone")))
 
 
-@stage("line_dedup", "near_dedup")
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of documents with like sets of five-word shingles, the smallest doc_id stays."""
-    return simhash.one_of_each(docs).select(*COLUMNS)
+    """Of each group of documents with like sets of five-word shingles, the smallest doc_id stays.
+
+    Of the scratch tables only the ids that go stay until the result has been written.
+    """
+    docs = docs.select(*COLUMNS)
+    with only_last(spark):
+        return simhash.one_of_each(docs).select(*COLUMNS)
 
 
-@stage("near_dedup", "pii")
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Spans of personal data become their kind in angle brackets; null texts stay null."""
+    docs = docs.select(*COLUMNS)
     found = pii.find(docs, pii.fit(docs), keep=tuple(COLUMNS))
     return with_text(found, F.when(F.col("text").isNotNull(), pii.redacted(F.col("text"), F.col("_spans"))))
 
 
-@stage("pii", "packing")
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents in sequences of at most 2048 tokens."""
-    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return packing.pack(docs.select(*COLUMNS), public_tokenizers.path("word_bpe_49k.json"), remembered=REMEMBERED)
 
 
 STAGES = [
@@ -87,8 +80,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents; between stages the rows are written to the shared folder."""
+    """All stages over documents; each one's rows are written to the shared folder, and what it needed is freed when they are."""
     docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES[:-1]:
-        docs = saved(stage(spark, docs, sf_dir))
+        needed: list[str] = []
+        with listed(needed):
+            result = stage(spark, docs, sf_dir)
+        written = saved(result)
+        remove(spark, *needed)
+        free(docs)
+        docs = written
     return STAGES[-1][1](spark, docs, sf_dir)

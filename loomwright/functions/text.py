@@ -120,12 +120,6 @@ def translation_faults(language: Column, original: Column, english: Column) -> C
     return F.filter(faults, lambda r: r.isNotNull())
 
 
-def parse_pair(pair: Column) -> tuple[Column, Column]:
-    """Both ids of a pair's id."""
-    parts = F.split(pair, "__", 2)
-    return F.get(parts, F.lit(0)), F.get(parts, F.lit(1))
-
-
 def clean_codes(values: Column) -> Column:
     """Three-letter codes in upper case, without other signs, each once in order."""
     return F.array_distinct(F.filter(F.transform(values, lambda v: F.upper(F.regexp_replace(v, "[^A-Za-z]", ""))), lambda c: F.length(c) == 3))
@@ -139,16 +133,6 @@ def resolved_language(value: Column, detected: Column, confidence: Column, hint:
     return language, method
 
 
-def stable_hash(fields: dict[str, Column]) -> Column:
-    """SHA-256 of the fields as compact JSON with sorted keys; fields without a value are left out."""
-    return F.sha2(F.to_json(F.struct(*[fields[k].alias(k) for k in sorted(fields)])), 256)
-
-
-def first_object(value: Column) -> Column:
-    """The first whole JSON object without inner ones in a text, after thoughts are taken out; empty if there is none."""
-    return F.regexp_extract(F.regexp_replace(value, r"(?s)<think>.*?</think>", ""), r"\{[^{}]*\}", 0)
-
-
 def display(*parts: Column) -> Column:
     """Parts that aren't blank, joined by bars."""
     return F.concat_ws(" | ", *[F.nullif(F.trim(p), F.lit("")) for p in parts])

@@ -189,6 +189,19 @@ def blocked_pairs(df: DataFrame, gap: float, least: float, top: int | None = Non
     return found.select("a", "b", F.round("product", 6).alias("similarity")).filter(F.col("similarity") >= least)
 
 
+def cohesion(df: DataFrame, key: str) -> DataFrame:
+    """(key, members, first_day, last_day, pairs, mean_similarity, least_similarity) of the clusters of rows (id, day, vector, key).
+
+    A cluster of one has no similarities. Pairs are made in blocks and summed up by task, so a large cluster lies in many tasks.
+    """
+    rows = df.filter(F.col(key).isNotNull())
+    facts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("members"), F.min("day").alias("first_day"), F.max("day").alias("last_day"))
+    own = rows.select("id", F.lit(0).alias("day"), "vector", F.col(key).cast("string").alias("key"))
+    pairs = blocked_pairs(own, 0, -1e300, key="key").join(rows.select(F.col("id").alias("a"), key), "a")
+    means = pairs.groupBy(key).agg(F.count(F.lit(1)).alias("pairs"), F.round(F.avg("similarity"), 4).alias("mean_similarity"), F.round(F.min("similarity"), 4).alias("least_similarity"))
+    return facts.join(means, key, "left").withColumn("pairs", F.coalesce("pairs", F.lit(0)).cast("long"))
+
+
 def centroids(df: DataFrame, key: str, vector: str) -> DataFrame:
     """(key, place, value) of the mean vectors of each key, normalised to length 1."""
     flat = df.select(key, F.posexplode(vector).alias("place", "x"))

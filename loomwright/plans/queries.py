@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomwright.functions import dates, labels, text
-from loomwright.operators import greedy, indices, ranking, vectors
+from loomwright.operators import greedy, indices, ranking, rollups, vectors
 from loomwright.sources.tables import keyed_replace, merge_upsert, table
 from loomwright.streaming.weekly import weekly_counts
 
@@ -257,15 +257,12 @@ def stratified_bins(spark, sf_dir):
 
 @query("SELECT l_partkey, min(l_linenumber) AS best_rank, count(DISTINCT l_orderkey) AS orders, string_agg(DISTINCT lower(l_returnflag), '; ' ORDER BY lower(l_returnflag)) AS flags, min(l_shipdate) AS first_seen, max(l_shipdate) AS last_seen FROM lineitem GROUP BY 1")
 def observation_rollup(spark, sf_dir):
-    """Counts of distinct orders in two aggregations, the first by part and order; three flags are known, so none are collected."""
-    flag = F.lower("l_returnflag")
-    has = lambda f: F.max(F.when(flag == f, f))
-    lines = table(spark, sf_dir, "lineitem")
-    orders = lines.groupBy("l_partkey", "l_orderkey").agg(F.min("l_linenumber").alias("rank"), F.min("l_shipdate").alias("first"), F.max("l_shipdate").alias("last"), *[has(f).alias(f) for f in "anr"])
-    return orders.groupBy("l_partkey").agg(
-        F.min("rank").alias("best_rank"), F.count("l_orderkey").alias("orders"), F.concat_ws("; ", *[F.max(f) for f in "anr"]).alias("flags"),
-        F.min("first").alias("first_seen"), F.max("last").alias("last_seen"),
-    )
+    """Distinct orders, sorted flags and first and last day of each part, by one shuffle of what tasks have combined.
+
+    A part with most rows is combined within tasks: its flags are a set, and of its orders each task keeps each once.
+    """
+    lines = table(spark, sf_dir, "lineitem").select("l_partkey", "l_orderkey", "l_linenumber", F.lower("l_returnflag").alias("flag"), "l_shipdate")
+    return rollups.by_key(lines, "l_partkey", "l_orderkey", "l_linenumber", "flag", "l_shipdate").toDF("l_partkey", "best_rank", "orders", "flags", "first_seen", "last_seen")
 
 
 @query(f"WITH {UNITS_SQL} SELECT event_id, status, degree, score FROM scored")
@@ -477,22 +474,6 @@ def merge_preserving_first(spark, sf_dir):
     return merge_upsert(of(F.col("ts") < ts("2024-01-10")), of(F.col("ts") >= ts("2024-01-09")), ["user_id"], ("first_seen",))
 
 
-@query("""SELECT 'order_without_lines' AS gate, count(*) AS violations FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem) UNION ALL SELECT 'line_without_order', count(*) FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders)
-    UNION ALL SELECT 'discount_out_of_range', count(*) FROM lineitem WHERE NOT l_discount BETWEEN 0 AND 1 UNION ALL SELECT 'order_key_not_unique', count(*) FROM (SELECT o_orderkey FROM orders GROUP BY 1 HAVING count(*) > 1)""")
-def integrity_gates(spark, sf_dir):
-    o, li = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
-    keys = li.select(F.col("l_orderkey").alias("o_orderkey"))
-    gate = lambda name, df: df.agg(F.lit(name).alias("gate"), F.count(F.lit(1)).alias("violations"))
-    checks = [
-        gate("order_without_lines", o.select("o_orderkey").join(keys, "o_orderkey", "left_anti")), gate("line_without_order", keys.join(o.select("o_orderkey"), "o_orderkey", "left_anti")),
-        gate("discount_out_of_range", li.filter(~F.col("l_discount").between(0, 1))), gate("order_key_not_unique", o.groupBy("o_orderkey").count().filter("count > 1")),
-    ]
-    out = checks[0]
-    for c in checks[1:]:
-        out = out.union(c)
-    return out
-
-
 # Folds that depend on order: no SQL equivalent
 
 

@@ -143,12 +143,3 @@ def next_releases(spark, sf_dir):
     rows = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderdate").cast("timestamp").alias("ts"))
     rows = rows.withColumn("at", dates.next_release(F.col("ts")))
     return rows.select("o_orderkey", F.date_format("at", "yyyy-MM-dd HH:mm").alias("release"), F.ceil((F.unix_seconds("at") - F.unix_seconds("ts")) / 86400).alias("days"))
-
-
-@query("""SELECT c_custkey, o_orderkey, row_number() OVER (PARTITION BY c_custkey ORDER BY o_orderdate, o_orderkey) AS rank FROM customer JOIN orders ON o_custkey = c_custkey
-    WHERE o_orderstatus <> 'P' QUALIFY row_number() OVER (PARTITION BY c_custkey ORDER BY o_orderdate, o_orderkey) <= 3""")
-def search_ranks(spark, sf_dir):
-    """Ranks from 1 over the valid items of each search, the first three."""
-    found = table(spark, sf_dir, "orders").filter("o_orderstatus <> 'P'").select(F.col("o_custkey").alias("c_custkey"), "o_orderkey", "o_orderdate")
-    first = top_per_key(found, ["c_custkey"], [F.asc("o_orderdate"), F.asc("o_orderkey")], 3, rank="rank")
-    return first.join(table(spark, sf_dir, "customer").select("c_custkey"), "c_custkey").select("c_custkey", "o_orderkey", F.col("rank").cast("long").alias("rank"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from loomwright.functions import dates, labels, text
 from loomwright.operators.ranking import hash_order, top_per_key
-from loomwright.operators.vectors import dot
+from loomwright.operators.vectors import cohesion as cluster_cohesion
 from loomwright.sources import tables
 from loomwright.sources.tables import table
 
@@ -112,20 +112,6 @@ def resolved_language(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", language.alias("language"), method.alias("method"))
 
 
-@query("SELECT event_id, sha256('{\"k\":' || json_extract_string(props, '$.k') || ',\"type\":\"' || event_type || '\",\"user\":' || user_id || '}') AS digest FROM events")
-def stable_hash(spark, sf_dir):
-    """SHA-256 of a record as JSON with sorted keys and no blanks."""
-    return table(spark, sf_dir, "events").select("event_id", text.stable_hash({"user": F.col("user_id"), "type": F.col("event_type"), "k": F.get_json_object("props", "$.k").cast("long")}).alias("digest"))
-
-
-@query("SELECT event_id, CASE WHEN event_id % 4 = 3 THEN NULL ELSE json_extract_string(props, '$.k')::BIGINT END AS k FROM events")
-def noisy_json(spark, sf_dir):
-    """The first object in an answer with thoughts, fences or words around it; null where none is whole."""
-    n = F.col("event_id") % 4
-    said = F.when(n == 0, F.concat(F.lit("<think>{no} matter</think>"), "props")).when(n == 1, F.concat(F.lit("```json\n"), "props", F.lit("\n```"))).when(n == 2, F.concat(F.lit("Here: "), "props", F.lit(" done {"))).otherwise(F.concat(F.lit("{"), F.substring("props", 1, 4)))
-    return table(spark, sf_dir, "events").select("event_id", F.get_json_object(text.first_object(said), "$.k").cast("long").alias("k"))
-
-
 @query("""SELECT page_id, concat_ws(' | ', nullif(trim(regexp_extract(url, '^[a-z]+://([^/]*)', 1)), ''), nullif(CASE WHEN page_id % 2 = 0 THEN ' ' ELSE 'odd' END, ' '), page_id::VARCHAR) AS shown FROM pages""")
 def display_text(spark, sf_dir):
     host = F.regexp_extract("url", "^[a-z]+://([^/]*)", 1)
@@ -161,14 +147,15 @@ def distinct_range(spark, sf_dir):
     return users.agg(F.count(F.lit(1)).alias("high"), count_if(F.col("suspect")).alias("twice")).select("high", F.greatest(F.lit(0), F.col("high") - F.col("twice")).alias("low"))
 
 
-@query("""WITH e AS (SELECT vec_id, vec_id // 8 AS cluster, embedding::DOUBLE[] AS v FROM embeddings), p AS (SELECT a.cluster, round(list_inner_product(a.v, b.v), 6) AS s FROM e a JOIN e b ON a.cluster = b.cluster AND a.vec_id < b.vec_id)
-    SELECT cluster, count(*) AS pairs, round(avg(s), 4) AS mean_similarity, round(min(s), 4) AS least_similarity FROM p GROUP BY 1""")
+@query("""WITH e AS (SELECT vec_id, CASE WHEN vec_id % 50 = 7 THEN -vec_id ELSE vec_id // 8 END AS cluster, embedding::DOUBLE[] AS v FROM embeddings), p AS (SELECT a.cluster, round(list_inner_product(a.v, b.v), 6) AS s FROM e a JOIN e b ON a.cluster = b.cluster AND a.vec_id < b.vec_id)
+    SELECT c.cluster, members, first_day, last_day, coalesce(pairs, 0) AS pairs, mean_similarity, least_similarity
+    FROM (SELECT cluster, count(*) AS members, min(vec_id % 7) AS first_day, max(vec_id % 7) AS last_day FROM e GROUP BY 1) c
+    LEFT JOIN (SELECT cluster, count(*) AS pairs, round(avg(s), 4) AS mean_similarity, round(min(s), 4) AS least_similarity FROM p GROUP BY 1) x ON c.cluster = x.cluster""")
 def cohesion(spark, sf_dir):
-    """Mean and smallest similarity within clusters; a cluster of one has none."""
-    e = table(spark, sf_dir, "embeddings").select("vec_id", F.floor(F.col("vec_id") / 8).alias("cluster"), F.col("embedding").alias("v"))
-    pairs = e.alias("a").join(e.alias("b"), (F.col("a.cluster") == F.col("b.cluster")) & (F.col("a.vec_id") < F.col("b.vec_id")))
-    s = pairs.select("a.cluster", dot(F.col("a.v"), F.col("b.v")).alias("s"))
-    return s.groupBy("cluster").agg(F.count(F.lit(1)).alias("pairs"), F.round(F.avg("s"), 4).alias("mean_similarity"), F.round(F.min("s"), 4).alias("least_similarity"))
+    """Members, span of days, mean and smallest similarity of clusters; a cluster of one has a span but no similarity."""
+    cluster = F.when(F.col("vec_id") % 50 == 7, -F.col("vec_id")).otherwise(F.floor(F.col("vec_id") / 8))
+    e = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), (F.col("vec_id") % 7).alias("day"), cluster.alias("cluster"), F.col("embedding").alias("vector"))
+    return cluster_cohesion(e, "cluster")
 
 
 @query("""WITH r AS (SELECT user_id, value, row_number() OVER (PARTITION BY user_id ORDER BY value DESC, event_id) AS k FROM events) SELECT user_id, max(value) AS best, round(avg(value), 4) AS mean_of_top FROM r WHERE k <= 3 GROUP BY 1""")
@@ -261,7 +248,7 @@ def unlabelled_pairs(spark, sf_dir):
     """Pairs, whatever their order, without those that have a label."""
     rows = table(spark, sf_dir, "lineitem").select("l_linenumber", text.pair_id(F.col("l_orderkey"), F.col("l_partkey")).alias("pair"))
     new = rows.filter("l_linenumber = 1").select("pair").distinct().join(rows.filter("l_linenumber = 2").select("pair"), "pair", "left_anti")
-    return new.select("pair", *[part.alias(name) for part, name in zip(text.parse_pair(F.col("pair")), ("first", "second"), strict=True)])
+    return new.select("pair", *[part.alias(name) for part, name in zip(text.pair_members(F.col("pair")), ("first", "second"), strict=True)])
 
 
 # Records and nested data
@@ -409,11 +396,3 @@ def period_check(spark, sf_dir):
 def presence_gate(spark, sf_dir):
     rows = table(spark, sf_dir, "documents")
     return rows.agg((F.count(F.lit(1)) > 0).alias("observations"), (count_if(F.trim(F.coalesce("text", F.lit(""))) != "") > 0).alias("texts"), (F.min("source") < F.max("source")).alias("sources"))
-
-
-@query("SELECT count(*) FILTER (WHERE n <> 1) AS violations, count(*) AS articles FROM (SELECT o.o_orderkey, count(DISTINCT l.l_orderkey) AS n FROM orders o LEFT JOIN lineitem l ON o.o_orderkey = l.l_orderkey AND l.l_linenumber = 1 GROUP BY 1)")
-def one_event_gate(spark, sf_dir):
-    """Every article has exactly one active event."""
-    active = table(spark, sf_dir, "lineitem").filter("l_linenumber = 1").select(F.col("l_orderkey").alias("o_orderkey"), F.col("l_orderkey").alias("event"))
-    counts = table(spark, sf_dir, "orders").select("o_orderkey").join(active, "o_orderkey", "left").groupBy("o_orderkey").agg(F.countDistinct("event").alias("n"))
-    return counts.agg(count_if(F.col("n") != 1).alias("violations"), F.count(F.lit(1)).alias("articles"))

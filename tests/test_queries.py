@@ -5,7 +5,9 @@ import os
 import duckdb
 import pytest
 
+import loomwright.plans.decision_queries
 import loomwright.plans.more_queries
+import loomwright.plans.nested_queries
 import loomwright.plans.report_queries
 import loomwright.plans.rule_queries  # noqa: F401
 from loomwright.plans.queries import ORACLE_SQL, QUERIES

@@ -71,6 +71,13 @@ def bounded(df: DataFrame, most_rows: int, most_bytes: int = 64 << 20) -> DataFr
     return F.broadcast(df) if rows <= most_rows and sum(x or 0 for x in sizes) + 16 * rows * len(df.columns) <= most_bytes else df
 
 
+def small_batches(spark: SparkSession, most_bytes: int = 4 << 20) -> None:
+    """From now on the session hands Python batches of at most most_bytes, whatever the number of rows; a lower limit stays."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int("".join(filter(str.isdigit, str(spark.conf.get(name)))) or 0) > most_bytes:
+        spark.conf.set(name, str(most_bytes))
+
+
 def map_arrow(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema: str) -> DataFrame:
     """Apply make()'s function to each Arrow batch of df; make runs once in each task."""
 

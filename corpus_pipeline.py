@@ -13,13 +13,19 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomwright.llm import line_dedup, packing, pii, simhash, toxicity
-from loomwright.llm.shared import free, listed, only_last, remove, saved, table
+from loomwright.llm.shared import free, listed, only_last, remove, saved, small_batches, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: Chunks that packing remembers: fewer than by itself, as workers also hold what other stages need.
 REMEMBERED = 100_000
 
 
+def read(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """The columns of documents; texts reach Python in batches of a few megabytes, however long they are."""
+    small_batches(spark)
+    return docs.select(*COLUMNS)
+
+
 def with_text(docs: DataFrame, text: Column) -> DataFrame:
     """docs with a new text; where it differs, n_chars is counted anew."""
     changed = docs.withColumn("_new", text)
@@ -29,7 +35,7 @@ def with_text(docs: DataFrame, text: Column) -> DataFrame:
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score 0.3 or more go; the model learns from the labels of documents that aren't held out."""
-    docs = docs.select(*COLUMNS)
+    docs = read(spark, docs)
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), "doc_id", "text", "toxic")
     return toxicity.with_verdict(docs, model).filter("predicted = 0").select(*COLUMNS)
 
@@ -39,7 +45,7 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
     Of the scratch tables only the numbers of the lines that go stay until the result has been written.
     """
-    docs = docs.select(*COLUMNS)
+    docs = read(spark, docs)
     with only_last(spark):
         gone = line_dedup.removed_lines(docs)
     return with_text(docs.join(gone, F.col("doc_id") == F.col("_id"), "left"), line_dedup.rest_of(F.col("text"), F.col("_gone")))
@@ -50,21 +56,21 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
     Of the scratch tables only the ids that go stay until the result has been written.
     """
-    docs = docs.select(*COLUMNS)
+    docs = read(spark, docs)
     with only_last(spark):
         return simhash.one_of_each(docs).select(*COLUMNS)
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Spans of personal data become their kind in angle brackets; null texts stay null."""
-    docs = docs.select(*COLUMNS)
+    docs = read(spark, docs)
     found = pii.find(docs, pii.fit(docs), keep=tuple(COLUMNS))
     return with_text(found, F.when(F.col("text").isNotNull(), pii.redacted(F.col("text"), F.col("_spans"))))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents in sequences of at most 2048 tokens."""
-    return packing.pack(docs.select(*COLUMNS), public_tokenizers.path("word_bpe_49k.json"), remembered=REMEMBERED)
+    return packing.pack(read(spark, docs), public_tokenizers.path("word_bpe_49k.json"), remembered=REMEMBERED)
 
 
 STAGES = [

@@ -26,13 +26,6 @@ def point_lookup(spark, sf_dir):
     return tables.present(table(spark, sf_dir, "nation").filter("n_nationkey = 7").select("n_nationkey", "n_name"), "no nation 7")
 
 
-@query("SELECT 'orders.parquet' AS release, count(*) AS n, min(o_orderkey) AS least FROM orders")
-def release_files(spark, sf_dir):
-    """All files that a pattern names, counted file by file."""
-    rows = tables.read_files(spark, f"{sf_dir}/order*.parquet")
-    return rows.groupBy("release").agg(F.count(F.lit(1)).alias("n"), F.min("o_orderkey").alias("least"))
-
-
 @query("SELECT day, count(*) AS n FROM (SELECT ((ts AT TIME ZONE 'UTC') AT TIME ZONE 'Europe/Amsterdam')::DATE AS day FROM events) WHERE day BETWEEN DATE '2024-01-08' AND DATE '2024-01-14' GROUP BY 1")
 def local_period(spark, sf_dir):
     """A period's days in local time, both ends included. The scan gets a day more on both sides, in UTC."""

@@ -23,8 +23,11 @@ def read_json(spark: SparkSession, path: str, schema: StructType | str) -> DataF
 
 
 def read_files(spark: SparkSession, pattern: str) -> DataFrame:
-    """All Parquet files that a pattern names, with the name of each row's file as `release`."""
-    return spark.read.parquet(pattern).select("*", F.col("_metadata.file_name").alias("release"))
+    """All Parquet files and folders of files that a pattern names, with the name that it meets as `release` for each row."""
+    # A file's place without scheme and host, cut at the pattern's depth.
+    place = F.regexp_replace("_metadata.file_path", r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?/", "")
+    name = F.split(place, "/")[spark._jvm.org.apache.hadoop.fs.Path(pattern).depth() - 1]
+    return spark.read.parquet(pattern).select("*", F.url_decode(name).alias("release"))
 
 
 def present(df: DataFrame, message: str) -> DataFrame:
@@ -44,13 +47,6 @@ def archive(df: DataFrame, path: str, *partitions: str) -> None:
     df.repartition(*partitions).write.mode("append").partitionBy(*partitions).parquet(path)
 
 
-def write_revision(df: DataFrame, path: str, revision: int, replace: bool = False) -> str:
-    """Write one revision of a release to a folder of its own; one that is there stays as it is and is an error, unless replaced."""
-    folder = f"{path}/revision={revision}"
-    df.write.mode("overwrite" if replace else "errorifexists").parquet(folder)
-    return folder
-
-
 def keyed_replace(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     """old without the keys of new, and new."""
     return old.join(new.select(*keys).distinct(), keys, "left_anti").unionByName(new.select(*old.columns))

@@ -107,38 +107,11 @@ def signed(value: Column, digits: int) -> Column:
     return F.when(value.isNull(), "n/a").otherwise(F.format_string(f"%+.{digits}f", value))
 
 
-def translation_faults(language: Column, original: Column, english: Column) -> Column:
-    """Reasons why an English rendering needs review, in order, as an array."""
-    english = F.coalesce(english, F.lit(""))
-    missing = F.filter(numbers_in(original), lambda n: ~F.contains(english, n))
-    faults = F.array(
-        F.when(F.trim(english) == "", "empty translation"),
-        F.when((language != "en") & (F.trim(english) == F.trim(original)), "same as source"),
-        F.when(has_han(english), "Han characters remain"),
-        F.when(F.size(missing) > 0, F.concat(F.lit("numbers missing: "), F.array_join(missing, ", "))),
-    )
-    return F.filter(faults, lambda r: r.isNotNull())
-
-
 def clean_codes(values: Column) -> Column:
     """Three-letter codes in upper case, without other signs, each once in order."""
     return F.array_distinct(F.filter(F.transform(values, lambda v: F.upper(F.regexp_replace(v, "[^A-Za-z]", ""))), lambda c: F.length(c) == 3))
 
 
-def resolved_language(value: Column, detected: Column, confidence: Column, hint: Column) -> tuple[Column, Column]:
-    """(language, how it was found): by script, by agreement, by a sure detector, by the only search language, else unsure."""
-    agrees, sure = F.coalesce(hint == detected, F.lit(False)), confidence >= 0.65
-    language = F.when(has_han(value), "zh").when(agrees | sure, detected).when(hint.isNotNull(), hint).when(F.length(detected) == 2, detected).otherwise("un")
-    method = F.when(has_han(value), "han_script+lingua").when(agrees, "lingua+search_language").when(sure, "lingua").when(hint.isNotNull(), "search_language_override").otherwise("lingua")
-    return language, method
-
-
 def display(*parts: Column) -> Column:
     """Parts that aren't blank, joined by bars."""
     return F.concat_ws(" | ", *[F.nullif(F.trim(p), F.lit("")) for p in parts])
-
-
-def difficulty(value: Column, review: Column, language: Column) -> Column:
-    """How hard a headline is to translate: flagged, with digits, quotes or dashes, long, Chinese."""
-    points = lambda test, n: F.when(test, n).otherwise(0)
-    return points(review, 100) + points(value.rlike("[0-9]"), 5) + points(value.rlike("[\"“”«»：—丨]"), 4) + points(F.length(value) >= 70, 3) + points(language == "zh", 2)

@@ -102,16 +102,6 @@ def confidence_check(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", F.round(good, 4).alias("confidence"), fault.alias("fault"))
 
 
-@query(r"""WITH d AS (SELECT doc_id, text, lang, (doc_id % 100) / 100.0::DOUBLE AS conf, CASE WHEN doc_id % 3 = 0 THEN 'fr' WHEN doc_id % 3 = 1 THEN lang END AS hint FROM documents)
-    SELECT doc_id, CASE WHEN regexp_matches(coalesce(text, ''), '[\x{3400}-\x{4dbf}\x{4e00}-\x{9fff}]') THEN 'zh' WHEN hint = lang THEN lang WHEN conf >= 0.65 THEN lang WHEN hint IS NOT NULL THEN hint WHEN length(lang) = 2 THEN lang ELSE 'un' END AS language,
-    CASE WHEN regexp_matches(coalesce(text, ''), '[\x{3400}-\x{4dbf}\x{4e00}-\x{9fff}]') THEN 'han_script+lingua' WHEN hint = lang THEN 'lingua+search_language' WHEN conf >= 0.65 THEN 'lingua' WHEN hint IS NOT NULL THEN 'search_language_override' ELSE 'lingua' END AS method FROM d""")
-def resolved_language(spark, sf_dir):
-    """Language of a headline from its script, a detector's answer and the languages it was searched in."""
-    hint = F.when(F.col("doc_id") % 3 == 0, "fr").when(F.col("doc_id") % 3 == 1, F.col("lang"))
-    language, method = text.resolved_language(F.col("text"), F.col("lang"), F.col("doc_id") % 100 / 100.0, hint)
-    return table(spark, sf_dir, "documents").select("doc_id", language.alias("language"), method.alias("method"))
-
-
 @query("""SELECT page_id, concat_ws(' | ', nullif(trim(regexp_extract(url, '^[a-z]+://([^/]*)', 1)), ''), nullif(CASE WHEN page_id % 2 = 0 THEN ' ' ELSE 'odd' END, ' '), page_id::VARCHAR) AS shown FROM pages""")
 def display_text(spark, sf_dir):
     host = F.regexp_extract("url", "^[a-z]+://([^/]*)", 1)
@@ -338,15 +328,6 @@ def empty_last(spark, sf_dir):
     return rows.orderBy(F.desc(F.coalesce("k", F.lit(""))), "event_id").limit(50)
 
 
-@query(r"""WITH s AS (SELECT doc_id, lang, CASE WHEN n_chars % 7 = 0 THEN 100 ELSE 0 END + CASE WHEN regexp_matches(text, '[0-9]') THEN 5 ELSE 0 END + CASE WHEN regexp_matches(text, '["“”«»：—丨]') THEN 4 ELSE 0 END + CASE WHEN length(text) >= 70 THEN 3 ELSE 0 END + CASE WHEN lang = 'zh' THEN 2 ELSE 0 END AS difficulty FROM documents)
-    SELECT doc_id, lang, difficulty FROM s QUALIFY row_number() OVER (PARTITION BY lang ORDER BY difficulty DESC, sha256(doc_id::VARCHAR)) <= 6""")
-def difficult_sample(spark, sf_dir):
-    """The hardest rows of each language."""
-    t = F.col("text")
-    rows = table(spark, sf_dir, "documents").select("doc_id", "lang", text.difficulty(t, F.col("n_chars") % 7 == 0, F.col("lang")).alias("difficulty"))
-    return top_per_key(rows, ["lang"], [F.desc("difficulty"), hash_order("doc_id")], 6)
-
-
 @query("""SELECT doc_id, lang, CASE sha256('blind' || doc_id) < '8' WHEN true THEN 'A' ELSE 'B' END AS side FROM documents QUALIFY row_number() OVER (PARTITION BY lang ORDER BY sha256('42:' || doc_id)) <= 12""")
 def seeded_sample(spark, sf_dir):
     """Twelve rows of each language by a seeded hash, and which side each is shown on."""

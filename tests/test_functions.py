@@ -3,7 +3,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
-from loomwright.functions import dates, labels, text
+from loomwright.functions import dates, labels, text, translation
 from loomwright.operators import greedy, indices
 from loomwright.sources import tables
 from loomwright.sources.tables import keyed_replace, merge_upsert, read_csv, write_csv
@@ -32,8 +32,8 @@ def test_text(spark):
 
 
 def test_translation_faults(spark):
-    got = one(spark, text.translation_faults(F.lit("fr"), F.lit("12 et 3,5"), F.lit("12 and 4")), text.translation_faults(F.lit("en"), F.lit(None).cast("string"), F.lit(None).cast("string")))
-    assert got == (["numbers missing: 3,5"], ["empty translation"])
+    got = one(spark, translation.rendering_faults(F.lit("fr"), F.lit("12 et 3,5"), F.lit("12 and 4")), translation.rendering_faults(F.lit("en"), F.lit(None).cast("string"), F.lit(None).cast("string")))
+    assert got == (["numeric information not preserved: 3,5"], ["empty translation"])
 
 
 def test_dates(spark):

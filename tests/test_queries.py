@@ -10,7 +10,8 @@ import loomwright.plans.more_queries
 import loomwright.plans.nested_queries
 import loomwright.plans.report_queries
 import loomwright.plans.rule_queries
-import loomwright.plans.source_queries  # noqa: F401
+import loomwright.plans.source_queries
+import loomwright.plans.text_queries  # noqa: F401
 from loomwright.plans.queries import ORACLE_SQL, QUERIES
 
 DATA = "/root/testdata/sf0.001"

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
 from .shared import bounded, saved
 
+#: Lines that are compared in pairs under one key.
+CROWD = 2_000
 #: What a line is known by: XXH64, length, and a second hash.
 LINE = ["h", "n", "m"]
 
@@ -29,15 +34,13 @@ def segment(length: Column, i: int, parts: int) -> tuple[Column, Column]:
     return size * i + longer, size + F.when(i >= parts - over, 1).otherwise(0)
 
 
-def segment_keys(threshold: int, least_chars: int) -> list[Column]:
-    """Keys of a line: first those of its own threshold + 1 segments, then those under which it looks for other lines.
+def places(n: Column, threshold: int, least_chars: int) -> Iterator[tuple[bool, int, Column, Column, Column, Column]]:
+    """(own, i, length, start, size, fits) of the segments under which a line of n characters meets others.
 
-    It looks for lines as long as itself or up to `threshold` shorter. Segment i of the other line is looked for only
-    where it can stand if it is the first one that matches: shifted by at most i edits before it, and by at most
-    threshold - i edits after it, counted from the end. For lines of one length, the place that isn't shifted is the
-    line's own segment. The other line's length is part of the key.
+    First its own threshold + 1 segments, then those under which it looks for lines as long as itself or up to `threshold`
+    shorter. Segment i of the other line is looked for only where it can stand if it is the first one that matches: shifted by at most i
+    edits before it, and by at most threshold - i after it.
     """
-    line, n = F.col("line"), F.col("n")
     own, probes = [], []
     for shorter in range(threshold + 1):
         length = n - shorter
@@ -46,9 +49,26 @@ def segment_keys(threshold: int, least_chars: int) -> list[Column]:
             low, high = max(-i, shorter - (threshold - i)), min(i, shorter + (threshold - i))
             for shift in range(low, high + 1):
                 fits = (length >= least_chars) & (start + shift >= 0) & (start + shift + size <= n)
-                key = F.when(fits, F.xxhash64(F.lit(i), length, F.substring(line, start + shift + 1, size)))
-                (probes if shorter or shift else own).append(key)
-    return [*own, *probes]
+                at = shorter == 0 and shift == 0
+                (own if at else probes).append((at, i, length, start + shift, size, fits))
+    return iter([*own, *probes])
+
+
+def segment_keys(threshold: int, least_chars: int) -> list[Column]:
+    """Keys of a line: first those of its own threshold + 1 segments, then those under which it looks for other lines."""
+    line = F.col("line")
+    return [F.when(fits, F.xxhash64(F.lit(i), length, F.substring(line, start + 1, size))) for _, i, length, start, size, fits in places(F.col("n"), threshold, least_chars)]
+
+
+def cuts(text: Column, threshold: int, least_chars: int, context: list[Column]) -> Column:
+    """Keys of a text as in segment_keys, within a context, each with whether it is its own and with the text without the segment."""
+    n = F.char_length(text)
+    rest = lambda start, size: F.concat(F.substring(text, F.lit(1), start), F.substring(text, start + size + 1, n))
+    keys = [
+        F.when(fits, F.struct(F.xxhash64(*context, F.lit(i), length, F.substring(text, start + 1, size)).alias("key"), F.lit(own).alias("own"), rest(start, size).alias("rest")))
+        for own, i, length, start, size, fits in places(n, threshold, least_chars)
+    ]
+    return F.filter(F.array(*keys), lambda k: k.isNotNull())
 
 
 def parities(line: Column) -> list[Column]:
@@ -84,6 +104,35 @@ def meetings(keyed: DataFrame, threshold: int, most_broadcast: int) -> DataFrame
     return saved(rows.join(met, "key").groupBy("key", "h").agg(F.max("own").alias("own")))
 
 
+def spread(met: DataFrame, texts: DataFrame, threshold: int, least_chars: int, crowd: int) -> DataFrame:
+    """met, in which no key is shared by over `crowd` lines that differ in anything but a few characters.
+
+    Lines of a crowded key leave it for narrower ones. If two lines share a segment and at most `threshold` edits part them, as many part
+    what is left of them without it; so what is left is cut into segments in turn, within the context of the key, and so on
+    until no key is crowded. Each round shortens the texts by a third. A key under which next to nothing is left stays.
+    """
+    hot = saved(met.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > crowd).select("key"))
+    if hot.isEmpty():
+        return met
+    hot = bounded(hot, 500_000)
+    lines = texts.join(met.join(hot, "key", "left_semi").select("h").distinct(), "h")
+    cut = lines.select("h", F.explode(cuts(F.col("line"), threshold, least_chars, [])).alias("x")).select("h", "x.*")
+    items = saved(cut.join(hot, "key", "left_semi").distinct())
+    done = [met.join(hot, "key", "left_anti").select("key", "h", "own")]
+    while not items.isEmpty():
+        short = items.filter(F.char_length("rest") <= 2 * threshold)
+        done.append(short.groupBy("key", "h").agg(F.max("own").alias("own")))
+        # A line that only looks for others under the context's key does so under all keys within.
+        inner = items.select("h", F.col("own").alias("owned"), F.explode(cuts(F.col("rest"), threshold, threshold + 1, [F.col("key")])).alias("x"))
+        rows = saved(inner.select("x.key", "h", (F.col("owned") & F.col("x.own")).alias("own"), "x.rest"))
+        sizes = rows.groupBy("key").agg(F.min("h").alias("low"), F.max("h").alias("high"), F.max("own").alias("some"), F.count(F.lit(1)).alias("n")).filter("some AND low <> high")
+        sizes = saved(sizes.select("key", (F.col("n") > crowd).alias("crowded")))
+        met_again = saved(rows.join(sizes, "key"))
+        done.append(met_again.filter("NOT crowded").groupBy("key", "h").agg(F.max("own").alias("own")))
+        items = saved(met_again.filter("crowded").select("key", "h", "own", "rest").distinct())
+    return saved(reduce(DataFrame.unionByName, done))
+
+
 def candidate_pairs(met: DataFrame, texts: DataFrame, threshold: int) -> DataFrame:
     """(a, b) of lines of meetings() whose parities allow for at most `threshold` edits, a < b."""
     marked = saved(met.join(bounded(saved(texts.select("h", *parities(F.col("line")))), 500_000), "h"))
@@ -173,7 +222,7 @@ def ends(links: DataFrame) -> DataFrame:
     return links.select(F.col("a").alias("h")).unionAll(links.select(F.col("b").alias("h")))
 
 
-def links(lines: DataFrame, keyed: DataFrame, threshold: int, most_broadcast: int = 1_000_000) -> DataFrame:
+def links(lines: DataFrame, keyed: DataFrame, threshold: int, least_chars: int, crowd: int = CROWD, most_broadcast: int = 1_000_000) -> DataFrame:
     """(a, b, distance) of distinct lines, by their hashes, whose edit distance is at most threshold.
 
     keyed is with_keys() of lines. Texts are picked out of all lines by joins that broadcast the hashes wanted where
@@ -182,7 +231,7 @@ def links(lines: DataFrame, keyed: DataFrame, threshold: int, most_broadcast: in
     met = meetings(keyed, threshold, most_broadcast)
     wanted = bounded(saved(met.select("h").distinct()), most_broadcast)
     texts = saved(lines.join(wanted, "h").groupBy("h").agg(F.first("line").alias("line")))
-    pairs = saved(candidate_pairs(met, texts, threshold))
+    pairs = saved(candidate_pairs(spread(met, texts, threshold, least_chars, crowd), texts, threshold))
     texts = bounded(saved(texts.join(bounded(saved(ends(pairs).distinct()), most_broadcast), "h")), 20_000)
     both = pairs.join(texts.select(F.col("h").alias("a"), F.col("line").alias("line_a")), "a")
     both = both.join(texts.select(F.col("h").alias("b"), F.col("line").alias("line_b")), "b")
@@ -192,7 +241,7 @@ def links(lines: DataFrame, keyed: DataFrame, threshold: int, most_broadcast: in
     return saved(with_distance(both, threshold)).filter("distance IS NOT NULL")
 
 
-def line_classes(docs: DataFrame, threshold: int = 2, least_chars: int = 24, id_col: str = "doc_id", text_col: str = "text", most_broadcast: int = 500_000) -> DataFrame:
+def line_classes(docs: DataFrame, threshold: int = 2, least_chars: int = 24, id_col: str = "doc_id", text_col: str = "text", most_broadcast: int = 500_000, crowd: int = CROWD) -> DataFrame:
     """(id, no, class_id, class_no, n_links, kept) of every line that isn't blank.
 
     Lines are one class if they are equal, or linked by edit distances of at most threshold, directly or through
@@ -202,13 +251,15 @@ def line_classes(docs: DataFrame, threshold: int = 2, least_chars: int = 24, id_
     has each line twice, at one place, with one verdict. Null and empty texts have no lines; texts of any length are read
     whole. An empty table gives no rows. Columns of docs other than the two named are not read.
 
+    Keys that over `crowd` lines share, such as those of license headers, give way to narrower ones.
+
     A line that no other line equals or is linked to is its own class; only the others are looked up, by a broadcast of
     at most most_broadcast of them or by a shuffle.
     """
     lines = lines_of(docs, id_col, text_col)
     keyed = saved(with_keys(lines, threshold, least_chars))
     places = keyed.select("id", "no", *LINE)
-    found = links(lines, keyed, threshold)
+    found = links(lines, keyed, threshold, least_chars, crowd)
     linked = components(found).withColumnRenamed("node", "h").join(ends(found).groupBy("h").agg(F.count(F.lit(1)).alias("n_links")), "h")
     linked = bounded(saved(linked), most_broadcast)
     distinct = places.groupBy(*LINE).agg(F.min(F.struct("id", "no")).alias("place"), F.count(F.lit(1)).alias("size"))

@@ -573,7 +573,8 @@ def test_edit_distance(spark, threshold):
         assert got.get(i) == (d if d <= threshold else None)
 
 
-def test_line_classes(spark, odd):
+@pytest.mark.parametrize("crowd", [2_000, 2])
+def test_line_classes(spark, odd, crowd):
     draw = random.Random(9)
     bases = ["".join(draw.choice("abcdefg ") for _ in range(draw.randint(20, 34))) for _ in range(25)]
     rows = []
@@ -597,7 +598,7 @@ def test_line_classes(spark, odd):
     heads = {}
     for t in names:
         heads.setdefault(root[t], first[t])
-    got = {(r.id, r.no): (r.class_id, r.class_no, r.n_links, r.kept) for r in line_dedup.line_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    got = {(r.id, r.no): (r.class_id, r.class_no, r.n_links, r.kept) for r in line_dedup.line_classes(spark.createDataFrame(rows, "doc_id long, text string"), crowd=crowd).collect()}
     assert got == {(i, no): (*heads[root[t]], degree[t], heads[root[t]] == (i, no)) for i, no, t in places}
     kept = line_dedup.without_repeats(odd)
     assert kept.columns == odd.columns and kept.count() == odd.count()
@@ -617,6 +618,34 @@ def test_lines_that_many_share_a_third_with(spark):
     assert {(r.id, r.class_id, r.n_links) for r in got} == {(i, i - i % 2, 1) for i in range(400)}
 
 
+def test_crowded_keys_lose_no_link(spark):
+    """Most of each line is common, the rest differs by up to three edits: narrower keys find what all pairs find."""
+    draw = random.Random(12)
+    head = "License text that all the files of a project begin with "
+    tails = ["".join(draw.choice("abc") for _ in range(draw.randint(6, 12))) for _ in range(40)]
+    lines = set()
+    for _ in range(260):
+        b = list(draw.choice([head + draw.choice(tails), draw.choice(tails) + head, head[:30] + draw.choice(tails) + head[30:]]))
+        for _ in range(draw.choice([0, 1, 1, 2, 3])):
+            at = draw.randrange(len(b))
+            b[at : at + draw.randint(0, 1)] = draw.choice(["", "x", "a"])
+        lines.add("".join(b).strip())
+    lines = sorted(lines)
+    df = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    own = line_dedup.lines_of(df, "doc_id", "text")
+    hashes = {r.h: r.id for r in own.select("h", "id").collect()}
+    want = {(i, j) for j in range(len(lines)) for i in range(j) if abs(len(lines[i]) - len(lines[j])) <= 2 and distance(lines[i], lines[j]) <= 2}
+    keyed = line_dedup.with_keys(own, 2, 24)
+    met = line_dedup.meetings(keyed, 2, 1000)
+    texts = own.select("h", "line")
+    for crowd in (3, 40):
+        narrow = line_dedup.spread(met, texts, 2, 24, crowd)
+        pairs = {tuple(sorted((hashes[r.a], hashes[r.b]))) for r in line_dedup.candidate_pairs(narrow, texts, 2).collect()}
+        assert want <= pairs and len(want) > 100
+    most = narrow.groupBy("key").count().agg(F.max("count")).first()[0]
+    assert most <= 40 < met.groupBy("key").count().agg(F.max("count")).first()[0]
+
+
 CONTRACTS = {
     "op1_language_id": {"doc_id": "bigint", "held_out": "boolean", "lang_pred": "string", "score": "double"},
     "op2_pii": {"doc_id": "bigint", "n_email": "bigint", "n_ip": "bigint", "n_card": "bigint", "n_phone": "bigint", "base_sha256": "string", "spans": "string"},

@@ -77,6 +77,8 @@ WIDE, LOWEST = 4, 3
 ODD = [f"odd{i}" for i in range(WIDE)]
 #: What a set of shingles is known by: its size and two digests.
 SET = ["n", "digest", "check"]
+#: Members of a bucket that are compared in one task.
+CROWD = 16_000
 #: One document in so many is counted for the order of shingles.
 COUNTED = 8
 
@@ -203,7 +205,20 @@ def star_pairs(buckets: DataFrame) -> DataFrame:
     return rows.filter("id <> head").select(*ordered("id", "head")).distinct()
 
 
-def unjoined_pairs(sets: DataFrame, links: DataFrame, similarity: float, most_broadcast: int) -> DataFrame:
+def in_cells(met: DataFrame, crowd: int) -> DataFrame:
+    """met (bucket, id, ...) with low, high, side and own: the cells in which the members of a bucket meet.
+
+    A bucket of over `crowd` members is cut in blocks, and each pair of blocks is a cell of its own, so its pairs are compared by
+    many tasks. In a cell of two blocks, members meet those of the other side only.
+    """
+    crowds = saved(met.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / crowd).cast("int").alias("blocks")).filter("blocks > 1"))
+    placed = met.join(bounded(crowds, 500_000), "bucket", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    placed = placed.withColumn("b", F.pmod(F.xxhash64("id", F.lit("block")), F.col("blocks")).cast("int"))
+    met_in = placed.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return met_in.select(*met.columns, F.least("b", "o").alias("low"), F.greatest("b", "o").alias("high"), (F.col("b") > F.col("o")).alias("side"), (F.col("b") == F.col("o")).alias("own"))
+
+
+def unjoined_pairs(sets: DataFrame, links: DataFrame, similarity: float, most_broadcast: int, crowd: int = CROWD) -> DataFrame:
     """(a, b) of sets that share a rarest member, may be alike, and aren't joined by links yet.
 
     Buckets whose members are all joined leave first, so a large group of like documents is not compared in pairs.
@@ -213,14 +228,16 @@ def unjoined_pairs(sets: DataFrame, links: DataFrame, similarity: float, most_br
     mixed = rooted.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("bucket")
     met = saved(rooted.join(mixed, "bucket", "left_semi"))
     facts = saved(sets.select("id", "n", *ODD).join(bounded(saved(met.select("id").distinct()), most_broadcast), "id"))
-    met = met.join(facts, "id")
+    met = in_cells(met.join(facts, "id"), crowd)
     names = {c: f"{c}_" for c in ("id", "n", "root", *ODD)}
-    other = met.withColumnsRenamed({"bucket": "bucket_", **names})
-    pairs = met.join(other, (F.col("bucket") == F.col("bucket_")) & (F.col("id") < F.col("id_")) & (F.col("root") != F.col("root_")) & may_be_alike(similarity, names))
+    cell = ["bucket", "low", "high"]
+    other = met.withColumnsRenamed({**{c: f"{c}_" for c in (*cell, "side", "own")}, **names})
+    same_cell = reduce(Column.__and__, [F.col(c) == F.col(f"{c}_") for c in cell])
+    pairs = met.join(other, same_cell & (F.col("own") | (F.col("side") != F.col("side_"))) & (F.col("id") < F.col("id_")) & (F.col("root") != F.col("root_")) & may_be_alike(similarity, names))
     return pairs.select(F.col("id").alias("a"), F.col("id_").alias("b")).distinct()
 
 
-def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, distance: int = 2, id_col: str = "doc_id", text_col: str = "text", most_broadcast: int = 500_000) -> DataFrame:
+def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, distance: int = 2, id_col: str = "doc_id", text_col: str = "text", most_broadcast: int = 500_000, crowd: int = CROWD) -> DataFrame:
     """(id, group_id) of every document that is in a group with another one; group_id is the group's smallest id.
 
     Documents are alike if their sets of words-word shingles have this Jaccard similarity. Exact copies of a set leave
@@ -229,6 +246,8 @@ def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, dis
     its LOWEST members: this joins large groups by a few comparisons a document. Last, all pairs are found that share
     one of their rarest shingles, as alike sets always do, and aren't joined yet, so the groups are those of all alike
     documents. Sizes and parities rule pairs out within the join, and rule out no alike pair; counting shared members decides.
+    A shingle that over `crowd` unlike documents share is compared in pairs of blocks, by many tasks. Members are counted by
+    32 bits of their hashes: two different ones of a set that agree in these count as one.
 
     Texts without a word are alike. Null ids are in no group; rows of one id are one document, alike to what any of them
     is like. Null counts as empty; an empty table gives no rows; other columns of docs are not read.
@@ -243,7 +262,7 @@ def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8, dis
     by_print = sets.select("id", "fp").join(roots, "fp", "left").select(F.lit(-1).alias("kind"), F.coalesce("root", "fp").alias("bucket"), "id")
     by_member = sets.select(F.posexplode("lowest").alias("kind", "bucket"), "id")
     links = verified(star_pairs(by_print.unionAll(by_member)), sets, similarity, most_broadcast)
-    more = verified(unjoined_pairs(sets, links, similarity, most_broadcast), sets, similarity, most_broadcast)
+    more = verified(unjoined_pairs(sets, links, similarity, most_broadcast, crowd), sets, similarity, most_broadcast)
     out = components(same.union(links).union(more)).select(F.col("node").alias("id"), F.col("root").alias("group_id"))
     free(rows, classes, same, prints, links, more)
     return out

@@ -402,6 +402,14 @@ def alike(sets):
     return lambda a, b: len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])
 
 
+def test_crowded_buckets_meet_in_cells(spark):
+    met = spark.createDataFrame([(b, i) for b, n in ((1, 50), (2, 3), (3, 1)) for i in range(n)], "bucket long, id long")
+    cells = [r.asDict() for r in simhash.in_cells(met, 10).collect()]
+    assert max(sum((r["bucket"], r["low"], r["high"]) == key for r in cells) for key in {(r["bucket"], r["low"], r["high"]) for r in cells}) < 50
+    pairs = sorted((x["bucket"], x["id"], y["id"]) for x in cells for y in cells if all(x[c] == y[c] for c in ("bucket", "low", "high")) and x["id"] < y["id"] and (x["own"] or x["side"] != y["side"]))
+    assert pairs == sorted((b, i, j) for b, n in ((1, 50), (2, 3)) for j in range(n) for i in range(j))
+
+
 def test_similar_groups_of_long_texts(spark):
     """Scattered edits in texts of 2,000 to 20,000 words, at Jaccard similarities around 0.80 to 0.90."""
     draw = random.Random(3)
@@ -431,7 +439,7 @@ def test_similar_groups_joined_by_a_chain(spark):
     rows = [(i, text("x", 80, [f"a{i}"])) for i in range(300)] + [(300 + i, text("y", 80, [f"b{i}"])) for i in range(300)] + [(700, text("x", 40, [])), (701, text("y", 40, []))]
     near = alike(sets_of_five(rows))
     assert near(700, 701) and all(near(700, i) and not near(701, i) and near(701, 300 + i) and not near(700, 300 + i) for i in range(300)) and not near(0, 300)
-    got = {r.id: r.group_id for r in simhash.similar_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    got = {r.id: r.group_id for r in simhash.similar_groups(spark.createDataFrame(rows, "doc_id long, text string"), crowd=2).collect()}
     assert got == {i: 0 for i, _ in rows}
 
 
@@ -442,7 +450,7 @@ def test_similar_groups_of_short_texts(spark):
     for i in range(0, 2000, 2):
         words = ["".join(draw.choice("abcdefgh") for _ in range(6)) for _ in range(9)]
         rows += [(i, " ".join(words[:8])), (i + 1, " ".join(words))]
-    got = {r.id: r.group_id for r in simhash.similar_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    got = {r.id: r.group_id for r in simhash.similar_groups(spark.createDataFrame(rows, "doc_id long, text string"), crowd=50).collect()}
     assert got == {i: i - i % 2 for i, _ in rows}, f"{len(got) // 2} of 1000"
 
 

@@ -5,6 +5,7 @@ All work on rows is in DataFrame functions; only the trees are fitted on the dri
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 import numpy as np
@@ -53,14 +54,19 @@ SPAN = "array<struct<start:int,kind:int,end:int>>"
 BEGIN, END, OTHER = "\x01", "\x02", "\x03"
 
 
+def looks_around(pattern: str) -> bool:
+    """Does a match depend on what stands beside it? Formats begin where a run begins or the last match ended, so there no earlier place has their text."""
+    return re.search(r"\(\?<?[!=]", re.sub(r"^\(\?:\\G\|\(\?<!\[[^\]]*\]\)\)", "", pattern)) is not None
+
+
 def places(text: Column, pattern: str, kind: int) -> Column:
     """(start, kind, end) in code points of the matches of a left-to-right scan of text, in order.
 
-    Where a pattern looks at no sign before its match, the next match begins at the first place where its text stands at
+    Where a pattern looks at no sign beside its match, the next match begins at the first place where its text stands at
     or after the end of the last one. Else the scan puts signs around its matches, and the pieces between the signs
     tell where they stand.
     """
-    if not pattern.startswith("(?<!"):
+    if not looks_around(pattern):
 
         def find(acc: Column, match: Column) -> Column:
             at = F.call_function("locate", match, text, acc["next"])

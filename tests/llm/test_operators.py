@@ -45,6 +45,22 @@ def nothing(spark):
     return spark.createDataFrame([], SCHEMA)
 
 
+# Personal data
+
+
+def test_places_of_candidates(spark):
+    """Where a candidate stands is where the scan has found it, though the same text may stand before."""
+    draw = random.Random(31)
+    texts = ["1" * 20, "x " + "1" * 19, "4111 1111 1111 1111" * 2, "1" * 13 + " " + "1" * 12, "\x01" + "1" * 20 + "\x02", "", "é🤖" + "12" * 11]
+    texts += ["".join(draw.choice(["1", "1", "1111", "-", " ", "A1", "a@b.c", "(at)", "é", "+"]) for _ in range(draw.randrange(30))) for _ in range(200)]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
+    for kind, pattern in pii.GENERATORS.items():
+        got = {r.id: [(s.start, s.end) for s in r.p] for r in df.select("id", pii.places(F.col("t"), pattern, 0).alias("p")).collect()}
+        for i, t in enumerate(texts):
+            own = t.translate({1: 3, 2: 3})
+            assert got[i] == [m.span() for m in re.finditer(pattern, own)], (kind, t)
+
+
 # Exact dedup
 
 

@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import saved, slices
+from .shared import saved, slices, trim
 
 #: Groups whose leftovers merge together in each round.
 MERGED_TOGETHER = 64
@@ -197,6 +197,7 @@ def packed(docs: DataFrame, path: str, end_id: int, length: int, open_windows: i
                     windows.add(doc, 0, got, len(got) // 4)
             yield as_batch(state["out"], id_kind, id_col)
             state["out"] = [[] for _ in range(9)]
+            trim()
         for pieces in windows.leftovers():
             emit(pieces, keep_ids=True)
         if id_kind is not None:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import ctypes
 import weakref
 from collections.abc import Callable, Iterator
 
@@ -78,6 +79,13 @@ def small_batches(spark: SparkSession, most_bytes: int = 4 << 20) -> None:
         spark.conf.set(name, str(most_bytes))
 
 
+def trim() -> None:
+    """Give memory that Python and Arrow hold but don't use back to the system: a worker lives on after its task, beside others."""
+    pa.default_memory_pool().release_unused()
+    if release := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        release(0)
+
+
 def map_arrow(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema: str) -> DataFrame:
     """Apply make()'s function to each Arrow batch of df; make runs once in each task."""
 

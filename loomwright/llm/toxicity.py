@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .boosting import Boosted, Isotonic
-from .shared import held_out, map_arrow, slices
+from .shared import held_out, map_arrow, slices, trim
 
 #: Common insults of four languages, the seed of the lexicon.
 SEED = frozenset(
@@ -188,6 +188,8 @@ def with_verdict(docs: DataFrame, model: ToxicityModel, text_col: str = "text",
     def scored(texts):
         import pandas as pd
 
-        return pd.Series(np.concatenate([np.zeros(0), *[shared.value.score(t) for _, t in slices(texts.tolist())]]))
+        scores = np.concatenate([np.zeros(0), *[shared.value.score(t) for _, t in slices(texts.tolist())]])
+        trim()
+        return pd.Series(scores)
 
     return docs.withColumn("score", scored(text_col)).withColumn("predicted", (F.col("score") >= threshold).cast("int"))

@@ -17,7 +17,7 @@ from loomwright.llm.shared import free, listed, only_last, remove, saved, small_
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: Chunks that packing remembers: fewer than by itself, as workers also hold what other stages need.
-REMEMBERED = 100_000
+REMEMBERED = 60_000
 
 
 def read(spark: SparkSession, docs: DataFrame) -> DataFrame:

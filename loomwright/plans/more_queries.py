@@ -21,21 +21,6 @@ def dimension_map(spark, sf_dir):
     return rows.select("doc_id", has("quality"), has("toxic"), F.col("m").isNull().alias("unlabelled"))
 
 
-RULES = [("blog", "contains", "blog."), ("mobile", "contains", "//m."), ("network", "suffix", ".net"), ("organisation", "suffix", ".org")]
-
-
-@query(r"""WITH p AS (SELECT page_id, url, regexp_replace(regexp_extract(lower(url), '^[a-z]+://([^/?#]*)', 1), ':\d+$', '') AS host FROM pages)
-    SELECT page_id, CASE WHEN contains(url, 'blog.') THEN 'blog' WHEN contains(url, '//m.') THEN 'mobile' WHEN host LIKE '%.net' THEN 'network' WHEN host LIKE '%.org' THEN 'organisation' ELSE 'unclassified' END AS stratum FROM p""")
-def source_stratum(spark, sf_dir):
-    """The first rule of a small broadcast table that an address meets."""
-    rules = F.broadcast(spark.createDataFrame([(i, *r) for i, r in enumerate(RULES)], "place int, stratum string, kind string, pattern string"))
-    host = F.regexp_replace(F.regexp_extract(F.lower("url"), r"^[a-z]+://([^/?#]*)", 1), r":\d+$", "")
-    pages = table(spark, sf_dir, "pages").select("page_id", "url", host.alias("host"))
-    meets = ((F.col("kind") == "contains") & F.contains("url", "pattern")) | ((F.col("kind") == "suffix") & F.endswith("host", "pattern"))
-    first = pages.join(rules, meets, "left").groupBy("page_id").agg(F.min_by("stratum", "place").alias("stratum"))
-    return first.select("page_id", F.coalesce("stratum", F.lit("unclassified")).alias("stratum"))
-
-
 @query("SELECT conv_id, turn, role, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS place, 'turn_' || lpad((row_number() OVER (PARTITION BY conv_id ORDER BY turn))::VARCHAR, 3, '0') AS label FROM conversations")
 def sequence_labels(spark, sf_dir):
     place = F.row_number().over(Window.partitionBy("conv_id").orderBy("turn"))

@@ -403,12 +403,6 @@ def title_key(spark, sf_dir):
 THEMES = [("safety", r"\b(?:security|threat|token|risk)\b"), ("rules", r"licens|\blaw\b|\brights?\b"), ("insult", r"\b(?:idiot|moron|clown)\b")]
 
 
-@query(r"""SELECT doc_id, CASE WHEN regexp_matches(lower(text), '\b(?:security|threat|token|risk)\b') THEN 'safety' WHEN regexp_matches(lower(text), 'licens|\blaw\b|\brights?\b') THEN 'rules'
-    WHEN regexp_matches(lower(text), '\b(?:idiot|moron|clown)\b') THEN 'insult' ELSE 'other' END AS theme FROM documents""")
-def theme_rules(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", text.first_rule(F.col("text"), THEMES, "other").alias("theme"))
-
-
 @query(r"""SELECT doc_id, regexp_matches(coalesce(text, ''), '[\x{3400}-\x{4dbf}\x{4e00}-\x{9fff}]') AS han, array_to_string(regexp_extract_all(coalesce(text, ''), '\d+(?:[.,]\d+)*'), ' ') AS numbers,
     CASE WHEN lower(lang) LIKE 'zh%' THEN 'zh' WHEN lower(lang) LIKE 'fr%' THEN 'fr' WHEN lower(lang) LIKE 'en%' THEN 'en' ELSE string_split(lower(coalesce(lang, '')), '-')[1] END AS language FROM documents""")
 def text_checks(spark, sf_dir):

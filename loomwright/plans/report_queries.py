@@ -90,13 +90,6 @@ def multi_member_audit(spark, sf_dir):
     return member_counts(spark, sf_dir).filter("multi").orderBy(hash_order("l_orderkey")).limit(5).select("l_orderkey", "members")
 
 
-@query(f"WITH {UNITS_SQL} SELECT country, count(*) AS scored FROM week WHERE ai_relevant AND score IS NOT NULL AND country IS NOT NULL GROUP BY 1 HAVING count(*) >= 5")
-def publishable(spark, sf_dir):
-    """A country is published with five scored units or more."""
-    rows = week(spark, sf_dir).filter("ai_relevant and score is not null and country is not null")
-    return rows.groupBy("country").agg(F.count(F.lit(1)).alias("scored")).filter("scored >= 5")
-
-
 @query(f"WITH {UNITS_SQL} SELECT event_type, count(*) AS total, count(*) FILTER (WHERE ai_relevant) AS ai, count(*) FILTER (WHERE NOT ai_relevant) AS not_ai, count(score) AS scored, count(*) FILTER (WHERE ai_relevant AND score IS NULL) AS excluded FROM scored GROUP BY 1")
 def exclusion_counts(spark, sf_dir):
     ai, score = F.col("ai_relevant"), F.col("score")

@@ -196,15 +196,6 @@ def gold_pairs(spark, sf_dir):
     return g.join(x, "a", "left").join(y, "b", "left").select("a", "b", "gold", F.coalesce("x", F.lit("und")).alias("lang_a"), F.coalesce("y", F.lit("und")).alias("lang_b"), F.coalesce(F.nullif("t", F.lit("")), F.lit("no text")).alias("text_b"))
 
 
-@query("""SELECT l.doc_id, d.lang, CASE WHEN l.quality = 0 THEN 'corrected' ELSE 'accepted' END AS verdict, CASE WHEN l.quality = 0 THEN b.text END AS correction FROM labels l JOIN documents d ON l.doc_id = d.doc_id LEFT JOIN benchmark b ON l.quality = 0 AND l.doc_id % 40 = b.item_id""")
-def audit_corrections(spark, sf_dir):
-    """Audited units with their document and, where the verdict asks for one, the correction of the manifest."""
-    rows = table(spark, sf_dir, "labels").join(table(spark, sf_dir, "documents").select("doc_id", "lang"), "doc_id")
-    rows = rows.withColumn("item_id", F.when(F.col("quality") == 0, F.col("doc_id") % 40))
-    joined = rows.join(table(spark, sf_dir, "benchmark"), "item_id", "left")
-    return joined.select("doc_id", "lang", F.when(F.col("quality") == 0, "corrected").otherwise("accepted").alias("verdict"), F.col("text").alias("correction"))
-
-
 @query("SELECT o.o_orderkey, o.o_orderstatus, e.event_type AS decision FROM orders o JOIN events e ON o.o_orderkey = e.event_id WHERE e.event_type IN ('purchase', 'error') AND o.o_orderstatus = 'O'")
 def decided_reviews(spark, sf_dir):
     """Open rows for which a reviewer has decided."""
@@ -244,15 +235,6 @@ def unlabelled_pairs(spark, sf_dir):
 # Records and nested data
 
 
-@query("""SELECT page_id, trim(url) AS url, coalesce(nullif(trim(split_part(url, '/', 4)), ''), 'unknown') AS section, CASE WHEN page_id % 3 = 0 THEN NULL ELSE 'p' || page_id END AS thumbnail FROM pages WHERE trim(coalesce(url, '')) <> '' AND trim(coalesce(html, '')) <> ''""")
-def normalised_records(spark, sf_dir):
-    """Records without title or link go; blank fields are null or have a default."""
-    blank = lambda c: F.nullif(F.trim(F.coalesce(c, F.lit(""))), F.lit(""))
-    rows = table(spark, sf_dir, "pages").filter(blank(F.col("url")).isNotNull() & blank(F.col("html")).isNotNull())
-    thumbnail = blank(F.when(F.col("page_id") % 3 == 0, " ").otherwise(F.concat(F.lit("p"), "page_id")))
-    return rows.select("page_id", F.trim("url").alias("url"), F.coalesce(blank(F.split_part("url", F.lit("/"), F.lit(4))), F.lit("unknown")).alias("section"), thumbnail.alias("thumbnail"))
-
-
 @query("SELECT n_nationkey, CASE n_regionkey WHEN 0 THEN 'za' WHEN 1 THEN 'us' WHEN 2 THEN 'in' ELSE 'us' END AS gl, CASE n_regionkey WHEN 2 THEN 'hi' ELSE 'en' END AS hl FROM nation")
 def market_codes(spark, sf_dir):
     """Codes of a market by lookup, with a default."""
@@ -260,13 +242,6 @@ def market_codes(spark, sf_dir):
     return table(spark, sf_dir, "nation").select("n_nationkey", F.coalesce(gl[F.col("n_regionkey")], F.lit("us")).alias("gl"), F.coalesce(hl[F.col("n_regionkey")], F.lit("en")).alias("hl"))
 
 
-@query("""WITH n AS (SELECT l_orderkey, count(*) AS n, min(l_partkey) AS part FROM lineitem GROUP BY 1) SELECT 'evt_' || n.l_orderkey AS event, p.p_brand, p.p_type, p.p_partkey AS copied_from FROM n JOIN part p ON n.part = p.p_partkey WHERE n.n = 1""")
-def singleton_copies(spark, sf_dir):
-    """An event with one article takes its label, and tells where it came from."""
-    single = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"), F.min("l_partkey").alias("p_partkey")).filter("n = 1")
-    return single.join(table(spark, sf_dir, "part"), "p_partkey").select(F.concat(F.lit("evt_"), "l_orderkey").alias("event"), "p_brand", "p_type", F.col("p_partkey").alias("copied_from"))
-
-
 @query("""SELECT l_orderkey, string_agg(l_linenumber || ':' || l_partkey || ':' || l_returnflag, ' ' ORDER BY l_linenumber, l_partkey, l_returnflag) AS evidence FROM lineitem GROUP BY 1""")
 def evidence(spark, sf_dir):
     """The fields of each piece of evidence of an event, in order."""

@@ -3,7 +3,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
-from loomwright.functions import dates, labels, text, translation
+from loomwright.functions import dates, labels, records, text, translation
 from loomwright.operators import greedy, indices
 from loomwright.sources import tables
 from loomwright.sources.tables import keyed_replace, merge_upsert, read_csv, write_csv
@@ -36,6 +36,21 @@ def test_translation_faults(spark):
     assert got == (["numeric information not preserved: 3,5"], ["empty translation"])
 
 
+def test_casefold(spark):
+    words = ["Straße", "GROẞ", "ΣΊΣΥΦΟΣ", "ﬁn ŉ ǰ", "İstanbul", "ſ", "ÀÉ", "漢", "", "Ꭰ", None]
+    got = {r.w: r.f for r in spark.createDataFrame([(w,) for w in words], "w string").select("w", records.casefold(F.col("w")).alias("f")).collect()}
+    assert got == {w: None if w is None else w.casefold() for w in words}
+
+
+def test_audit_without_entry_fails(spark):
+    from loomwright.operators import gates
+
+    rows = spark.createDataFrame([(1, 0, None), (2, 1, None), (3, 7, "x")], "id int, quality int, text string")
+    rules = [gates.Rule("correction without entry", (F.col("quality") == 0) & F.col("text").isNull()), gates.Rule("unsupported verdict", ~F.col("quality").isin(0, 1))]
+    with pytest.raises(Exception, match="correction without entry: 1, unsupported verdict: 1"):
+        gates.passed(rows, gates.counted(rows, rules)).collect()
+
+
 def test_dates(spark):
     day, ts = F.lit(date(2024, 1, 17)), F.lit(datetime(2024, 1, 3, 9)).cast("timestamp")
     got = one(spark, *dates.previous_week(day), *dates.month_of(day), dates.iso_week(F.lit(date(2021, 1, 3))), F.date_format(dates.next_release(ts), "yyyy-MM-dd HH"))

@@ -8,6 +8,7 @@ import pytest
 import loomwright.plans.decision_queries
 import loomwright.plans.more_queries
 import loomwright.plans.nested_queries
+import loomwright.plans.record_queries
 import loomwright.plans.report_queries
 import loomwright.plans.rule_queries
 import loomwright.plans.source_queries

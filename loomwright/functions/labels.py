@@ -68,6 +68,7 @@ def confidence(value: Column) -> tuple[Column, Column]:
 
 def governance(status: Column) -> Column:
     """The public label of a release by the state of its audit; unknown states are pending."""
+    # The states of an audit and their public labels.
     return F.when(status == "complete", "Human-audited public release").when(status == "waived_with_disclosure", "Human-governed release; audit exception disclosed").otherwise("Model-coded, human-governed pilot release")
 
 

@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BooleanType, DataType, DecimalType, DoubleType, FloatType, IntegralType, MapType, StringType, StructType
+from pyspark.sql.types import ArrayType, BooleanType, DataType, DecimalType, DoubleType, FloatType, IntegralType, MapType, StructType
 
 from loomwright.sources.scratch import saved
 

@@ -6,11 +6,11 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from loomwright.functions import dates, text
-from loomwright.operators.ranking import hash_order, top_per_key
+from loomwright.operators.ranking import hash_order
 from loomwright.sources import tables
 from loomwright.sources.tables import table
 
-from .queries import UNITS_SQL, query, units, week
+from .queries import UNITS_SQL, query, units
 
 
 @query("SELECT o_orderpriority, o_orderkey, o_orderdate FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority = '1-URGENT' ORDER BY o_orderdate DESC, o_orderkey DESC LIMIT 1")

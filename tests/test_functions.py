@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loomwright.functions import dates, labels, records, text, translation
-from loomwright.operators import greedy, indices
+from loomwright.operators import indices
 from loomwright.sources import tables
 from loomwright.sources.tables import keyed_replace, merge_upsert, read_csv, write_csv
 from loomwright.streaming.weekly import first_sightings, weekly_counts

@@ -102,7 +102,7 @@ def greedy_clusters(df: DataFrame, key: str, average: float = 0.82, least: float
     These links are found by an exact join in blocks, and their connected components are folded each for itself, which gives
     what one fold over all rows gives. A component is read as a stream in order; only clusters that a later row may
     join, and the vectors of their members, are held. Days are not null; null ids are left out, null ranks and headlines come first,
-    rows with a null vector join by token only.
+    rows with a null vector join by token only. Vectors have one length.
     """
     least = max(0.0, average - 0.05) if least is None else least
     weak_below = min(0.95, average + 0.04)

@@ -96,12 +96,12 @@ def label_progress(spark, sf_dir):
     return rows.select("source", "items", "labelled", (F.col("items") - F.col("labelled")).alias("pending"), F.round(F.col("labelled") / F.col("items"), 4).alias("share"), (F.col("labelled") == F.col("items")).alias("complete"))
 
 
-@query("""SELECT l.doc_id, d.lang, CASE WHEN l.quality = 0 THEN 'corrected' ELSE 'accepted' END AS verdict, CASE WHEN l.quality = 0 THEN b.text END AS correction FROM labels l JOIN documents d ON l.doc_id = d.doc_id JOIN (SELECT item_id, text, row_number() OVER (ORDER BY item_id) - 1 AS place, count(*) OVER () AS n FROM benchmark) b ON l.doc_id % b.n = b.place""")
+@query("""SELECT l.doc_id, d.lang, CASE WHEN l.quality = 0 THEN 'corrected' ELSE 'accepted' END AS verdict, CASE WHEN l.quality = 0 THEN b.text END AS correction FROM labels l JOIN documents d ON l.doc_id = d.doc_id JOIN benchmark b ON b.item_id = (SELECT min(item_id) FROM benchmark) + l.doc_id % (SELECT count(*) FROM benchmark)""")
 def audit_corrections(spark, sf_dir):
     """Audited units with their document and correction; running it fails if a unit has no document, or a verdict no entry in the manifest."""
-    entries = table(spark, sf_dir, "benchmark").select("text", F.expr("row_number() OVER (ORDER BY item_id) - 1").alias("place"))
-    size = F.broadcast(entries.agg(F.count(F.lit(1)).alias("n")))
-    audit = table(spark, sf_dir, "labels").join(size).withColumn("place", F.when(F.col("quality") == 0, F.col("doc_id") % F.col("n")))
+    entries = table(spark, sf_dir, "benchmark").select("text", F.col("item_id").alias("place"))
+    size = F.broadcast(entries.agg(F.count(F.lit(1)).alias("n"), F.min("place").alias("first")))
+    audit = table(spark, sf_dir, "labels").join(size).withColumn("place", F.when(F.col("quality") == 0, F.col("first") + F.col("doc_id") % F.col("n")))
     rows = audit.join(table(spark, sf_dir, "documents").select("doc_id", "lang", F.lit(True).alias("known")), "doc_id", "left").join(entries, "place", "left")
     rules = [gates.Rule("unit without classification", F.col("known").isNull()), gates.Rule("correction without entry", (F.col("quality") == 0) & F.col("text").isNull()), gates.Rule("unsupported verdict", ~F.col("quality").isin(0, 1))]
     joined = gates.passed(rows, gates.counted(rows, rules))

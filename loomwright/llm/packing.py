@@ -94,8 +94,8 @@ class WordTokens:
         new = list(new)
         gc.disable()  # Nothing here is cyclic, and the collector would walk all that is remembered.
         try:
-            for i in range(0, len(new), 50_000):
-                self.learn(new[i : i + 50_000])
+            for i in range(0, len(new), 5_000):
+                self.learn(new[i : i + 5_000])
         finally:
             gc.enable()
         return [b"".join(map(self.known.__getitem__, chunks)) + self.end for chunks in split]

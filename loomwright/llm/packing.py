@@ -44,6 +44,8 @@ class WordTokens:
         self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.end = end_id.to_bytes(4, "little")
         self.remembered, self.chars = remembered, 0
+        # Fewer at once take less memory.
+        self.at_once = max(1_000, remembered // 10)
         self.known: dict[str, bytes] = {"": b""}
         self.before: dict[str, bytes] = {}
 
@@ -94,8 +96,8 @@ class WordTokens:
         new = list(new)
         gc.disable()  # Nothing here is cyclic, and the collector would walk all that is remembered.
         try:
-            for i in range(0, len(new), 5_000):
-                self.learn(new[i : i + 5_000])
+            for i in range(0, len(new), self.at_once):
+                self.learn(new[i : i + self.at_once])
         finally:
             gc.enable()
         return [b"".join(map(self.known.__getitem__, chunks)) + self.end for chunks in split]
@@ -197,7 +199,8 @@ def packed(docs: DataFrame, path: str, end_id: int, length: int, open_windows: i
                     windows.add(doc, 0, got, len(got) // 4)
             yield as_batch(state["out"], id_kind, id_col)
             state["out"] = [[] for _ in range(9)]
-            trim()
+            if remembered < REMEMBERED:
+                trim()
         for pieces in windows.leftovers():
             emit(pieces, keep_ids=True)
         if id_kind is not None:

@@ -264,11 +264,11 @@ def flattened(spark, sf_dir):
     return nested.select("conv_id", F.posexplode("items").alias("place", "x")).select("conv_id", (F.col("place") + 1).cast("long").alias("place"), "x.role", F.col("x.n").cast("long").alias("n"))
 
 
-@query("""WITH g AS (SELECT l_suppkey, l_orderkey, l_linenumber, l_partkey FROM lineitem) SELECT l_partkey, l_suppkey, l_orderkey FROM g QUALIFY row_number() OVER (PARTITION BY l_partkey ORDER BY l_orderkey, l_linenumber) = 1""")
+@query("""WITH g AS (SELECT l_suppkey, l_orderkey, l_linenumber, l_partkey FROM lineitem) SELECT l_partkey, l_suppkey, l_orderkey FROM g QUALIFY row_number() OVER (PARTITION BY l_partkey ORDER BY l_orderkey, l_linenumber, l_suppkey) = 1""")
 def story_groups(spark, sf_dir):
-    """Stories of all groups, each once where it comes first."""
+    """Stories of all groups, each once where it comes first; of those at one place, that of the smallest supplier."""
     groups = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey")).alias("stories"))
-    return top_per_key(groups.select("l_orderkey", F.explode("stories").alias("s")).select("l_orderkey", "s.*"), ["l_partkey"], [F.col("l_orderkey"), F.col("l_linenumber")]).select("l_partkey", "l_suppkey", "l_orderkey")
+    return top_per_key(groups.select("l_orderkey", F.explode("stories").alias("s")).select("l_orderkey", "s.*"), ["l_partkey"], [F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_suppkey")]).select("l_partkey", "l_suppkey", "l_orderkey")
 
 
 @query("""WITH s AS (SELECT l_partkey, l_returnflag AS iso, l_linestatus AS lang, l_linenumber FROM lineitem) SELECT l_partkey, count(*) AS searches, string_agg(iso || lang, ' ' ORDER BY iso || lang) AS markets FROM (SELECT DISTINCT l_partkey, iso, lang FROM s) GROUP BY 1""")

@@ -43,6 +43,12 @@ def bound(value: Column, f: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), f), F.lit(0))
 
 
+def with_once(df: DataFrame, **columns: Column) -> DataFrame:
+    """df with columns that are computed once a row: they come out of a generator, so a later filter on them isn't pushed below
+    and does not compute again what they are made of."""
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(name) for name, c in columns.items()]))))
+
+
 def quoted(value: Column) -> Column:
     """A text as a JSON string; only what must be escaped is, in lower case."""
     plain = [*ESCAPES.items(), *[(chr(c), f"\\u{c:04x}") for c in range(32) if chr(c) not in ESCAPES]]

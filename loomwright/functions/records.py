@@ -92,14 +92,18 @@ def with_stratum(sources: DataFrame, rules: DataFrame, publisher: str, url: str)
     return rows.select(*sources.columns, stratum.alias("stratum"))
 
 
-def passed_on(labels: DataFrame, members: DataFrame, event: str, unit: str) -> DataFrame:
+def singles(members: DataFrame, event: str, unit: str) -> DataFrame:
+    """(event, unit) of the events that have one unit."""
+    return members.groupBy(event).agg(F.count(F.lit(1)).alias("_n"), F.min(unit).alias(unit)).filter("_n = 1").drop("_n")
+
+
+def passed_on(labels: DataFrame, event: str, unit: str) -> DataFrame:
     """Labels of events of one article, copied from that article's label, with where they come from.
 
-    members links events to units; only events with one unit take its label. labels has the fields in COPIED, unit and classification_id.
+    labels are those of the units that singles() finds, with event, unit, classification_id and the fields in COPIED.
     """
-    single = members.groupBy(event).agg(F.count(F.lit(1)).alias("_n"), F.min(unit).alias(unit)).filter("_n = 1").drop("_n")
     lineage = F.struct(F.lit(True).alias("derived_from_singleton_article"), F.col(unit).alias("source_article_id"), F.col("classification_id").alias("source_classification_id"))
-    return single.join(labels, unit).select(event, *COPIED, lineage.alias("lineage"))
+    return labels.select(event, *COPIED, lineage.alias("lineage"))
 
 
 def settled(rows: DataFrame, dimensions: tuple[str, ...]) -> DataFrame:

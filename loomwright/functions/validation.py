@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomwright.functions.labels import DIRECTIONAL, STATUSES, unit_score
+from loomwright.functions.nested import with_once
 
 #: What the fields of an answer may hold.
 FRAMES = ("opportunity", "threat", "contested", "descriptive_neutral", "unclear")
@@ -34,55 +36,77 @@ def written(value: Column) -> Column:
     return F.try_variant_get(value, "$", "string")
 
 
-def filled(value: Column) -> Column:
+class Field(NamedTuple):
+    """A field's value, a variant, and what is read off it once: its text and its kind."""
+
+    value: Column
+    text: Column
+    kind: Column
+
+
+def read(values: dict[str, Column]) -> dict[str, Column]:
+    """Columns for the fields of values by name; a step of their own computes them once, however often rules look at them."""
+    return {k: c for name, v in values.items() for k, c in ((f"_{name}_value", v), (f"_{name}_text", written(v)), (f"_{name}_kind", F.schema_of_variant(v)))}
+
+
+def field(name: str) -> Field:
+    """One of the fields that read() has made columns of."""
+    return Field(*[F.col(f"_{name}_{part}") for part in ("value", "text", "kind")])
+
+
+def filled(f: Field) -> Column:
     """Is a value there, and neither null, empty, zero nor false?"""
-    inner = F.coalesce(F.try_variant_get(value, "$", "array<variant>").isNotNull() & (F.size(F.try_variant_get(value, "$", "array<variant>")) == 0), F.lit(False))
-    empty = F.coalesce(F.try_variant_get(value, "$", OBJECT).isNotNull() & (F.size(F.try_variant_get(value, "$", OBJECT)) == 0), F.lit(False))
-    nothing = F.is_variant_null(value) | inner | empty | (F.schema_of_variant(value) == "BOOLEAN") & (written(value) == "false")
-    number = (F.schema_of_variant(value) != "STRING") & F.coalesce(F.try_variant_get(value, "$", "double") == 0, F.lit(False))
-    return F.coalesce(value.isNotNull() & ~nothing & ~number & (F.coalesce(written(value), F.lit("x")) != ""), F.lit(False))
+    nothing = f.text.isin("[]", "{}", "false") | F.coalesce(f.text.try_cast("double") == 0, F.lit(False))
+    return F.coalesce((f.text != "") & ((f.kind == "STRING") | ~nothing), F.lit(False))
 
 
-def choice(value: Column, legal: tuple[str, ...], default: str) -> tuple[Column, Column]:
+def choice(f: Field, legal: tuple[str, ...], default: str) -> tuple[Column, Column]:
     """(a legal text, was another one given); what is missing or empty is the default without fault."""
-    given = F.trim(F.when(filled(value), written(value)).otherwise(default))
+    given = F.trim(F.when(filled(f), f.text).otherwise(default))
     return F.when(given.isin(*legal), given).otherwise(default), ~F.coalesce(given.isin(*legal), F.lit(False))
 
 
-def whole(value: Column) -> Column:
+def whole(f: Field) -> Column:
     """A whole number: of a number its whole part, of a text only if it is one; null if there is none."""
-    text = F.schema_of_variant(value) == "STRING"
-    digits = F.when(written(value).rlike(r"^\s*[+-]?\d+\s*$"), F.trim(written(value)).try_cast("long"))
-    return F.when(text, digits).when(F.schema_of_variant(value) == "BOOLEAN", (written(value) == "true").cast("long")).otherwise(F.try_variant_get(value, "$", "double").try_cast("long"))
+    digits = F.when(f.text.rlike(r"^\s*[+-]?\d+\s*$"), F.trim(f.text).try_cast("long"))
+    return F.when(f.kind == "STRING", digits).when(f.kind == "BOOLEAN", (f.text == "true").cast("long")).otherwise(F.try_variant_get(f.value, "$", "double").try_cast("long"))
 
 
 def between(number: Column, low: int, high: int) -> Column:
     return F.greatest(F.lit(low), F.least(F.lit(high), number)).cast("int")
 
 
-def confidence_fault(value: Column, name: str) -> Column:
+def confidence_fault(f: Field, name: str) -> Column:
     """Why a confidence can't be taken: it is missing, no number, or not from 0 to 1."""
-    number = F.try_variant_get(value, "$", "double")
-    missing = value.isNull() | F.coalesce(F.is_variant_null(value), F.lit(True))
-    return F.when(missing, f"{name} missing").when(number.isNull(), f"{name} not a number").when(~number.between(0, 1), f"{name} out of range")
+    number = F.try_variant_get(f.value, "$", "double")
+    return F.when(f.text.isNull(), f"{name} missing").when(number.isNull(), f"{name} not a number").when(~number.between(0, 1), f"{name} out of range")
 
 
-def iso3s(value: Column) -> Column:
-    """Three-letter codes of a list, in upper case and each once; of anything else none."""
-    codes = F.transform(F.try_variant_get(value, "$", "array<variant>"), lambda v: F.upper(F.regexp_replace(F.coalesce(written(v), F.lit("")), "[^A-Za-z]", "")))
+def iso3s(values: Column) -> Column:
+    """Three-letter codes of a list of variants, in upper case and each once; of null none."""
+    codes = F.transform(values, lambda v: F.upper(F.regexp_replace(F.coalesce(written(v), F.lit("")), "[^A-Za-z]", "")))
     return F.coalesce(F.array_distinct(F.filter(codes, lambda c: F.length(c) == 3)), F.array().cast("array<string>"))
 
 
-def dimension(item: Column, name: str) -> Column:
+#: The fields of a dimension, and those of an answer that are read as they are.
+PARTS = ("present", "direction", "degree", "confidence", "reasoning")
+FIELDS = (
+    "empowerment_status", "narrative_frame", "distribution_breadth", "ai_authority_shift", "topic", "geographic_scope", "empowerment_degree", "ai_relevant", "dominant_dimension", "confidence",
+    "reasoning",
+)
+
+
+def dimension(name: str) -> Column:
     """(present, direction, degree, confidence, reasoning, fault) of one dimension."""
+    item = {part: field(f"{name}_{part}") for part in PARTS}
     present = filled(item["present"])
-    direction = F.trim(written(item["direction"]))
-    degree = F.when(item["degree"].isNull(), F.lit(1)).otherwise(whole(item["degree"]))
+    direction = F.trim(item["direction"].text)
+    degree = F.when(item["degree"].value.isNull(), F.lit(1)).otherwise(whole(item["degree"]))
     fault = F.when(present & (direction == "not_present"), f"{name} present without direction")
     fault = fault.when(present & ~F.coalesce(direction.isin(*DIRECTIONS), F.lit(False)), f"{name} direction invalid").when(present & degree.isNull(), f"{name} degree invalid")
     return F.struct(
         present.alias("present"), F.when(present, direction).alias("direction"), F.when(present, between(degree, 1, 3)).otherwise(0).alias("degree"),
-        F.try_variant_get(item["confidence"], "$", "double").alias("confidence"), F.substring(F.trim(F.coalesce(F.when(filled(item["reasoning"]), written(item["reasoning"])), F.lit(""))), 1, 1500).alias("reasoning"),
+        F.try_variant_get(item["confidence"].value, "$", "double").alias("confidence"), F.substring(F.trim(F.coalesce(F.when(filled(item["reasoning"]), item["reasoning"].text), F.lit(""))), 1, 1500).alias("reasoning"),
         F.coalesce(fault, confidence_fault(item["confidence"], f"{name} confidence")).alias("fault"),
     )
 
@@ -97,25 +121,26 @@ def validated(rows: DataFrame, answer: str) -> DataFrame:
     """
     own = rows.columns
     a = rows.withColumn("_a", F.try_variant_get(F.try_parse_json(answer), "$", OBJECT))
-    field = lambda name: F.col("_a")[name]
+    held = F.try_variant_get(F.col("_a")["country_iso3s"], "$", "array<variant>")
+    a = a.withColumns(read({name: F.col("_a")[name] for name in FIELDS}) | {"_held": held, "_dims": opened(F.col("_a")["dimensions"])})
+    a = a.withColumns({f"_{d}_object": opened(F.col("_dims")[d]) for d in DIMENSIONS})
+    a = a.withColumns(read({f"{d}_{part}": F.col(f"_{d}_object")[part] for d in DIMENSIONS for part in PARTS}))
     parts = {
         "_status": choice(field("empowerment_status"), STATUSES, "unclear"), "_frame": choice(field("narrative_frame"), FRAMES, "unclear"),
         "_breadth": choice(field("distribution_breadth"), BREADTHS, "unclear"), "_authority": choice(field("ai_authority_shift"), AUTHORITIES, "unclear"),
         "_topic": choice(field("topic"), TOPICS, "other"), "_scope": choice(field("geographic_scope"), SCOPES, "unclear"),
     }
     columns = {k: v for k, (v, _) in parts.items()} | {f"{k}_odd": odd for k, (_, odd) in parts.items()}
-    columns["_given"] = F.when(field("empowerment_degree").isNull() & ~F.map_contains_key("_a", F.lit("empowerment_degree")), F.lit(0)).otherwise(whole(field("empowerment_degree")))
+    columns["_given"] = F.when(field("empowerment_degree").value.isNull() & ~F.map_contains_key("_a", F.lit("empowerment_degree")), F.lit(0)).otherwise(whole(field("empowerment_degree")))
     columns["_relevant"] = ~F.map_contains_key("_a", F.lit("ai_relevant")) | filled(field("ai_relevant"))
-    columns["_dominant"] = F.trim(F.when(filled(field("dominant_dimension")), written(field("dominant_dimension"))).otherwise("none"))
-    columns["_codes"] = iso3s(field("country_iso3s"))
-    columns["_confidence"] = F.try_variant_get(field("confidence"), "$", "double")
-    columns["_reasoning"] = F.substring(F.trim(F.coalesce(F.when(filled(field("reasoning")), written(field("reasoning"))), F.lit(""))), 1, 3000)
-    columns["_dims"] = opened(field("dimensions"))
+    columns["_dominant"] = F.trim(F.when(filled(field("dominant_dimension")), field("dominant_dimension").text).otherwise("none"))
+    columns["_codes"] = iso3s(F.col("_held"))
+    columns["_confidence"] = F.try_variant_get(field("confidence").value, "$", "double")
+    columns["_reasoning"] = F.substring(F.trim(F.coalesce(F.when(filled(field("reasoning")), field("reasoning").text), F.lit(""))), 1, 3000)
     columns["_sure"] = confidence_fault(field("confidence"), "overall confidence")
-    a = a.withColumns(columns)
-    a = a.withColumns({f"_{d}": dimension(opened(F.col("_dims")[d]), d) for d in DIMENSIONS})
+    a = a.withColumns(columns | {f"_{d}": dimension(d) for d in DIMENSIONS})
     faults = [F.when(F.col("_a").isNull(), "no object"), F.when(~F.col("_dominant").isin("none", *DIMENSIONS), "dominant dimension unknown"), F.col("_sure")]
-    a = a.withColumn("fault", F.coalesce(*faults, *[F.col(f"_{d}.fault") for d in DIMENSIONS]))
+    a = with_once(a, fault=F.coalesce(*faults, *[F.col(f"_{d}.fault") for d in DIMENSIONS]))
 
     directional = F.col("_status").isin(*DIRECTIONAL)
     degree = between(F.coalesce("_given", F.lit(0)), 0, 3)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomwright.functions import text
-from loomwright.functions.nested import bound
+from loomwright.functions.nested import bound, with_once
 from loomwright.functions.translation import source_name
 
 #: Fixed value: the note on a label that the residual rule has settled.
@@ -50,7 +50,7 @@ def normalised(items: DataFrame, item: str, market: dict[str, Column], rank: Col
     """The 20 fields of each item, a variant, that has a title and a link; blank fields are null or have their default."""
     field = lambda k: text.normalize_space(F.try_variant_get(F.col(item), f"$.{k}", "string"))
     blank = lambda c: F.nullif(c, F.lit(""))
-    rows = items.select("*", field("title").alias("_title"), text.canonical_url(field("link")).alias("_link")).filter("_title <> '' AND _link <> ''")
+    rows = with_once(items, _title=field("title"), _link=text.canonical_url(field("link"))).filter("_title <> '' AND _link <> ''")
     kept = [c for c in items.columns if c != item]
     return rows.select(
         *kept, text.hash_id(20, text.normalize_title(F.col("_title")), F.col("_link")).alias("id"), F.col("_title").alias("title"), F.col("_link").alias("link"),

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from loomwright.functions.nested import bound
+
 #: Query parameters that only track a reader.
 TRACKING = ("utm_source", "utm_medium", "utm_campaign", "utm_term", "utm_content", "gclid", "fbclid", "mc_cid", "mc_eid")
 
@@ -35,19 +37,25 @@ def canonical_url(url: Column) -> Column:
 
     Parameters are decoded and encoded again; one without a value gets an equals sign.
     """
-    raw = F.regexp_replace(normalize_space(url), "#.*$", "")
-    head = F.lower(F.regexp_extract(raw, r"^([A-Za-z][A-Za-z0-9+.\-]*://[^/?]*)", 1))
-    path = F.regexp_replace(F.regexp_extract(raw, r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/?]*([^?]*)", 1), "/+$", "")
 
     def again(part: Column) -> Column:
         encoded = F.url_encode(F.coalesce(F.try_url_decode(part), part))
         return F.replace(F.replace(encoded, F.lit("*"), F.lit("%2A")), F.lit("%7E"), F.lit("~"))
 
-    given = F.filter(F.split(F.regexp_extract(raw, r"\?(.*)$", 1), "&"), lambda p: p != "")
-    named = F.transform(given, lambda p: F.struct(F.split(p, "=", 2)[0].alias("name"), F.coalesce(F.get(F.split(p, "=", 2), F.lit(1)), F.lit("")).alias("value")))
-    own = F.filter(named, lambda p: ~F.lower(F.coalesce(F.try_url_decode(p["name"]), p["name"])).isin(*TRACKING))
-    pairs = F.transform(own, lambda p: F.concat(again(p["name"]), F.lit("="), again(p["value"])))
-    return F.when(head == "", raw).otherwise(F.concat(head, path, F.when(F.size(pairs) > 0, F.concat(F.lit("?"), F.array_join(pairs, "&"))).otherwise("")))
+    def parameters(raw: Column) -> Column:
+        given = F.filter(F.split(F.regexp_extract(raw, r"\?(.*)$", 1), "&"), lambda p: p != "")
+        named = F.transform(given, lambda p: F.struct(F.split(p, "=", 2)[0].alias("name"), F.coalesce(F.get(F.split(p, "=", 2), F.lit(1)), F.lit("")).alias("value")))
+        own = F.filter(named, lambda p: ~F.lower(F.coalesce(F.try_url_decode(p["name"]), p["name"])).isin(*TRACKING))
+        pairs = F.transform(own, lambda p: F.concat(again(p["name"]), F.lit("="), again(p["value"])))
+        return bound(pairs, lambda p: F.when(F.size(p) > 0, F.concat(F.lit("?"), F.array_join(p, "&"))).otherwise(""))
+
+    def rebuilt(raw: Column) -> Column:
+        head = F.lower(F.regexp_extract(raw, r"^([A-Za-z][A-Za-z0-9+.\-]*://[^/?]*)", 1))
+        path = F.regexp_replace(F.regexp_extract(raw, r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/?]*([^?]*)", 1), "/+$", "")
+        # Most addresses have no parameters to take apart.
+        return bound(head, lambda h: F.when(h == "", raw).otherwise(F.concat(h, path, F.when(F.contains(raw, F.lit("?")), parameters(raw)).otherwise(""))))
+
+    return bound(F.regexp_replace(normalize_space(url), "#.*$", ""), rebuilt)
 
 
 def without_query(url: Column) -> Column:

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import functools
+import sys
+import unicodedata
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
+from loomwright.functions.nested import bound
 from loomwright.functions.text import has_han, numbers_in, search_language
 
 #: How sure a detector must be, how alike two renderings, and the probability from which a pair model says same.
@@ -98,18 +99,30 @@ def positives_first(probability: str, verdict: str, cross_language: str, similar
     return [first(agreed), first(F.col(cross_language)), first(F.col(similarity) < 0.78), F.desc(confidence), F.desc(probability), F.asc(similarity), F.asc(pair)]
 
 
-@F.pandas_udf(StringType())
-def decomposed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    for texts in batches:
-        yield texts.str.normalize("NFKD").str.encode("ascii", "ignore").str.decode("ascii")
+@functools.cache
+def ascii_forms() -> dict[str, str]:
+    """What the ASCII form of each other character is, if it has one: its compatibility decomposition without what is not ASCII."""
+    forms = {c: unicodedata.normalize("NFKD", c).encode("ascii", "ignore").decode() for c in map(chr, range(128, sys.maxunicode + 1)) if not "\ud800" <= c <= "\udfff"}
+    return {c: f for c, f in forms.items() if f} | PLAIN
 
 
 def ascii_text(value: Column) -> Column:
-    """A text in ASCII: dashes and quotes become plain, letters lose their marks, other signs go; null is empty."""
-    value = F.coalesce(value, F.lit(""))
-    plain = F.translate(value, "".join(PLAIN), "".join(PLAIN.values()))
-    # Most texts are ASCII then; only the others go through Python.
-    return F.when(plain.rlike(r"^[\x00-\x7f]*$"), plain).otherwise(decomposed(plain))
+    """A text in ASCII: dashes and quotes become plain, letters lose their marks, other signs go; null is empty.
+
+    A character's form does not depend on its neighbours, so no text leaves the JVM.
+    """
+    one = {c: f for c, f in ascii_forms().items() if len(f) == 1}
+    several = {c: f for c, f in ascii_forms().items() if len(f) > 1}
+    other = r"[^\x00-\x7f]"
+    forms = F.create_map(*[F.lit(x) for pair in several.items() for x in pair])
+
+    def spread(text: Column) -> Column:
+        # Distinct signs are looked up, as a class of all of them would be tried sign by sign at each place.
+        found = F.filter(F.array_distinct(F.regexp_extract_all(text, F.lit(other), F.lit(0))), lambda c: F.element_at(forms, c).isNotNull())
+        return F.aggregate(found, text, lambda out, c: F.replace(out, c, F.element_at(forms, c)))
+
+    plain = bound(F.translate(value, "".join(one), "".join(one.values())), spread)
+    return F.coalesce(F.when(value.rlike(other), F.regexp_replace(plain, other, "")).otherwise(value), F.lit(""))
 
 
 def language_name(code: Column) -> Column:

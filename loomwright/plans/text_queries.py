@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomwright.functions import text, translation
@@ -165,14 +168,38 @@ def calibration_sample(spark, sf_dir):
     UNION ALL SELECT 'stratum', stratum, count(DISTINCT (source, article)), count(DISTINCT event), count(DISTINCT market), round(count(*) / (SELECT count(*) FROM l), 6) FROM s GROUP BY stratum
     UNION ALL SELECT 'language', lang, count(DISTINCT (source, article)), count(DISTINCT event), count(DISTINCT market), round(count(*) / (SELECT count(*) FROM l), 6) FROM s GROUP BY lang""")
 def source_tables(spark, sf_dir):
-    """Distinct articles, events and markets of publishers, strata and languages, and shares of all records: one pass over three groupings."""
-    source = F.col("l_suppkey")
-    stratum = F.when(source % 5 == 0, "unclassified").when(source % 5 == 1, "institutional").otherwise("news")
-    rows = table(spark, sf_dir, "lineitem").select(source.cast("string").alias("source"), F.struct("l_suppkey", "l_orderkey").alias("article"), F.col("l_partkey").alias("event"), F.col("l_linestatus").alias("market"), F.lower("l_returnflag").alias("lang"), stratum.alias("stratum"))
-    kinds = F.array(*[F.struct(F.lit(k).alias("kind"), F.col(c).alias("name")) for k, c in (("publisher", "source"), ("stratum", "stratum"), ("language", "lang"))])
-    each = rows.select(F.explode(kinds).alias("k"), "article", "event", "market")
-    # Distinct values are counted after copies have left within tasks, by the values themselves.
-    counts = each.groupBy("k").agg(F.countDistinct("article").alias("articles"), F.countDistinct("event").alias("events"), F.countDistinct("market").alias("markets"), F.count(F.lit(1)).alias("n"))
-    total = F.broadcast(rows.agg(F.count(F.lit(1)).alias("all")))
-    share = F.when(F.col("k.kind") != "publisher", F.round(F.col("n") / F.col("all"), 6))
-    return counts.join(total).select("k.kind", "k.name", "articles", "events", "markets", share.alias("share"))
+    """Distinct articles, events and markets of publishers, strata and languages, and shares of all records.
+
+    Each distinct count has narrow groupings of its own. A source has one stratum, so strata are made from what is distinct at the sources.
+    """
+    source, lang = F.col("l_suppkey").alias("source"), F.lower("l_returnflag").alias("lang")
+    rows = table(spark, sf_dir, "lineitem")
+    stratum = F.when(F.col("source") % 5 == 0, "unclassified").when(F.col("source") % 5 == 1, "institutional").otherwise("news")
+    one, none = F.count(F.lit(1)), F.lit(0).cast("long")
+
+    def counts(df, kind, name, articles=none, events=none, markets=none, n=none):
+        figures = {"articles": articles, "events": events, "markets": markets, "n": n}
+        return df.select(F.lit(kind).alias("kind"), name.cast("string").alias("name"), *[c.alias(k) for k, c in figures.items()])
+
+    articles = rows.select(source, F.col("l_orderkey").alias("article")).distinct().groupBy("source").agg(F.count("article").alias("known"), one.alias("n"))
+    events = rows.select(source, F.col("l_partkey").alias("event")).distinct()
+    markets = rows.groupBy(source, F.col("l_linestatus").alias("market")).agg(one.alias("n"))
+    in_lang = rows.select(lang, source, F.col("l_orderkey").alias("article")).distinct().groupBy("lang").agg(one.alias("n"))
+    events_in_lang = rows.select(lang, F.col("l_partkey").alias("event")).distinct().groupBy("lang").agg(F.count("event").alias("n"))
+    markets_in_lang = rows.groupBy(lang, F.col("l_linestatus").alias("market")).agg(one.alias("n"))
+    n, publisher, known_market = F.col("n"), F.col("source"), F.col("market").isNotNull().cast("long")
+    parts = [
+        counts(articles, "publisher", publisher, articles=F.col("known")),
+        counts(articles, "stratum", stratum, articles=n),
+        counts(events.groupBy("source").agg(F.count("event").alias("n")), "publisher", publisher, events=n),
+        counts(events.select(stratum.alias("stratum"), "event").distinct().groupBy("stratum").agg(F.count("event").alias("n")), "stratum", F.col("stratum"), events=n),
+        counts(markets, "publisher", publisher, markets=known_market, n=n),
+        counts(markets.groupBy(stratum.alias("stratum"), "market").agg(F.sum("n").alias("n")), "stratum", F.col("stratum"), markets=known_market, n=n),
+        counts(in_lang, "language", F.col("lang"), articles=n),
+        counts(events_in_lang, "language", F.col("lang"), events=n),
+        counts(markets_in_lang, "language", F.col("lang"), markets=known_market, n=n),
+    ]
+    sums = reduce(DataFrame.union, parts).groupBy("kind", "name").agg(*[F.sum(c).alias(c) for c in ("articles", "events", "markets", "n")])
+    total = F.broadcast(rows.agg(one.alias("all")))
+    share = F.when(F.col("kind") != "publisher", F.round(F.col("n") / F.col("all"), 6))
+    return sums.join(total).select("kind", "name", "articles", "events", "markets", share.alias("share"))

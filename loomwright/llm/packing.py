@@ -76,6 +76,10 @@ class WordTokens:
         self.known.update([(chunk, ids[w] + ends[m]) for chunk, w, m in split])
         self.known.update(zip(odd, self.encode_each(odd), strict=True))
 
+    def forget(self) -> None:
+        """Nothing stays known but the tokenizer."""
+        self.known, self.before, self.chars = {"": b""}, {}, 0
+
     def recall(self, chunks: set[str]) -> set[str]:
         """Chunks that are not known; what was known a generation ago is known again."""
         new = chunks - self.known.keys()
@@ -108,6 +112,12 @@ def word_tokens(path: str, end_id: int, remembered: int = REMEMBERED) -> WordTok
     return WordTokens(path, end_id, remembered)
 
 
+def encoded(tokens: WordTokens, texts: list[str | None]) -> Iterator[bytes]:
+    """Ids of each text. All chunks of a call are known at once, so where little is remembered, few characters are taken at once."""
+    for _, some in slices(texts, 8 * tokens.remembered if tokens.remembered < REMEMBERED else 4_000_000):
+        yield from tokens(some)
+
+
 class Windows:
     """At most `most` open windows of `length` tokens. A piece is (id, start, n, doc_tokens, ids)."""
 
@@ -191,20 +201,24 @@ def packed(docs: DataFrame, path: str, end_id: int, length: int, open_windows: i
             state["n"] += 1
 
         windows, id_kind = Windows(length, open_windows, emit), None
+        sparing = remembered < REMEMBERED
         for batch in batches:
             id_kind = batch.schema.field(0).type
             ids = batch.column(0).to_pylist()
-            for first, texts in slices(batch.column(1).to_pylist()):
-                for doc, got in zip(ids[first : first + len(texts)], tokens(texts), strict=True):
-                    windows.add(doc, 0, got, len(got) // 4)
+            for doc, got in zip(ids, encoded(tokens, batch.column(1).to_pylist()), strict=True):
+                windows.add(doc, 0, got, len(got) // 4)
             yield as_batch(state["out"], id_kind, id_col)
             state["out"] = [[] for _ in range(9)]
-            if remembered < REMEMBERED:
+            if sparing:
                 trim()
         for pieces in windows.leftovers():
             emit(pieces, keep_ids=True)
         if id_kind is not None:
             yield as_batch(state["out"], id_kind, id_col)
+        if sparing:  # The worker lives on beside what comes next.
+            windows = state["out"] = None
+            tokens.forget()
+            trim()
 
     return docs.select(id_col, text_col).mapInArrow(run, schema_of(kind, id_col))
 
@@ -259,7 +273,8 @@ def pack(
     groups, of which each keeps one window open, until one group is left. Sequences have `length` tokens; the very
     last window is cut at powers of two.
 
-    A worker remembers the ids of up to two times `remembered` distinct chunks; fewer cost time, not results.
+    A worker remembers the ids of up to two times `remembered` distinct chunks; fewer cost time, not results. With fewer than
+    REMEMBERED it also encodes few characters at once and forgets all chunks when its task ends.
 
     Null and empty texts are documents of the end id alone. Repeated rows are packed each for itself; ids may
     be null. Other columns of docs are not read. An empty table gives no rows.

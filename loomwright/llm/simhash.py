@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .pigeonhole import near_links
-from .shared import bounded, free, map_arrow, saved
+from .shared import bounded, free, map_arrow, saved, trim
 
 SEED = 42
 
@@ -98,7 +98,10 @@ def common_shingles(docs: DataFrame, words: int, id_col: str, text_col: str, mos
     def make():
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             got = [np.unique(shingle_hashes(t or "", words)) for t in batch.column(0).to_pylist()]
-            return pa.record_batch([pa.array(np.concatenate(got).view(np.int64))], names=["shingle"])
+            out = pa.record_batch([pa.array(np.concatenate(got).view(np.int64))], names=["shingle"])
+            del got
+            trim()
+            return out
 
         return step
 
@@ -157,7 +160,10 @@ def documents_as_sets(docs: DataFrame, words: int, similarity: float, id_col: st
     def make():
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             got = [set_facts(t or "", words, common.value, similarity) for t in batch.column(1).to_pylist()]
-            return pa.record_batch([batch.column(0), *[pa.array([g[i] for g in got], kind) for i, kind in enumerate(kinds)]], names=names)
+            out = pa.record_batch([batch.column(0), *[pa.array([g[i] for g in got], kind) for i, kind in enumerate(kinds)]], names=names)
+            del got
+            trim()
+            return out
 
         return step
 

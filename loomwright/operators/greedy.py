@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import functools
 import itertools
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
@@ -198,27 +199,42 @@ def greedy_match(pairs: DataFrame, used: DataFrame, most_each: int, target: int)
             return saved(taken.orderBy(*ordered_columns()).limit(target))
 
 
-def quota_sample(pairs: DataFrame, quotas: list[tuple[str, int]], most_each: int, total: int) -> DataFrame:
+def quota_sample(pairs: DataFrame | Callable[[], DataFrame], quotas: list[tuple[str, int]], most_each: int, total: int, best: DataFrame | None = None, most: int = 0) -> DataFrame:
     """(bucket, a, b) of a sample of pairs (a, b, priority, second, buckets), `total` at most and no item in over most_each of them.
 
     The buckets of quotas are filled in turn, each with the best pairs that name it and aren't taken yet, up to its quota; then
     the best other pairs fill the sample, with bucket null. Best means a high priority, then a high second, then small
     items. This equals one walk over all pairs for each bucket; it is made in rounds over all rows at once, and only the sizes of samples
     reach the driver. A pair comes once, and not with itself; priority and second are not null.
+
+    `best` (bucket, a, b, priority, second) may hold the first `most` pairs of each bucket, or all if they are fewer, and of all pairs with
+    bucket null. A walk that fills its quota from these is the walk over all pairs, so all are only made for a bucket where they don't suffice;
+    pairs may be a function that makes them.
     """
-    rows = saved(pairs.filter("a IS NOT NULL AND b IS NOT NULL AND a <> b"))
-    used = rows.select(F.col("a").alias("item"), F.lit(0).alias("times")).limit(0)
+    all_pairs = functools.cache(lambda: saved((pairs() if callable(pairs) else pairs).filter("a IS NOT NULL AND b IS NOT NULL AND a <> b")))
+    first = saved(best) if best is not None else None
+    used = (all_pairs() if first is None else first).select(F.col("a").alias("item"), F.lit(0).alias("times")).limit(0)
     samples: list[DataFrame] = []
     left = total
     for bucket, quota in [*quotas, (None, total)]:
         target = min(quota, left)
         if not target:
             continue
-        of_bucket = rows if bucket is None else rows.filter(F.array_contains("buckets", bucket))
-        for sample in samples:
-            of_bucket = of_bucket.join(sample.select("a", "b"), ["a", "b"], "left_anti")
-        got = greedy_match(of_bucket, used, most_each, target)
+
+        def walk(rows: DataFrame) -> DataFrame:
+            for sample in samples:
+                rows = rows.join(sample.select("a", "b"), ["a", "b"], "left_anti")
+            return greedy_match(rows, used, most_each, target)
+
+        got = None
+        if first is not None:
+            of_bucket = first.filter(F.col("bucket").eqNullSafe(F.lit(bucket).cast("string")))
+            got = walk(of_bucket)
+            if got.count() < target and of_bucket.count() >= most:
+                got = None
+        if got is None:
+            got = walk(all_pairs() if bucket is None else all_pairs().filter(F.array_contains("buckets", bucket)))
         samples.append(got.select(F.lit(bucket).cast("string").alias("bucket"), "a", "b"))
         used = saved(used.union(times_of(got)).groupBy("item").agg(F.sum("times").cast("int").alias("times")))
         left -= got.count()
-    return reduce(DataFrame.union, samples) if samples else rows.select(F.lit(None).cast("string").alias("bucket"), "a", "b").limit(0)
+    return reduce(DataFrame.union, samples) if samples else used.select(F.lit(None).cast("string").alias("bucket"), F.col("item").alias("a"), F.col("item").alias("b")).limit(0)

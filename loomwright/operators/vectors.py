@@ -132,14 +132,37 @@ def tiles_of(blocks: DataFrame, gap: float, least: float) -> DataFrame:
     return met.filter(near & (most >= least - SLACK)).select(F.col("x_block").alias("x"), F.col("block").alias("y"))
 
 
-Keep = Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray]
+#: Which of the pairs (smaller id, larger id, similarity) are of a kind.
+Kind = Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray]
 
 
-def blocked_pairs(df: DataFrame, gap: float, least: float, top: int | None = None, key: str | None = None, block: int = BLOCK, pivots: int = PIVOTS) -> DataFrame:
+class Best:
+    """The pairs seen so far that may be among the `most` best of one of the kinds; memory is `most` numbers a kind."""
+
+    def __init__(self, kinds: list[Kind], most: int) -> None:
+        self.kinds, self.most = kinds, most
+        self.held = [np.zeros(0) for _ in kinds]
+
+    def __call__(self, a: np.ndarray, b: np.ndarray, products: np.ndarray) -> np.ndarray:
+        chosen = np.zeros(len(products), dtype=bool)
+        for k, kind in enumerate(self.kinds):
+            # A product is rounded later, so it may still change its kind or its place by SLACK.
+            around = [kind(a, b, products + d) for d in (-SLACK, 0.0, SLACK)]
+            own = np.concatenate([self.held[k], products[np.logical_and.reduce(around)]])
+            if len(own) > self.most:
+                own = np.partition(own, len(own) - self.most)[-self.most :]
+            self.held[k] = own
+            least = own.min() if len(own) == self.most else -np.inf
+            chosen |= np.logical_or.reduce(around) & (products >= least - 4 * SLACK)
+        return chosen
+
+
+def blocked_pairs(df: DataFrame, gap: float, least: float, top: int | None = None, key: str | None = None, block: int = BLOCK, pivots: int = PIVOTS, best: tuple[list[Kind], int] | None = None) -> DataFrame:
     """(a, b, similarity) of all pairs of rows (id, day, vector) at most gap days apart with a similarity of at least `least`.
 
     Each pair comes once, a < b, and its similarity is dot() of the two. With `key`, both have the same value in that column, which is text. With `top`, a is the larger id, and only the best
-    `top` of each a are returned from a tile: a superset of the best of all, for a second reduce.
+    `top` of each a are returned from a tile: a superset of the best of all, for a second reduce. With `best` (kinds, most), a task returns
+    what may be among the `most` most similar pairs of a kind: again a superset, and a bounded one where pairs are many.
 
     Rows lie in blocks; each pair of blocks that may hold a pair is a tile of its own, wherever its rows come from, so a day
     with most rows is compared by many tasks. A tile is one product of matrices. Pairs within `least` are multiplied
@@ -157,6 +180,7 @@ def blocked_pairs(df: DataFrame, gap: float, least: float, top: int | None = Non
     id_kind = df.schema["id"].dataType.simpleString()
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chosen = Best(*best) if best else None
         for rows in whole_runs(batches, "tile"):
             x_block, y_block, side, day, ids = (rows[c].to_numpy() for c in ("x", "y", "side", "day", "id"))
             starts = np.flatnonzero(np.r_[True, (x_block[1:] != x_block[:-1]) | (y_block[1:] != y_block[:-1])])
@@ -164,13 +188,17 @@ def blocked_pairs(df: DataFrame, gap: float, least: float, top: int | None = Non
                 vectors = matrix(rows["vector"].slice(start, end - start))
                 cut = int(np.searchsorted(side[start:end], 1))
                 left, right = (slice(0, cut), slice(cut, None)) if cut < end - start else (slice(0, None), slice(0, None))
-                near = vectors[left] @ vectors[right].T >= least - SLACK
+                product = vectors[left] @ vectors[right].T
+                near = product >= least - SLACK
                 days, own = day[start:end], ids[start:end]
                 near &= np.abs(days[left][:, None] - days[right][None, :]) <= gap
                 if left == right:
                     near &= own[left][:, None] < own[right][None, :]
                 i, j = np.nonzero(near)
                 x, y = own[left][i], own[right][j]
+                if chosen:
+                    kept = chosen(np.minimum(x, y), np.maximum(x, y), product[i, j])
+                    i, j, x, y = i[kept], j[kept], x[kept], y[kept]
                 products = np.empty(len(i))
                 for k in range(0, len(i), 1 << 16):  # In the vector's order, some at a time.
                     products[k : k + (1 << 16)] = np.cumsum(vectors[left][i[k : k + (1 << 16)]] * vectors[right][j[k : k + (1 << 16)]], axis=1)[:, -1]

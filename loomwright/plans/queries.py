@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -479,9 +480,22 @@ def greedy_cluster(spark, sf_dir):
     return greedy.greedy_clusters(rows, "label", 0.2, 0.1)
 
 
+#: Pairs of each bucket that greedy_sample looks at before it makes all.
+BEST_PAIRS = 4_000
+
+
 @query()
 def greedy_sample(spark, sf_dir):
     """The best pairs of each bucket within quotas, no vector in over two of them, and others up to 90."""
-    bins = F.concat(F.lit("b"), F.floor(F.col("similarity") * 20))
-    pairs = theta_pairs(spark, sf_dir).select("a", "b", F.round("similarity", 2).alias("priority"), F.col("similarity").alias("second"), F.array(bins, F.when((F.col("a") + F.col("b")) % 2 == 0, "even")).alias("buckets"))
-    return greedy.quota_sample(pairs, [("even", 30), ("b6", 25), ("b7", 20), ("b8", 10)], 2, 90)
+    quotas = [("even", 30), ("b6", 25), ("b7", 20), ("b8", 10)]
+    kinds = [lambda a, b, s: (a + b) % 2 == 0, *[lambda a, b, s, k=k: np.floor(s * 20) == k for k in (6, 7, 8)], lambda a, b, s: s == s]
+
+    def bucketed(pairs):
+        bins = F.concat(F.lit("b"), F.floor(F.col("similarity") * 20))
+        return pairs.select("a", "b", F.round("similarity", 2).alias("priority"), F.col("similarity").alias("second"), F.array(bins, F.when((F.col("a") + F.col("b")) % 2 == 0, "even")).alias("buckets"))
+
+    best = bucketed(vectors.blocked_pairs(dated_vectors(spark, sf_dir), 1, 0.3, best=(kinds, BEST_PAIRS)))
+    named = F.array_intersect("buckets", F.array(*[F.lit(name) for name, _ in quotas]))
+    best = best.select(F.explode(F.array_append(named, F.lit(None).cast("string"))).alias("bucket"), *greedy.ORDER)
+    best = ranking.top_per_key(best, ["bucket"], greedy.ordered_columns(), BEST_PAIRS)
+    return greedy.quota_sample(lambda: bucketed(theta_pairs(spark, sf_dir)), quotas, 2, 90, best, BEST_PAIRS)

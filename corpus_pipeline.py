@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomwright.llm import line_dedup, packing, pii, simhash, toxicity
-from loomwright.llm.shared import free, listed, only_last, remove, saved, small_batches, table
+from loomwright.llm.shared import free, listed, only_last, remove, saved, small_batches, table, trim
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: Chunks that packing remembers: fewer than by itself, as workers also hold what other stages need.
@@ -37,6 +37,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score 0.3 or more go; the model learns from the labels of documents that aren't held out."""
     docs = read(spark, docs)
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), "doc_id", "text", "toxic")
+    trim()  # The sample has left the driver.
     return toxicity.with_verdict(docs, model).filter("predicted = 0").select(*COLUMNS)
 
 
@@ -64,7 +65,9 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Spans of personal data become their kind in angle brackets; null texts stay null."""
     docs = read(spark, docs)
-    found = pii.find(docs, pii.fit(docs), keep=tuple(COLUMNS))
+    model = pii.fit(docs)
+    trim()
+    found = pii.find(docs, model, keep=tuple(COLUMNS))
     return with_text(found, F.when(F.col("text").isNotNull(), pii.redacted(F.col("text"), F.col("_spans"))))
 
 

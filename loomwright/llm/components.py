@@ -5,15 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import free, saved
+from .shared import BROADCAST_BYTES, free, saved
 
 
-def components(links: DataFrame, most_broadcast: int = 500_000) -> DataFrame:
+def components(links: DataFrame, most_broadcast: int = BROADCAST_BYTES // 48) -> DataFrame:
     """(node, root) of every node in links (a, b): root is the smallest node reachable.
 
     Each round every node takes the smallest label among its neighbours' and its own, then the label of that label,
     so labels travel twice as far in each round. Rounds end when no label changes. Every round's labels are
-    written to the shared folder, and broadcast if they are at most most_broadcast (16 bytes each). Links may repeat, run either way, or join a node to itself; an empty table
+    written to the shared folder, and broadcast if they are at most most_broadcast (48 bytes each). Links may repeat, run either way, or join a node to itself; an empty table
     gives no rows. Links with a null end are ignored.
     """
     both = links.select("a", "b").union(links.select("b", "a")).filter("a IS NOT NULL AND b IS NOT NULL").distinct()

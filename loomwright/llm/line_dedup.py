@@ -9,10 +9,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import bounded, saved
+from .shared import BROADCAST_BYTES, bounded, saved
 
 #: Lines that are compared in pairs under one key.
 CROWD = 2_000
+#: Lines of which there are more copies don't come together in one task when the verdict on their class reaches them.
+MANY_COPIES = 10_000
 #: What a line is known by: XXH64, length, and a second hash.
 LINE = ["h", "n", "m"]
 
@@ -241,7 +243,23 @@ def links(lines: DataFrame, keyed: DataFrame, threshold: int, least_chars: int,
     return saved(with_distance(both, threshold)).filter("distance IS NOT NULL")
 
 
-def line_classes(docs: DataFrame, threshold: int = 2, least_chars: int = 24, id_col: str = "doc_id", text_col: str = "text", most_broadcast: int = 500_000, crowd: int = CROWD) -> DataFrame:
+def with_classes(places: DataFrame, classes: DataFrame, most_broadcast: int) -> DataFrame:
+    """places with first and n_links of their line's class (*LINE, first, n_links, often), null where it has none.
+
+    Where classes aren't broadcast, those of lines that stand often are by themselves: there are at most as many as all lines by
+    MANY_COPIES. Their places are dealt out by chance in the shuffle, where they meet nothing.
+    """
+    all_at_once = bounded(classes, most_broadcast)
+    if all_at_once is not classes:
+        return places.join(all_at_once.drop("often"), LINE, "left")
+    often = bounded(saved(classes.filter("often").drop("often").withColumnsRenamed({"first": "first_often", "n_links": "n_often"})), most_broadcast)
+    rest = classes.filter("NOT often").drop("often").withColumn("deal", F.lit(0))
+    deal = F.when(F.col("first_often").isNull(), 0).otherwise(1 + F.pmod(F.hash("id", "no"), F.lit(1_000)))
+    out = places.join(often, LINE, "left").withColumn("deal", deal).join(rest, [*LINE, "deal"], "left")
+    return out.select("id", "no", F.coalesce("first_often", "first").alias("first"), F.coalesce("n_often", "n_links").alias("n_links"))
+
+
+def line_classes(docs: DataFrame, threshold: int = 2, least_chars: int = 24, id_col: str = "doc_id", text_col: str = "text", most_broadcast: int = 500_000, crowd: int = CROWD, many: int = MANY_COPIES) -> DataFrame:
     """(id, no, class_id, class_no, n_links, kept) of every line that isn't blank.
 
     Lines are one class if they are equal, or linked by edit distances of at most threshold, directly or through
@@ -253,8 +271,8 @@ def line_classes(docs: DataFrame, threshold: int = 2, least_chars: int = 24, id_
 
     Keys that over `crowd` lines share, such as those of license headers, give way to narrower ones.
 
-    A line that no other line equals or is linked to is its own class; only the others are looked up, by a broadcast of
-    at most most_broadcast of them or by a shuffle.
+    A line that no other line equals or is linked to is its own class; only the others are looked up, by a broadcast if they are
+    few (most_broadcast, and a few megabytes) or by a shuffle, which those of over `many` copies don't take part in.
     """
     lines = lines_of(docs, id_col, text_col)
     keyed = saved(with_keys(lines, threshold, least_chars))
@@ -264,11 +282,11 @@ def line_classes(docs: DataFrame, threshold: int = 2, least_chars: int = 24, id_
     linked = bounded(saved(linked), most_broadcast)
     distinct = places.groupBy(*LINE).agg(F.min(F.struct("id", "no")).alias("place"), F.count(F.lit(1)).alias("size"))
     distinct = distinct.join(linked, "h", "left").filter("size > 1 OR root IS NOT NULL")
-    distinct = saved(distinct.select(*LINE, "place", F.coalesce("n_links", F.lit(0)).alias("n_links"), "root"))
+    distinct = saved(distinct.select(*LINE, "size", "place", F.coalesce("n_links", F.lit(0)).alias("n_links"), "root"))
     merged = bounded(saved(distinct.filter("root IS NOT NULL").groupBy("root").agg(F.min("place").alias("first"))), most_broadcast)
-    classes = distinct.join(merged, "root", "left").select(*LINE, F.coalesce("first", "place").alias("first"), "n_links")
+    classes = saved(distinct.join(merged, "root", "left").select(*LINE, F.coalesce("first", "place").alias("first"), "n_links", (F.col("size") > many).alias("often")))
     here = F.struct("id", "no")
-    out = places.join(bounded(saved(classes), most_broadcast), LINE, "left").withColumn("first", F.coalesce("first", here))
+    out = with_classes(places, classes, most_broadcast).withColumn("first", F.coalesce("first", here))
     return out.select(
         "id", "no", F.col("first.id").alias("class_id"), F.col("first.no").alias("class_no"), F.coalesce("n_links", F.lit(0)).alias("n_links"), here.eqNullSafe(F.col("first")).alias("kept")
     )
@@ -277,12 +295,12 @@ def line_classes(docs: DataFrame, threshold: int = 2, least_chars: int = 24, id_
 def removed_lines(docs: DataFrame, threshold: int = 2, least_chars: int = 24, id_col: str = "doc_id", text_col: str = "text", most_broadcast: int = 500_000) -> DataFrame:
     """(_id, _gone): the numbers of the lines of each document that aren't the first of their class.
 
-    Marked for broadcast if there are at most most_broadcast such lines.
+    Marked for broadcast if there are at most most_broadcast such lines, in a few megabytes.
     """
     gone = line_classes(docs, threshold, least_chars, id_col, text_col).filter(~F.col("kept") & F.col("id").isNotNull())
     gone = saved(gone.select("id", "no").distinct().groupBy("id").agg(F.collect_list("no").alias("_gone")).withColumnRenamed("id", "_id"))
     size = gone.agg(F.sum(F.size("_gone"))).first()[0] or 0
-    return F.broadcast(gone) if size <= most_broadcast else gone
+    return bounded(gone, most_broadcast, 2 * BROADCAST_BYTES) if size <= most_broadcast else gone
 
 
 def rest_of(text: Column, gone: Column) -> Column:

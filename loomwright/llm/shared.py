@@ -64,12 +64,16 @@ def only_last(spark: SparkSession) -> Iterator[None]:
     remove(spark, *made[:-1])
 
 
-def bounded(df: DataFrame, most_rows: int, most_bytes: int = 64 << 20) -> DataFrame:
+#: Bytes of a table that is broadcast. The driver holds its rows, their hash table and its written form at once, a multiple of that.
+BROADCAST_BYTES = 8 << 20
+
+
+def bounded(df: DataFrame, most_rows: int, most_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """df, which saved() has made, marked for broadcast if it is small in rows and bytes; else the same join runs by shuffle."""
     wide = [F.sum(F.octet_length(c)) for c, kind in df.dtypes if kind in ("string", "binary")]
     wide += [F.sum(F.size(c)) * 8 for c, kind in df.dtypes if kind.startswith("array<") and kind[6:-1] in ("int", "bigint", "double")]
     rows, *sizes = df.agg(F.count(F.lit(1)), *wide).first()
-    return F.broadcast(df) if rows <= most_rows and sum(x or 0 for x in sizes) + 16 * rows * len(df.columns) <= most_bytes else df
+    return F.broadcast(df) if rows <= most_rows and sum(x or 0 for x in sizes) + 16 * rows * (len(df.columns) + 1) <= most_bytes else df
 
 
 def small_batches(spark: SparkSession, most_bytes: int = 4 << 20) -> None:
